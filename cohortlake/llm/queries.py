@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortlake.llm.bpe_codec import round_trip
 from cohortlake.llm.common import table
 from cohortlake.llm.exact_dedup import exact_dedup
 from cohortlake.llm.line_dedup import line_dedup
 from cohortlake.llm.secret_scan import secret_scan, spans_string
+from cohortlake.llm.simhash_dedup import simhash_groups
+
+
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"))
+
+
+def op3_bpe_encoding_and_decoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"))
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,7 +35,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op7_exact_dedup, op9_secret_scans, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op3_bpe_encoding_and_decoding, op7_exact_dedup, op9_secret_scans, op10_line_dedup)}
 
 ORACLES = {
     "op7_exact_dedup": r"""
