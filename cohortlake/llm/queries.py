@@ -11,6 +11,8 @@ from cohortlake.llm.exact_dedup import exact_dedup
 from cohortlake.llm.line_dedup import line_dedup
 from cohortlake.llm.secret_scan import secret_scan, spans_string
 from cohortlake.llm.simhash_dedup import simhash_groups
+from cohortlake.llm.substring_dedup import substring_dedup
+from cohortlake.llm.suffix_dedup import suffix_dedup
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,10 +23,20 @@ def op3_bpe_encoding_and_decoding(spark: SparkSession, sf_dir: str) -> DataFrame
     return round_trip(table(spark, sf_dir, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), "longest_repeat")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secret_scan(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(spans_string("base"), 256).alias("base_sha256"), spans_string("spans").alias("spans"))
@@ -35,7 +47,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op3_bpe_encoding_and_decoding, op7_exact_dedup, op9_secret_scans, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op3_bpe_encoding_and_decoding, op6_substring_dedup, op7_exact_dedup, op8_suffix_array_dedup, op9_secret_scans, op10_line_dedup)}
 
 ORACLES = {
     "op7_exact_dedup": r"""
