@@ -65,7 +65,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     alone = tested.where("NOT maybe").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), sha)
     some = tested.where("maybe").drop("maybe")
     best = F.struct((-F.col("length")).alias("shortness"), F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
-    groups = some.groupBy("sha").agg(F.min(best).alias("best"), F.count("*").alias("group_size"))
-    # A hot digest has one row in groups; the rows on the other side are split by adaptive execution.
+    # A hot digest has one row in groups. Written, so that the join deals both sides anew and adaptive execution can split the hot rows.
+    groups = written(some.groupBy("sha").agg(F.min(best).alias("best"), F.count("*").alias("group_size")), "exact-groups")
     back = some.join(groups, "sha").select("doc_id", F.col("best.id").alias("keep_id"), "group_size", (F.col("row") == F.col("best.row")).alias("kept"), sha)
     return alone.unionByName(back)
