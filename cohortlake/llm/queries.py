@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from cohortlake.llm.bpe_codec import round_trip
 from cohortlake.llm.common import table
+from cohortlake.llm.decontamination import contaminated
 from cohortlake.llm.exact_dedup import exact_dedup
 from cohortlake.llm.line_dedup import line_dedup
+from cohortlake.llm.quality_classifier import select_quality
 from cohortlake.llm.secret_scan import secret_scan, spans_string
 from cohortlake.llm.simhash_dedup import simhash_groups
 from cohortlake.llm.substring_dedup import substring_dedup
@@ -23,6 +25,15 @@ def op3_bpe_encoding_and_decoding(spark: SparkSession, sf_dir: str) -> DataFrame
     return round_trip(table(spark, sf_dir, "documents"))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("key")
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = select_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("row.doc_id", "expected_grade", "tail_probability")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), "longest_repeat")
@@ -47,7 +58,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op3_bpe_encoding_and_decoding, op6_substring_dedup, op7_exact_dedup, op8_suffix_array_dedup, op9_secret_scans, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op3_bpe_encoding_and_decoding, op4_benchmark_decontamination, op5_quality_classifier, op6_substring_dedup, op7_exact_dedup, op8_suffix_array_dedup, op9_secret_scans, op10_line_dedup)}
 
 ORACLES = {
     "op7_exact_dedup": r"""
