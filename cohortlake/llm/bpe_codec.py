@@ -33,13 +33,13 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import text_of
+from cohortlake.llm.common import Memo, text_of, written
 
 # The pre-tokenizer's pattern.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
 _word = regex.compile(WORD, regex.V0)
-_remembered = 300_000  # words a worker remembers, twice at most
+REMEMBERED = 500_000  # words a worker remembers, twice at most
 
 
 def byte_letters() -> list[str]:
@@ -67,26 +67,16 @@ class Vocabulary:
         """The ids of one word, by merging the pair of the lowest rank until none is left."""
         parts = [self.letters[b] for b in word.encode("utf-8", "surrogatepass")]
         parts[-1] += WORD_END
-        rank = self.ranks.get
-        while len(parts) > 1:
-            order = [rank(pair, 1 << 30) for pair in zip(parts, parts[1:], strict=False)]
-            best = min(order)
-            if best == 1 << 30:
-                break
-            i = order.index(best)
-            left, right = parts[i], parts[i + 1]
-            if order.count(best) == 1:
-                parts[i : i + 2] = [left + right]
-                continue
-            merged, i = [], 0
-            while i < len(parts):
-                if i + 1 < len(parts) and parts[i] == left and parts[i + 1] == right:
-                    merged.append(left + right)
-                    i += 2
-                else:
-                    merged.append(parts[i])
-                    i += 1
-            parts = merged
+        rank, none = self.ranks.get, 1 << 30
+        order = [rank(pair, none) for pair in zip(parts, parts[1:], strict=False)]
+        while order and (best := min(order)) < none:
+            i = order.index(best)  # of equal ranks the first
+            parts[i] += parts.pop(i + 1)
+            del order[i]
+            if i:
+                order[i - 1] = rank((parts[i - 1], parts[i]), none)
+            if i < len(order):
+                order[i] = rank((parts[i], parts[i + 1]), none)
         return [self.ids[p] for p in parts if p in self.ids]
 
 
@@ -193,25 +183,14 @@ class Codec:
         self.vocabulary, self.lexicon = vocabulary, Lexicon(block)
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(vocabulary.special, key=len, reverse=True))) + ")") if vocabulary.special else None
         self.tokens = [t.encode() for t in vocabulary.tokens]
-        self.met, self.met_before = {}, {}
+        self.met = Memo(self._ids, REMEMBERED)
 
     def _ids(self, word: str) -> bytes:
-        found = self.met_before.get(word)
-        if found is None:
-            found = self.lexicon.get(word.encode("utf-8", "surrogatepass"))
-            if found is None:
-                found = np.array(self.vocabulary.merge(word), "<u4").tobytes()
-        if len(self.met) >= _remembered:
-            self.met, self.met_before = {}, self.met
-        self.met[word] = found
-        return found
+        found = self.lexicon.get(word.encode("utf-8", "surrogatepass"))
+        return np.array(self.vocabulary.merge(word), "<u4").tobytes() if found is None else found
 
     def _piece(self, text: str) -> bytes:
-        parts = words(text)
-        met = [*map(self.met.get, parts)]
-        if None in met:
-            met = [self._ids(w) if x is None else x for w, x in zip(parts, met, strict=True)]
-        return b"".join(met)
+        return b"".join(map(self.met.__getitem__, words(text)))
 
     def encode(self, text: str) -> bytes:
         if self.special is None or "<|" not in text:
@@ -251,7 +230,15 @@ def word_counts(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text")
 
 
 def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, lexicon_size: int, text_col: str = "text") -> bytes:
-    frequent = word_counts(docs, vocabulary, text_col).orderBy(F.desc("n"), "word").limit(lexicon_size).collect()
+    """Of the words that occur twice or more the most frequent, ``lexicon_size`` at most; words of about the same count go in or stay out together."""
+    counts = written(word_counts(docs, vocabulary, text_col).where("n > 1").withColumn("step", F.floor(F.log2("n") * 16)), "word-counts")
+    least, total = None, 0
+    for r in counts.groupBy("step").agg(F.count("*").alias("n")).orderBy(F.desc("step")).collect():  # about a thousand steps at most
+        total += r["n"]
+        if total > lexicon_size:
+            break
+        least = r["step"]
+    frequent = [] if least is None else counts.where(F.col("step") >= least).select("word").collect()
     return compiled({bytes(r["word"]): vocabulary.merge(bytes(r["word"]).decode("utf-8", "surrogatepass")) for r in frequent})
 
 

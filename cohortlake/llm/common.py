@@ -46,6 +46,22 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col), text).alias("key"), text.alias("text"))
 
 
+class Memo(dict):
+    """Remembers what ``make`` gave for a key, at most ``most`` of the newest keys and as many before them."""
+
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.most, self.before = make, most, {}
+
+    def __missing__(self, key):
+        if len(self) >= self.most:
+            self.before = dict(self)
+            self.clear()
+        found = self.before.get(key)
+        self[key] = found = self.make(key) if found is None else found
+        return found
+
+
 def join_rows(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
     """Join on doc_id and key, null ids included; the columns of ``left`` and what ``right`` adds."""
     right = right.withColumnsRenamed({"doc_id": "right_id", "key": "right_key"})

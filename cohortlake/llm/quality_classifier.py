@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import text_of, written
+from cohortlake.llm.common import Memo, text_of, written
 
 BITS = 18
 MAX_ROWS = 20_000
@@ -35,18 +35,14 @@ MIN_DOCS = 4
 RARE = 400
 PENALTY = 0.5
 SHAPES = 4  # plain, several trailing signs, signs alone, capitals
-_known: dict[str, tuple[int, int]] = {}
-_remembered = 400_000
 
 
 def _hash(name: str) -> int:
     return xxhash.xxh32_intdigest(name) >> (32 - BITS)
 
 
-def _token(token: str) -> tuple[int, int]:
-    """Feature of the word, and of its outer shape."""
-    if len(_known) > _remembered:
-        _known.clear()
+def _token(token: str) -> int:
+    """Feature of the word, and its shape."""
     end = len(token)
     while end and not token[end - 1].isalnum():
         end -= 1
@@ -54,8 +50,10 @@ def _token(token: str) -> tuple[int, int]:
     while begin < end and not token[begin].isalnum():
         begin += 1
     shape = 2 if not end else 1 if len(token) - end > 1 else 3 if end - begin > 1 and token.isupper() else 0
-    _known[token] = found = (_hash("word " + token[begin:end].lower()), shape)
-    return found
+    return _hash("word " + token[begin:end].lower()) * SHAPES + shape
+
+
+_known = Memo(_token, 400_000)
 
 
 def features(text: str) -> np.ndarray:
@@ -63,11 +61,11 @@ def features(text: str) -> np.ndarray:
     tokens = text.split()
     if not tokens:
         return np.empty(0, np.int32)
-    found = np.array([_known.get(t) or _token(t) for t in tokens], np.int64)
-    shares = {f"shape {k}": int(n) for k, n in enumerate(np.bincount(found[:, 1], minlength=SHAPES)) if k}
-    shares["repeats"] = int((found[1:, 0] == found[:-1, 0]).sum())
+    found, shapes = np.divmod(np.fromiter(map(_known.__getitem__, tokens), np.int64, len(tokens)), SHAPES)
+    shares = {f"shape {k}": int(n) for k, n in enumerate(np.bincount(shapes, minlength=SHAPES)) if k}
+    shares["repeats"] = int((found[1:] == found[:-1]).sum())
     more = [_hash(f"{name} {min(6, int(np.log2(len(tokens) / n)))}") for name, n in shares.items() if n]
-    return np.unique(np.r_[found[:, 0], more]).astype(np.int32)
+    return np.unique(np.r_[found, more]).astype(np.int32)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:

@@ -7,13 +7,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import join_rows, place, written
+from cohortlake.llm.common import Memo, place, written
 
 # Odd multipliers of the two rolling hashes, and their inverses.
 BASES = [0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93]
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-_words: dict[bytes, int] = {}
-_remembered = 400_000
+_words = Memo(xxhash.xxh64_intdigest, 400_000)
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -30,14 +29,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    found = [*map(_words.get, words)]
-    if None in found:
-        if len(_words) > _remembered:
-            _words.clear()
-        for i, x in enumerate(found):
-            if x is None:
-                found[i] = _words[words[i]] = xxhash.xxh64_intdigest(words[i])
-    return np.array(found, np.uint64)
+    return np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
 
 
 def window_hashes(units: np.ndarray, width: int, base: int = BASES[0]) -> np.ndarray:
@@ -98,7 +90,3 @@ def repeated_anchors(prints: DataFrame) -> DataFrame:
     # Only the hashes shuffle here, counted where they are read; the result has one row for each, so that the join below splits where one is very common.
     twice = written(each.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "repeated-anchors")
     return each.join(twice, "hash", "left_semi").groupBy("doc_id", "key").agg(F.collect_list("at").alias("seeds"))
-
-
-def texts_with(base: DataFrame, seeds: DataFrame) -> DataFrame:
-    return join_rows(base, seeds)
