@@ -9,6 +9,7 @@ from cohortlake.llm.bpe_codec import round_trip
 from cohortlake.llm.common import table
 from cohortlake.llm.decontamination import contaminated
 from cohortlake.llm.exact_dedup import exact_dedup
+from cohortlake.llm.html_extract import extract_text
 from cohortlake.llm.line_dedup import line_dedup
 from cohortlake.llm.quality_classifier import select_quality
 from cohortlake.llm.secret_scan import secret_scan, spans_string
@@ -17,6 +18,10 @@ from cohortlake.llm.substring_dedup import substring_dedup
 from cohortlake.llm.suffix_dedup import suffix_dedup
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
@@ -58,7 +63,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op3_bpe_encoding_and_decoding, op4_benchmark_decontamination, op5_quality_classifier, op6_substring_dedup, op7_exact_dedup, op8_suffix_array_dedup, op9_secret_scans, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_simhash_near_dedup, op3_bpe_encoding_and_decoding, op4_benchmark_decontamination, op5_quality_classifier, op6_substring_dedup, op7_exact_dedup, op8_suffix_array_dedup, op9_secret_scans, op10_line_dedup)}
 
 ORACLES = {
     "op7_exact_dedup": r"""
