@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import Memo, place, written
+from cohortlake.llm.common import PAGE_BITS, Memo, filter_bits, hash_filter, place, written
 
 # Odd multipliers of the two rolling hashes, and their inverses.
 BASES = [0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93]
@@ -78,15 +81,86 @@ def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
     return np.cumsum(marks[:-1]) > 0
 
 
-def with_copies(prints: DataFrame) -> DataFrame:
-    """Adds ``copy``: another document with a smaller id has the same ``whole`` digest. Adds no rows and needs no pairs."""
-    first = written(prints.groupBy("whole").agg(F.min(place()).alias("first"), F.count("*").alias("n_same")).where("n_same > 1").drop("n_same"), "first-copies")
-    return prints.join(first, "whole", "left").withColumn("copy", F.coalesce(place() > F.col("first"), F.lit(False))).drop("first", "whole")
+def copies(base: DataFrame) -> DataFrame:
+    """doc_id, key of the documents whose whole text a document with a smaller id has. Reads digests only, and makes no pairs."""
+    digests = written(base.select("doc_id", "key", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2")), "text-digests")
+    first = written(digests.groupBy("t1", "t2").agg(F.min(place()).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "first-copies")
+    return written(digests.join(first, ["t1", "t2"]).where(place() > F.col("first")).select("doc_id", "key").distinct(), "copies")
+
+
+def _deal_batches(parts: int):
+    """The hashes of a task, sorted and dealt to ``parts`` by their value, as a few long rows instead of one for each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def dealt() -> pa.RecordBatch:
+            hashes = np.sort(np.concatenate(held)) if held else np.empty(0, np.uint64)
+            held.clear()
+            hashes = hashes[np.r_[[True] * min(2, len(hashes)), hashes[2:] != hashes[:-2]]]  # twice is as good as more
+            cuts = np.searchsorted(hashes, (np.arange(1, parts, dtype=object) * 2**64 // parts).astype(np.uint64))
+            some = [(k, x.tobytes()) for k, x in enumerate(np.split(hashes, cuts)) if len(x)]
+            return pa.RecordBatch.from_arrays([pa.array([k for k, _ in some], pa.int32()), pa.array([x for _, x in some], pa.binary())], ["part", "sorted"])
+
+        for batch in batches:
+            held.append(batch.column("hashes").flatten().to_numpy().view(np.uint64))
+            if sum(map(len, held)) > 4_000_000:
+                yield dealt()
+        yield dealt()
+
+    return run
+
+
+def _twice_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes that occur twice or more in a part; the rows of a part come together."""
+    once, twice, part = np.empty(0, np.uint64), np.empty(0, np.uint64), None
+    for batch in batches:
+        for k, raw in zip(batch.column("part").to_pylist(), batch.column("sorted").to_pylist(), strict=True):
+            if k != part:
+                yield pa.RecordBatch.from_arrays([pa.array(twice.view(np.int64))], ["hash"])
+                once, twice, part = np.empty(0, np.uint64), np.empty(0, np.uint64), k
+            both = np.sort(np.concatenate([once, np.frombuffer(raw, np.uint64)]))
+            same = both[1:] == both[:-1]
+            twice = np.union1d(twice, both[1:][same])
+            once = both[np.r_[True, ~same]] if len(both) else both
+    yield pa.RecordBatch.from_arrays([pa.array(twice.view(np.int64))], ["hash"])
+
+
+def repeated_hashes(prints: DataFrame) -> DataFrame:
+    """hash: of the anchors' hashes those that occur twice or more."""
+    total = prints.agg(F.sum(F.size("hashes")).alias("n")).first()["n"] or 0
+    # Equal hashes sort together and collapse to one, so that a part holds about 500,000 different ones however common some are.
+    parts = max(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // 500_000))
+    dealt = prints.select("hashes").mapInArrow(_deal_batches(parts), "part int, sorted binary")
+    return written(dealt.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_twice_batches, "hash long"), "repeated-hashes")
+
+
+def _seed_batches(shared, bits: int):
+    """Rows for the anchors that the filter of repeated hashes lets through."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed = np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            hashes = batch.column("hashes").flatten().to_numpy()
+            row = np.repeat(np.arange(batch.num_rows), np.diff(batch.column("hashes").offsets.to_numpy()))
+            u = hashes.view(np.uint64)
+            keep = np.ones(len(u), bool)
+            for slot in (u & np.uint64(bits - 1), (u >> np.uint64(32)) & np.uint64(bits - 1)):
+                keep &= (packed[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+            which = pa.array(row[keep])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(which), batch.column("key").take(which), pa.array(hashes[keep]), pa.array(batch.column("ats").flatten().to_numpy()[keep])], ["doc_id", "key", "hash", "at"])
+
+    return run
 
 
 def repeated_anchors(prints: DataFrame) -> DataFrame:
-    """doc_id, key, seeds: positions of the anchors whose hash occurs twice or more outside of copies. ``prints`` has hashes and ats."""
-    each = prints.where("NOT copy").select("doc_id", "key", F.explode(F.arrays_zip("hashes", "ats")).alias("a")).select("doc_id", "key", F.col("a.hashes").alias("hash"), F.col("a.ats").alias("at"))
-    # Only the hashes shuffle here, counted where they are read; the result has one row for each, so that the join below splits where one is very common.
-    twice = written(each.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "repeated-anchors")
-    return each.join(twice, "hash", "left_semi").groupBy("doc_id", "key").agg(F.collect_list("at").alias("seeds"))
+    """doc_id, key, seeds: positions of the anchors whose hash occurs twice or more. ``prints`` has hashes and ats."""
+    twice = repeated_hashes(prints)
+    bits = filter_bits(twice.count())
+    packed = np.zeros(bits // 8, np.uint8)
+    for r in hash_filter(twice, "hash", bits).collect():  # MAX_FILTER_BITS at most
+        packed[r["page"] * (PAGE_BITS // 8) :][: PAGE_BITS // 8] = np.frombuffer(bytes(r["bitmap"]), np.uint8)
+    shared = prints.sparkSession.sparkContext.broadcast(packed.tobytes())
+    # The filter spares the shuffle; the join is what decides, and splits where a hash is very common.
+    some = prints.select("doc_id", "key", "hashes", "ats").mapInArrow(_seed_batches(shared, bits), "doc_id long, key long, hash long, at int")
+    return written(some.join(twice, "hash", "left_semi").groupBy("doc_id", "key").agg(F.collect_set("at").alias("seeds")), "seeds")

@@ -7,8 +7,8 @@ and those that a document with a smaller id also holds mark their words. Windows
 alone are extended to twice the length, whose hash joins those of the two halves, and so on until no
 candidates survive; that gives each document the longest level at which it still repeats.
 
-Documents with the same sequence of words are settled as a whole: all but the first are copies, which hold
-nothing that the first doesn't. Windows are judged on the input, not on what is left.
+Documents with the same text are settled as a whole: all but the first are copies, which hold nothing that
+the first doesn't. Windows are judged on the input, not on what is left.
 
 Defined cases: a null text has no words; texts shorter than the target stay whole; null ids count as the
 largest; rows that agree in id do not remove each other's words; an empty table gives an empty result; other
@@ -17,7 +17,6 @@ columns are left out.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import join_rows, keyed, place, written
-from cohortlake.llm.sequences import BASES, anchors, covered, repeated_anchors, starts_around, window_hashes, with_copies, word_hashes
+from cohortlake.llm.common import keyed, light_join, place, written
+from cohortlake.llm.sequences import BASES, anchors, copies, covered, repeated_anchors, starts_around, window_hashes, word_hashes
 
 MIN_WORDS = 50
 
@@ -40,15 +39,14 @@ def _print_batches(min_words: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            whole, hashes, ats = [], [], []
+            hashes, ats = [], []
             for text in batch.column("text"):
                 words = _words(text.as_py())
-                whole.append(hashlib.blake2b(b" ".join(words), digest_size=16).digest())
                 found = window_hashes(word_hashes(words), half) if len(words) >= min_words else np.empty(0, np.uint64)
                 at = anchors(found, min_words - half + 1)
                 hashes.append(found[at].view(np.int64))
                 ats.append(at.astype(np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(whole, pa.binary()), pa.array(hashes, pa.list_(pa.int64())), pa.array(ats, pa.list_(pa.int32()))], ["doc_id", "key", "whole", "hashes", "ats"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(hashes, pa.list_(pa.int64())), pa.array(ats, pa.list_(pa.int32()))], ["doc_id", "key", "hashes", "ats"])
 
     return run
 
@@ -114,15 +112,15 @@ def levels(windows: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
 def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, longest_repeat (0: none; copies aside), kept_text."""
     base = keyed(docs, id_col, text_col)
-    prints = written(base.mapInArrow(_print_batches(min_words), "doc_id long, key long, whole binary, hashes array<long>, ats array<int>"), "word-anchors")
-    prints = written(with_copies(prints), "word-anchors")
-    windows = join_rows(base, repeated_anchors(prints)).mapInArrow(_window_batches(min_words), "doc_id long, key long, start int, w1 long, w2 long")
+    again = copies(base)
+    prints = written(light_join(base, again, "left_anti").mapInArrow(_print_batches(min_words), "doc_id long, key long, hashes array<long>, ats array<int>"), "word-anchors")
+    windows = light_join(base, repeated_anchors(prints), "inner").mapInArrow(_window_batches(min_words), "doc_id long, key long, start int, w1 long, w2 long")
     # Rows that agree in id and text give the same windows.
     later, longest = levels(written(windows, "word-windows"), min_words)
     starts = later.groupBy("doc_id", "key").agg(F.collect_set("start").alias("starts"))
-    marks = prints.where("copy").select("doc_id", "key", F.lit(True).alias("copy")).distinct()
+    marks = again.withColumn("copy", F.lit(True))
     notes = starts.select("doc_id", "key", "starts", F.lit(None).cast("int").alias("longest"), F.lit(None).cast("boolean").alias("copy"))
     notes = notes.unionByName(longest, allowMissingColumns=True).unionByName(marks, allowMissingColumns=True)
-    notes = notes.groupBy("doc_id", "key").agg(F.first("starts", True).alias("starts"), F.coalesce(F.max("longest"), F.lit(0)).alias("longest"), F.coalesce(F.max("copy"), F.lit(False)).alias("copy"))
-    joined = join_rows(base, notes, "left").select("doc_id", "text", "starts", F.coalesce("longest", F.lit(0)).cast("long").alias("longest"), F.coalesce("copy", F.lit(False)).alias("copy"))
+    notes = written(notes.groupBy("doc_id", "key").agg(F.first("starts", True).alias("starts"), F.coalesce(F.max("longest"), F.lit(0)).alias("longest"), F.coalesce(F.max("copy"), F.lit(False)).alias("copy")), "word-notes")
+    joined = light_join(base, notes, "left").select("doc_id", "text", "starts", F.coalesce("longest", F.lit(0)).cast("long").alias("longest"), F.coalesce("copy", F.lit(False)).alias("copy"))
     return joined.mapInArrow(_keep_batches(min_words), "doc_id long, n_words long, n_removed long, longest_repeat long, kept_text string")

@@ -20,7 +20,6 @@ are not UTF-8, so the result holds bytes; other columns are left out.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import join_rows, keyed, place, written
-from cohortlake.llm.sequences import anchors, covered, repeated_anchors, starts_around, window_hashes, with_copies
+from cohortlake.llm.common import keyed, light_join, place, written
+from cohortlake.llm.sequences import anchors, copies, covered, repeated_anchors, starts_around, window_hashes
 
 MIN_BYTES = 100
 SHALLOW = 32
@@ -44,15 +43,14 @@ def _print_batches(min_bytes: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            whole, hashes, ats = [], [], []
+            hashes, ats = [], []
             for text in batch.column("text"):
                 data = text.as_py().encode("utf-8", "surrogatepass")
-                whole.append(hashlib.blake2b(data, digest_size=16).digest())
                 found = window_hashes(_units(data), half) if len(data) >= min_bytes else np.empty(0, np.uint64)
                 at = anchors(found, min_bytes - half + 1)
                 hashes.append(found[at].view(np.int64))
                 ats.append(at.astype(np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(whole, pa.binary()), pa.array(hashes, pa.list_(pa.int64())), pa.array(ats, pa.list_(pa.int32()))], ["doc_id", "key", "whole", "hashes", "ats"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(hashes, pa.list_(pa.int64())), pa.array(ats, pa.list_(pa.int32()))], ["doc_id", "key", "hashes", "ats"])
 
     return run
 
@@ -260,12 +258,12 @@ def repeated_runs(contexts: DataFrame, min_bytes: int, bucket_size: int) -> Data
 def suffix_dedup(docs: DataFrame, min_bytes: int = MIN_BYTES, bucket_size: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept (bytes)."""
     base = keyed(docs, id_col, text_col)
-    prints = written(base.mapInArrow(_print_batches(min_bytes), "doc_id long, key long, whole binary, hashes array<long>, ats array<int>"), "byte-anchors")
-    prints = written(with_copies(prints), "byte-anchors")
-    contexts = join_rows(base, repeated_anchors(prints)).mapInArrow(_context_batches(min_bytes), "doc_id long, key long, anchor long, at int, start int, count int, bytes binary")
+    again = copies(base)
+    prints = written(light_join(base, again, "left_anti").mapInArrow(_print_batches(min_bytes), "doc_id long, key long, hashes array<long>, ats array<int>"), "byte-anchors")
+    contexts = light_join(base, repeated_anchors(prints), "inner").mapInArrow(_context_batches(min_bytes), "doc_id long, key long, anchor long, at int, start int, count int, bytes binary")
     runs = repeated_runs(written(contexts, "contexts"), min_bytes, bucket_size)
     spans = runs.groupBy("doc_id", "key").agg(F.collect_set(F.struct("start", "count")).alias("spans"))
-    copies = prints.where("copy").select("doc_id", "key", F.lit(True).alias("copy")).distinct()
-    notes = spans.withColumn("copy", F.lit(False)).unionByName(copies, allowMissingColumns=True)
-    joined = join_rows(base, notes, "left").select("doc_id", "text", F.coalesce("copy", F.lit(False)).alias("copy"), "spans")
+    copied = again.withColumn("copy", F.lit(True))
+    notes = written(spans.withColumn("copy", F.lit(False)).unionByName(copied, allowMissingColumns=True), "byte-notes")
+    joined = light_join(base, notes, "left").select("doc_id", "text", F.coalesce("copy", F.lit(False)).alias("copy"), "spans")
     return joined.mapInArrow(_keep_batches(min_bytes), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
