@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import join_rows, keyed, place, written
+from cohortlake.llm.common import join_rows, keyed, light_join, place, written
 
 MIN_LINES = 3
 
@@ -36,24 +36,23 @@ def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, id_col: str = "d
     base = keyed(docs, id_col, text_col)
     hashed = written(base.select("doc_id", "key", F.expr("transform(split(text, '\\n', -1), x -> xxhash64(x))").alias("hashes")).where(F.size("hashes") >= min_lines), "line-hashes")
     prints = hashed.select("doc_id", "key", F.explode(F.expr(_fingerprints(min_lines))).alias("p")).select("doc_id", "key", "p.hash", "p.at")
-    twice = prints.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    twice = written(prints.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "repeated-prints")
     seeds = prints.join(twice, "hash", "left_semi").groupBy("doc_id", "key").agg(F.collect_set("at").alias("seeds"))
     both = join_rows(hashed, seeds)
     starts = F.expr(f"array_distinct(flatten(transform(seeds, p -> sequence(greatest(p - {min_lines - 1}, 0), least(p, size(hashes) - {min_lines})))))")
     windows = both.select("doc_id", "key", "hashes", F.explode(starts).alias("start"))
     run = f"slice(hashes, start + 1, {min_lines})"
     windows = written(windows.select("doc_id", "key", "start", F.expr(f"xxhash64({run})").alias("w1"), F.expr(f"xxhash64(1, {run})").alias("w2")), "line-windows")
-    first = windows.groupBy("w1", "w2").agg(F.min(place("start")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    first = written(windows.groupBy("w1", "w2").agg(F.min(place("start")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "first-windows")
     later = windows.join(first, ["w1", "w2"]).where(place("start") > F.col("first"))
     marks = later.select("doc_id", "key", F.explode(F.sequence(F.col("start"), F.col("start") + min_lines - 1)).alias("line"))
-    return marks.groupBy("doc_id", "key").agg(F.collect_set("line").alias("removed"))
+    return written(marks.groupBy("doc_id", "key").agg(F.collect_set("line").alias("removed")), "repeated-lines")
 
 
 def line_dedup(docs: DataFrame, min_lines: int = MIN_LINES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_lines, n_removed, kept_text."""
     base = keyed(docs, id_col, text_col)
-    marks = repeated_lines(docs, min_lines, id_col, text_col)
-    joined = join_rows(base, marks, "left")
+    joined = light_join(base, repeated_lines(docs, min_lines, id_col, text_col), "left")
     # A map keeps the test of each line short in documents with very many lines.
     gone = F.expr("map_from_entries(transform(removed, i -> struct(i, true)))")
     return joined.select(

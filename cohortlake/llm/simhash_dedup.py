@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import text_of, written
+from cohortlake.llm.common import light_join, text_of, written
 
 SEED = 42
 BITS = 64
@@ -172,13 +172,18 @@ def simhash_groups(docs: DataFrame, radius: int = 3, id_col: str = "doc_id", tex
     parts = components(links(each.select("print"), radius)).withColumnRenamed("node", "print")
     labelled = each.join(parts, "print", "left").withColumn("component", F.coalesce("component", "print"))
     least = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_print = labelled.join(least, "component").select("print", "component_id")
+    # Written, with one row for each fingerprint, so that adaptive execution can split a fingerprint that very many rows share.
+    by_print = written(labelled.join(least, "component").select("print", "component_id"), "fingerprint-components")
     return rows.join(by_print, "print").select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def simhash_dedup(docs: DataFrame, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that stay: of each component the one with the smallest id."""
-    groups = simhash_groups(docs, radius, id_col, text_col)
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stays")).distinct()
-    packed = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"))
-    return packed.join(stay, F.col("id").eqNullSafe(F.col("stays")), "left_semi").dropDuplicates(["id"]).select("row.*")
+    groups = written(simhash_groups(docs, radius, id_col, text_col), "simhash-groups").withColumn("key", F.xxhash64("doc_id"))
+    goes = written(groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "key").distinct(), "near-copies")
+    stays = groups.join(goes, (groups["key"] == goes["key"]) & groups["doc_id"].eqNullSafe(goes["doc_id"]), "left_anti")
+    many = written(stays.groupBy("doc_id", "key").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "repeated-ids")
+    packed = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col).cast("long")).alias("key"))
+    left = light_join(packed, goes, "left_anti")
+    once = light_join(left, many, "left_anti")
+    return once.unionByName(light_join(left, many, "inner").dropDuplicates(["doc_id"])).select("row.*")
