@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,8 +22,8 @@ def query(sql: str | None = None):
     def register(f: Callable[[SparkSession, str], DataFrame]):
         QUERIES[f.__name__] = f
         if sql is not None:
-            std = "std" in sql or "widths" in sql
-            parts = [f"rec AS ({RECORD_SQL})"] if "rec" in sql or std else []
+            std = re.search(r"\b(std|widths)\b", sql)
+            parts = [f"rec AS ({RECORD_SQL})"] if std or re.search(r"\brec\b", sql) else []
             if std:
                 parts += [f"widths AS MATERIALIZED ({WIDTHS_SQL})", f"std AS ({STANDARD_SQL})"]
             ORACLES[f.__name__] = (f"WITH {', '.join(parts)} " if parts else "") + sql
