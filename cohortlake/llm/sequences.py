@@ -97,7 +97,9 @@ def _deal_batches(parts: int):
         def dealt() -> pa.RecordBatch:
             hashes = np.sort(np.concatenate(held)) if held else np.empty(0, np.uint64)
             held.clear()
-            hashes = hashes[np.r_[[True] * min(2, len(hashes)), hashes[2:] != hashes[:-2]]]  # twice is as good as more
+            keep = np.ones(len(hashes), bool)
+            keep[2:] = hashes[2:] != hashes[:-2]  # twice is as good as more
+            hashes = hashes[keep]
             cuts = np.searchsorted(hashes, (np.arange(1, parts, dtype=object) * 2**64 // parts).astype(np.uint64))
             some = [(k, x.tobytes()) for k, x in enumerate(np.split(hashes, cuts)) if len(x)]
             return pa.RecordBatch.from_arrays([pa.array([k for k, _ in some], pa.int32()), pa.array([x for _, x in some], pa.binary())], ["part", "sorted"])
