@@ -73,11 +73,11 @@ def starts_around(at: np.ndarray, before: int, last: int) -> np.ndarray:
     return np.flatnonzero(np.cumsum(marks[:-1]) > 0)
 
 
-def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
-    """Which of n units lie in a window that starts at one of ``starts``."""
+def covered(starts: np.ndarray, stops: np.ndarray, n: int) -> np.ndarray:
+    """Which of n units lie between one of ``starts`` and its stop."""
     marks = np.zeros(n + 1, np.int32)
     np.add.at(marks, starts, 1)
-    np.add.at(marks, np.minimum(starts + width, n), -1)
+    np.add.at(marks, np.minimum(stops, n), -1)
     return np.cumsum(marks[:-1]) > 0
 
 

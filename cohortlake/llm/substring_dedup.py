@@ -75,7 +75,7 @@ def _keep_batches(min_words: int):
                 if copy and len(words) >= min_words:
                     kept = []
                 elif starts:
-                    gone = covered(np.array(starts), min_words, len(words))
+                    gone = covered(np.array(starts), np.array(starts) + min_words, len(words))
                     kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
                 rows.append((len(words), len(words) - len(kept), b" ".join(kept).decode("utf-8", "surrogatepass")))
             n, gone, kept = zip(*rows, strict=True) if rows else ((), (), ())

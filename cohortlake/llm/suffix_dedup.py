@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,8 +45,7 @@ def _print_batches(min_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes, ats = [], []
-            for text in batch.column("text"):
-                data = text.as_py().encode("utf-8", "surrogatepass")
+            for data in batch.column("text").cast(pa.binary()).to_pylist():
                 found = window_hashes(_units(data), half) if len(data) >= min_bytes else np.empty(0, np.uint64)
                 at = anchors(found, min_bytes - half + 1)
                 hashes.append(found[at].view(np.int64))
@@ -74,8 +74,8 @@ def _context_batches(min_bytes: int):
         names = ["doc_id", "key", "anchor", "at", "start", "count", "bytes"]
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, key, text, seeds in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "key", "text", "seeds")), strict=True):
-                data = text.encode("utf-8", "surrogatepass")
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            for doc_id, key, data, seeds in zip(batch.column("doc_id").to_pylist(), batch.column("key").to_pylist(), texts, batch.column("seeds").to_pylist(), strict=True):
                 rows += [(doc_id, key, anchor, at - start, start, count, data[start : start + count - 1 + min_bytes]) for anchor, at, start, count in _contexts(data, seeds, min_bytes)]
                 if len(rows) > 50_000:
                     yield _batch(rows, names)
@@ -146,21 +146,27 @@ def deep_shallow(data: np.ndarray, at: np.ndarray, group: np.ndarray, width: int
     """Order of the suffixes data[at:at + width] within their groups, and for each place in that order whether it equals the one before."""
     order = np.argsort(group, kind="stable")
     tied = np.r_[False, group[order][1:] == group[order][:-1]]
-    lane = np.arange(8)
+    eights = np.ndarray(max(0, len(data) - 7), ">u8", data, strides=(1,))  # the eight bytes at each place
     for depth in range(0, min(shallow, width) // 8 * 8, 8):
         block = np.cumsum(~tied)
         some = np.flatnonzero(tied | np.r_[tied[1:], False])
         if not len(some):
             break
-        chars = data[at[order[some]][:, None] + depth + lane].view(">u8").reshape(-1).astype(np.uint64)
+        chars = eights[at[order[some]] + depth].astype(np.uint64)
         by = np.lexsort((chars, block[some]))
         order[some], chars = order[some][by], chars[by]
         tied[some[1:]] &= (chars[1:] == chars[:-1]) & (np.diff(some) == 1)
-    begins = np.flatnonzero(~tied & np.r_[tied[1:], False])
-    for begin in begins.tolist():
-        end = begin + 1
-        while end < len(tied) and tied[end]:
-            end += 1
+    # A group whose members all equal the one before them is in order already; tries sort the others.
+    deep = np.lib.stride_tricks.sliding_window_view(data, width - shallow) if width > shallow else None
+    ties, block, open_ = np.flatnonzero(tied), np.cumsum(~tied), set()
+    for i in range(0, len(ties) if deep is not None else 0, 65536):
+        some = ties[i : i + 65536]
+        differ = (deep[at[order[some]] + shallow] != deep[at[order[some - 1]] + shallow]).any(axis=1)
+        open_.update(np.unique(block[some[differ]]).tolist())
+    begins = np.flatnonzero(~tied)
+    ends = np.r_[begins[1:], len(tied)]
+    for k in sorted(open_):
+        begin, end = int(begins[k - 1]), int(ends[k - 1])
         members = order[begin:end].copy()
         raw = data[at[members][:, None] + np.arange(shallow, width)]
         to = begin
@@ -188,13 +194,17 @@ def _sort_batches(min_bytes: int, most: int = 20_000):
         start = np.array(rows["start"])[row] + step
         equal = np.empty(len(order), np.int64)
         equal[order] = np.cumsum(~tied)
-        rank = np.lexsort((start, ids[row], null[row], equal))
-        later = rank[np.r_[False, (equal[rank][1:] == equal[rank][:-1])]] if len(rank) else rank
-        firsts = {}
-        for i in rank[np.r_[True, equal[rank][1:] != equal[rank][:-1]]].tolist() if len(later) else ():
-            firsts[equal[i]] = (null[row[i]], ids[row[i]], start[i])
-        kept = [i for i in later.tolist() if (null[row[i]], ids[row[i]], start[i]) > firsts[equal[i]]]
-        return pa.RecordBatch.from_arrays([pa.array([rows["doc_id"][row[i]] for i in kept], pa.int64()), pa.array([rows["key"][row[i]] for i in kept], pa.int64()), pa.array([int(start[i]) for i in kept], pa.int32())], ["doc_id", "key", "start"])
+        some = order[tied | np.r_[tied[1:], False]]
+        rank = some[np.lexsort((start[some], ids[row[some]], null[row[some]], equal[some]))]
+        head = np.r_[True, equal[rank][1:] != equal[rank][:-1]][: len(rank)]
+        first = rank[np.maximum.accumulate(np.where(head, np.arange(len(rank)), 0))]
+        # Places are sorted, so those that differ from the first come after it.
+        later = np.sort(rank[(null[row[rank]] != null[row[first]]) | (ids[row[rank]] != ids[row[first]]) | (start[rank] != start[first])])
+        # Places that follow each other in a document leave as one run.
+        cuts = np.flatnonzero(np.r_[True, (np.diff(later) != 1) | (np.diff(row[later]) != 0)][: len(later)])
+        which = later[cuts]
+        doc_id, key = (pa.array(rows[c], pa.int64()).take(pa.array(row[which])) for c in ("doc_id", "key"))
+        return pa.RecordBatch.from_arrays([doc_id, key, pa.array(start[which], pa.int32()), pa.array(np.diff(np.r_[cuts, len(later)]), pa.int32())], ["doc_id", "key", "start", "count"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: dict[str, list] = {}
@@ -218,13 +228,15 @@ def _keep_batches(min_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, copy, spans in zip(*(batch.column(c).to_pylist() for c in ("text", "copy", "spans")), strict=True):
-                data = text.encode("utf-8", "surrogatepass")
+            spans = batch.column("spans")
+            flat, sizes = spans.flatten(), pc.list_value_length(spans).fill_null(0).to_numpy()
+            start, stop = flat.field("start").to_numpy(), flat.field("start").to_numpy() + flat.field("count").to_numpy() - 1 + min_bytes
+            ends = np.cumsum(sizes)
+            for data, copy, begin, end in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("copy").to_pylist(), (ends - sizes).tolist(), ends.tolist(), strict=True):
                 if copy and len(data) >= min_bytes:
                     rows.append((len(data), len(data), 1, b""))
-                elif spans:
-                    starts = np.concatenate([np.arange(s["start"], s["start"] + s["count"]) for s in spans])
-                    gone = covered(starts, min_bytes, len(data))
+                elif begin < end:
+                    gone = covered(start[begin:end], stop[begin:end], len(data))
                     runs = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
                     rows.append((len(data), int(gone.sum()), runs, np.frombuffer(data, np.uint8)[~gone].tobytes()))
                 else:
@@ -247,7 +259,7 @@ def repeated_runs(contexts: DataFrame, min_bytes: int, bucket_size: int) -> Data
     sizes = written(firsts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "bucket-sizes")
     open_runs = firsts.join(sizes, "anchor").drop("later")
     sortable = open_runs.where(F.col("n") <= bucket_size).select("anchor", "doc_id", "key", "at", "start", "count", "bytes")
-    found = sortable.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sort_batches(min_bytes), "doc_id long, key long, start int").withColumn("count", F.lit(1))
+    found = sortable.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sort_batches(min_bytes), "doc_id long, key long, start int, count int")
     common = open_runs.where(F.col("n") > bucket_size).select("doc_id", "key", F.expr(f"explode(transform(sequence(0, count - 1), i -> struct(start + i AS start, substring(bytes, i + 1, {min_bytes}) AS run)))").alias("r"))
     common = written(common.select("doc_id", "key", "r.start", F.xxhash64("r.run").alias("c1"), F.xxhash64(F.lit(1), "r.run").alias("c2")), "common-runs")
     earliest = written(common.groupBy("c1", "c2").agg(F.min(place("start")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "first-runs")
