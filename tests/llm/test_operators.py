@@ -255,6 +255,30 @@ def test_decontamination(spark):
     assert len(got) >= 14
 
 
+def planted(spark, lengths, offsets, share, seed):
+    """Recall of items of the lengths whose words are exchanged in ``share`` of all places and which a search by common subsequence accepts; at the production defaults."""
+    r = random.Random(seed)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randrange(3, 7)))
+    pool = [*{word() for _ in range(3000)}]
+    words = lambda n: r.choices(pool, k=n)
+    items = [(k, words(n)) for k, n in enumerate(lengths)]
+    docs, wanted = [(i, " ".join(words(300))) for i in range(200)], set()
+    for k, item in items:
+        for o in offsets:
+            new = [w if r.random() >= share else r.choice(pool) for w in item]
+            if decontamination.common_length(item, new) >= 0.6 * len(item) and decontamination.common_length(item[-8:], new) >= 0.5 * len(item[-8:]):
+                wanted.add((1000 + 100 * k + o, k))
+                docs.append((1000 + 100 * k + o, " ".join(words(48 + o) + new + words(40))))
+    out = decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(k, " ".join(t)) for k, t in items], "item_id long, text string"))
+    got = {(x["doc_id"], x["item_id"]) for x in out.collect()}
+    assert len(wanted) > 20 and got <= wanted
+    return len(got) / len(wanted)
+
+
+def test_decontamination_recall_of_paraphrases(spark):
+    assert planted(spark, range(32, 60, 3), range(0, 8, 2), 0.25, 8) >= 0.9
+
+
 def test_quality(spark):
     r = random.Random(6)
     word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randrange(2, 6)))
