@@ -279,6 +279,19 @@ def test_decontamination_recall_of_paraphrases(spark):
     assert planted(spark, range(32, 60, 3), range(0, 8, 2), 0.25, 8) >= 0.9
 
 
+def test_decontamination_of_short_items(spark):
+    assert planted(spark, range(8, 32, 3), range(8), 0, 9) == 1
+    assert planted(spark, range(16, 32, 2), range(8), 0.2, 10) >= 0.9
+
+
+def test_decontamination_of_few_words_and_unspaced_scripts(spark):
+    passage = "人体尿液中砷的浓度与饮用水中砷的含量有关并且随年龄增加"
+    items = [(1, "Arsenic trioxide"), (2, passage), (3, "血中铅"), (4, "..."), (5, "")]
+    docs = [(10, "of arsenic, trioxide"), (11, "on (arsenic trioxide)."), (12, "arsenic trioxides"), (13, "我们发现" + passage + "。结论"), (14, "血中的铅"), (15, "测血中铅值"), (16, "..."), (None, "ARSENIC TRIOXIDE arsenic trioxide")]
+    out = decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted(((x["doc_id"] or 0, x["item_id"]) for x in out.collect())) == [(0, 1), (10, 1), (11, 1), (13, 2), (15, 3)]
+
+
 def test_quality(spark):
     r = random.Random(6)
     word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randrange(2, 6)))
