@@ -14,7 +14,8 @@ distributed; the driver sees counts and checksums.
 
 Defined cases: a null or blank text has fingerprint zero and links like any other; null ids get the
 smallest id of their component, or null if there is none; repeated rows each give a row; an empty table
-gives an empty result; other columns are left out.
+gives an empty result; other columns are left out. ``simhash_dedup`` tells rows by id and text: rows without
+an id, or with one id, that have different texts stay or go each by its own component.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import light_join, text_of, written
+from cohortlake.llm.common import keyed, light_join, place, text_of, written
 
 SEED = 42
 BITS = 64
@@ -54,12 +55,12 @@ def fingerprint(text: str, shingle: int = 3) -> int:
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = pa.array([fingerprint(t) for t in batch.column("text").to_pylist()], pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), prints], ["doc_id", "print"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), prints], ["doc_id", "key", "print"])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, print (signed 64-bit) for each row."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(_fingerprint_batches, "doc_id long, print long")
+    """doc_id, key, print (signed 64-bit) for each row."""
+    return keyed(docs, id_col, text_col).mapInArrow(_fingerprint_batches, "doc_id long, key long, print long")
 
 
 def bk_trees(group: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -165,25 +166,29 @@ def components(edges: DataFrame) -> DataFrame:
         edges = written(small.distinct(), "links")
 
 
-def simhash_groups(docs: DataFrame, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, fingerprint, component_id."""
+def _groups(docs: DataFrame, radius: int, id_col: str, text_col: str) -> DataFrame:
+    """One row per input row: doc_id, key, print and ``least``, the place of its component's first row by id (null ids last) and key."""
     rows = written(fingerprints(docs, id_col, text_col), "fingerprints")
-    each = written(rows.groupBy("print").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
+    each = written(rows.groupBy("print").agg(F.min(place("key")).alias("least")), "distinct-fingerprints")
     parts = components(links(each.select("print"), radius)).withColumnRenamed("node", "print")
     labelled = each.join(parts, "print", "left").withColumn("component", F.coalesce("component", "print"))
-    least = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
+    least = labelled.groupBy("component").agg(F.min("least").alias("first"))
     # Written, with one row for each fingerprint, so that adaptive execution can split a fingerprint that very many rows share.
-    by_print = written(labelled.join(least, "component").select("print", "component_id"), "fingerprint-components")
-    return rows.join(by_print, "print").select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+    by_print = written(labelled.join(least, "component").select("print", F.col("first").alias("least")), "fingerprint-components")
+    return rows.join(by_print, "print")
+
+
+def simhash_groups(docs: DataFrame, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: doc_id, fingerprint, component_id."""
+    return _groups(docs, radius, id_col, text_col).select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), F.col("least.id").alias("component_id"))
 
 
 def simhash_dedup(docs: DataFrame, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that stay: of each component the one with the smallest id."""
-    groups = written(simhash_groups(docs, radius, id_col, text_col), "simhash-groups").withColumn("key", F.xxhash64("doc_id"))
-    goes = written(groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "key").distinct(), "near-copies")
-    stays = groups.join(goes, (groups["key"] == goes["key"]) & groups["doc_id"].eqNullSafe(goes["doc_id"]), "left_anti")
-    many = written(stays.groupBy("doc_id", "key").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "repeated-ids")
-    packed = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col).cast("long")).alias("key"))
+    """The rows of ``docs``, all columns, that stay: of each component the one with the smallest id, and of several with this id one."""
+    groups = written(_groups(docs, radius, id_col, text_col).select("doc_id", "key", (place("key") == F.col("least")).alias("stays")), "simhash-groups")
+    goes = written(groups.where("NOT stays").select("doc_id", "key").distinct(), "near-copies")
+    many = written(groups.where("stays").groupBy("doc_id", "key").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "repeated-rows")
+    packed = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col), text_of(text_col)).alias("key"))
     left = light_join(packed, goes, "left_anti")
     once = light_join(left, many, "left_anti")
-    return once.unionByName(light_join(left, many, "inner").dropDuplicates(["doc_id"])).select("row.*")
+    return once.unionByName(light_join(left, many, "inner").dropDuplicates(["doc_id", "key"])).select("row.*")

@@ -150,6 +150,14 @@ def test_simhash(docs, rows):
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted({*group.values()})
 
 
+def test_simhash_keeps_unlike_texts_without_or_with_one_id(spark):
+    r = random.Random(12)
+    a, b, c, d, e = (" ".join(r.choice(WORDS) + str(r.randrange(400)) for _ in range(60)) for _ in range(5))
+    rows = [(1, a), (None, a), (None, b), (None, c), (None, c), (2, d), (2, e), (2, e), (3, d), (4, None), (None, "")]
+    kept = simhash_dedup.simhash_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(map(str, map(tuple, kept.collect()))) == sorted(map(str, [(1, a), (None, b), (None, c), (2, d), (2, e), (4, None)]))
+
+
 def test_bk_trees_find_all_links():
     rng = np.random.default_rng(1)
     near = rng.integers(0, 2**63, 30).astype(np.uint64)
