@@ -2,18 +2,23 @@
 
 A labelled document has a grade: 0 toxic, 1 poor, 2 good. With a document's hashed features x, shared
 weights w and ordered thresholds, P(grade <= k) = sigmoid(threshold_k - w.x). Features are the words that
-occur (lower case, without outer punctuation), and how large a share of the words is of a shape (several
-trailing signs, signs alone, capitals) or repeats the word before, in octaves.
+occur (lower case, without outer signs) and the beginnings of longer words, and how large a share of the
+words has a shape (several trailing signs, signs alone, capitals) or repeats the word before.
+
+A word's value is the logarithm of how much more often it occurs below a threshold than above, so that the
+many words that tell nothing weigh nothing however long a text is; shares are real values. Words in fewer than
+``min_docs`` documents of the sample, and those whose ratio is within chance, get no weight. Of the
+penalties the one with the least loss on a fifth of the labels, held out by hash, is taken.
 
 Training uses at most ``max_rows`` labelled documents, those with the smallest hashes of their ids; every
 other bound follows from it: the features of the sample are written, and each step of the quasi-Newton
-search sums gradients over its partitions. Features in fewer than ``min_docs`` documents of the sample, or
-in fewer than one of ``rare``, get no weight. Scoring runs over all documents in one scan, without a shuffle.
+search sums gradients over its partitions. Scoring runs over all documents in one scan, without a shuffle.
 
-Defined cases: null labels and labels of unknown documents are left out; of several labels of a document
-the lowest grade counts; a null or blank text has no features, and so the grade the thresholds imply; with
-no labels at all every document gets null scores and is selected; null ids and repeated rows are scored like any
-other row; an empty table gives an empty result.
+Defined cases: null labels, labels of unknown documents and of ids that several rows share are left out of
+training; of several labels of a document the lowest grade counts; a null or blank text has no features, and
+so the grade the thresholds imply; with no labels at all every document gets null scores and is selected; null
+ids and repeated rows are scored like any other row; an empty table gives an empty result; other columns, whatever
+their names, pass through in ``row``.
 """
 
 from __future__ import annotations
@@ -21,91 +26,99 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import Memo, text_of, written
+from cohortlake.llm.common import text_of, written
+from cohortlake.llm.tokens import hashes_of, pieces, raw, word_places, words_of
 
-BITS = 18
+BITS = 22
 MAX_ROWS = 20_000
 MIN_DOCS = 4
-RARE = 400
-PENALTY = 0.5
-SHAPES = 4  # plain, several trailing signs, signs alone, capitals
-
-
-def _hash(name: str) -> int:
-    return xxhash.xxh32_intdigest(name) >> (32 - BITS)
-
-
-def _token(token: str) -> int:
-    """Feature of the word, and its shape."""
-    end = len(token)
-    while end and not token[end - 1].isalnum():
-        end -= 1
-    begin = 0
-    while begin < end and not token[begin].isalnum():
-        begin += 1
-    shape = 2 if not end else 1 if len(token) - end > 1 else 3 if end - begin > 1 and token.isupper() else 0
-    return _hash("word " + token[begin:end].lower()) * SHAPES + shape
-
-
-_known = Memo(_token, 400_000)
-
-
-def features(text: str) -> np.ndarray:
-    """The hashed features of a whole text, each once."""
-    tokens = text.split()
-    if not tokens:
-        return np.empty(0, np.int32)
-    found, shapes = np.divmod(np.fromiter(map(_known.__getitem__, tokens), np.int64, len(tokens)), SHAPES)
-    shares = {f"shape {k}": int(n) for k, n in enumerate(np.bincount(shapes, minlength=SHAPES)) if k}
-    shares["repeats"] = int((found[1:] == found[:-1]).sum())
-    more = [_hash(f"{name} {min(6, int(np.log2(len(tokens) / n)))}") for name, n in shares.items() if n]
-    return np.unique(np.r_[found, more]).astype(np.int32)
+CHANCE = 6.0  # squared standard errors that a ratio must lie from one
+PENALTIES = (100.0, 10.0, 1.0)
+BEGINNINGS = (5, 7)  # bytes
+SHARES = 4
+STEEP = 64
+
+
+def _capitals(column: pa.Array) -> np.ndarray:
+    """Words with several capital letters of ASCII and no small one."""
+    data, rows = raw(column)
+    starts, stops = word_places(data, rows)
+    large, small = (np.r_[0, np.cumsum((data >= low) & (data < low + 26))] for low in (0x41, 0x61))
+    return (large[stops] - large[starts] > 1) & (small[stops] == small[starts])
+
+
+def features(column: pa.Array, used: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows and features of whole texts, each pair once in order, of ``used`` features only if given; and the shares of each row."""
+    cells, counts, total = [], np.zeros((len(column), SHARES)), np.zeros(len(column))
+    for begin, part, _ in pieces(column):
+        small = pc.utf8_lower(part)
+        w = words_of(small)
+        data = raw(small)[0]
+        rows, found = [w.row], [w.hash]
+        for k in BEGINNINGS:
+            some = np.flatnonzero(w.bare > k)
+            rows.append(w.row[some])
+            found.append(hashes_of(data, w.first[some], w.first[some] + k) ^ np.uint64(k))
+        row, feature = np.concatenate(rows).astype(np.uint64) + np.uint64(begin), np.concatenate(found) >> np.uint64(64 - BITS)
+        if used is not None:
+            row, feature = (x[used[feature]] for x in (row, feature))
+        cells.append(np.unique(row << np.uint64(BITS) | feature))
+        again = np.r_[False, (w.hash[1:] == w.hash[:-1]) & (w.row[1:] == w.row[:-1])][: len(w.row)]
+        n = len(part)
+        for k, is_so in enumerate((w.trailing > 1, w.bare == 0, _capitals(part), again)):
+            counts[begin : begin + n, k] += np.bincount(w.row[is_so], minlength=n)
+        total[begin : begin + n] += np.bincount(w.row, minlength=n)
+    every = np.unique(np.concatenate(cells)) if cells else np.empty(0, np.uint64)
+    shares = np.log1p(STEEP * counts / np.maximum(total, 1)[:, None]) / np.log1p(STEEP)
+    return (every >> np.uint64(BITS)).astype(np.int64), (every & np.uint64((1 << BITS) - 1)).astype(np.int64), shares
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def scores(rows: list[np.ndarray], weights: np.ndarray) -> np.ndarray:
-    sizes = np.array([len(r) for r in rows], np.int64)
-    sums = np.r_[0.0, np.cumsum(weights[np.concatenate(rows)] if sizes.sum() else np.empty(0))]
-    ends = np.cumsum(sizes)
-    return sums[ends] - sums[ends - sizes]
-
-
-def partial_loss(rows: list[np.ndarray], grades: np.ndarray, weights: np.ndarray, thresholds: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-    """Negative log-likelihood and its gradients in the weights and the thresholds."""
+def partial_loss(scores: np.ndarray, grades: np.ndarray, thresholds: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Negative log-likelihood, its derivative in each score, and its gradient in the thresholds."""
     edge = np.r_[-40.0, thresholds, 40.0]
-    s = np.clip(scores(rows, weights), -30, 30)
+    s = np.clip(scores, -30, 30)
     high, low = _sigmoid(edge[grades + 1] - s), _sigmoid(edge[grades] - s)
     p = np.maximum(high - low, 1e-12)
     dh, dl = high * (1 - high) / p, low * (1 - low) / p
-    by_score = dh - dl  # d(-log p)/ds
-    gradient = np.bincount(np.concatenate(rows), np.repeat(by_score, [len(r) for r in rows]), len(weights)) if len(rows) else np.zeros(len(weights))
     by_edge = np.bincount(grades, dl, len(edge)) - np.bincount(grades + 1, dh, len(edge))
-    return float(-np.log(p).sum()), gradient, by_edge[1:-1]
+    return float(-np.log(p).sum()), dh - dl, by_edge[1:-1]
 
 
-def _gradient_batches(at: np.ndarray, n_thresholds: int):
+def _gradient_batches(at: np.ndarray):
+    """held, loss, gradient: sums over a partition's rows, of those held out the loss only. ``at``: two thresholds, then the weights."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        loss, by_weight, by_edge = 0.0, np.zeros(len(at) - n_thresholds), np.zeros(n_thresholds)
+        loss, gradient, held_loss, weights = 0.0, np.zeros(len(at)), 0.0, at[2:]
         for batch in batches:
-            if batch.num_rows:
-                rows = [np.array(x, np.int32) for x in batch.column("features").to_pylist()]
-                a, b, c = partial_loss(rows, batch.column("grade").to_numpy().astype(np.int64), at[n_thresholds:], at[:n_thresholds])
-                loss, by_weight, by_edge = loss + a, by_weight + b, by_edge + c
-        yield pa.RecordBatch.from_arrays([pa.array([loss]), pa.array([np.r_[by_edge, by_weight].tobytes()])], ["loss", "gradient"])
+            if not batch.num_rows:
+                continue
+            places, values = batch.column("places"), batch.column("vals").flatten().to_numpy()
+            row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(places).to_numpy())
+            feature = places.flatten().to_numpy()
+            held = batch.column("held").to_numpy(zero_copy_only=False)
+            grades = batch.column("grade").to_numpy().astype(np.int64)
+            scores = np.bincount(row, values * weights[feature], batch.num_rows)
+            held_loss += partial_loss(scores[held], grades[held], at[:2])[0]
+            more, by_score, by_edge = partial_loss(scores[~held], grades[~held], at[:2])
+            slope = np.zeros(batch.num_rows)
+            slope[~held] = by_score
+            loss += more
+            gradient += np.r_[by_edge, np.bincount(feature, values * slope[row], len(weights))]
+        yield pa.RecordBatch.from_arrays([pa.array([loss]), pa.array([held_loss]), pa.array([gradient.tobytes()], pa.binary())], ["loss", "held_loss", "gradient"])
 
     return run
 
 
-def minimise(f, x: np.ndarray, steps: int, memory: int = 8) -> np.ndarray:
+def minimise(f, x: np.ndarray, steps: int, memory: int = 8, tolerance: float = 1e-4) -> np.ndarray:
     """Limited-memory quasi-Newton search with backtracking."""
     value, slope = f(x)
     past: list[tuple[np.ndarray, np.ndarray]] = []
@@ -128,7 +141,7 @@ def minimise(f, x: np.ndarray, steps: int, memory: int = 8) -> np.ndarray:
             if new <= value + 1e-4 * step * down or step < 1e-4:
                 break
             step /= 2
-        if step < 1e-4 or value - new < 1e-6 * abs(value):
+        if step < 1e-4 or value - new < tolerance * abs(value):
             return x if new > value else there
         if (there - x) @ (new_slope - slope) > 1e-10:
             past = [*past[1 - memory :], (there - x, new_slope - slope)]
@@ -144,57 +157,112 @@ def graded(labels: DataFrame) -> DataFrame:
 
 def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [features(t) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("grade"), pa.array(rows, pa.list_(pa.int32()))], ["grade", "features"])
+        row, feature, shares = features(batch.column("text"))
+        ends = pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32))
+        lists = pa.ListArray.from_arrays(ends, pa.array(feature.astype(np.int32)))
+        yield pa.RecordBatch.from_arrays([batch.column("grade"), batch.column("held"), lists, pa.array(shares.tolist(), pa.list_(pa.float64()))], ["grade", "held", "features", "shares"])
+
+
+def labelled(docs: DataFrame, labels: DataFrame, max_rows: int, id_col: str, text_col: str) -> DataFrame:
+    """grade, held, features, shares of the sample: documents that have a label and an id of their own."""
+    ids = docs.select(F.col(id_col).cast("long").alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("n")).where("n = 1").drop("n")
+    sample = graded(labels).join(ids, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    sample = F.broadcast(sample.withColumnRenamed("doc_id", "label_id"))  # max_rows rows at most
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).join(sample, F.col("doc_id") == F.col("label_id"))
+    texts = texts.select("grade", F.expr("pmod(xxhash64(doc_id, 1), 5) = 0").alias("held"), "text")
+    return written(texts.mapInArrow(_feature_batches, "grade int, held boolean, features array<int>, shares array<double>"), "labelled-features")
+
+
+def telling(rows: DataFrame, spread: dict[int, int], min_docs: int, chance: float) -> list[tuple[int, float]]:
+    """The features whose ratio at one of the thresholds is beyond chance, with its logarithm's size; bounded by the words of the sample."""
+    counts = rows.where("NOT held").select("grade", F.explode("features").alias("feature")).groupBy("feature").agg(*[F.count_if(F.col("grade") <= k).alias(f"to{k}") for k in (0, 1, 2)]).where(F.col("to2") >= min_docs)
+    best = None
+    for k in (0, 1):
+        low, high = F.col(f"to{k}") + 0.5, F.col("to2") - F.col(f"to{k}") + 0.5
+        ratio = F.abs(F.log(low / F.lit(spread[k] + 1.0)) - F.log(high / F.lit(spread[2] - spread[k] + 1.0)))
+        this = F.struct((ratio * ratio / (1 / low + 1 / high)).alias("by_chance"), ratio.alias("size"))
+        best = this if best is None else F.greatest(best, this)
+    found = counts.select("feature", best.alias("best")).where(F.col("best.by_chance") >= chance)
+    return sorted((r["feature"], r["size"]) for r in found.select("feature", "best.size").collect())
+
+
+def _valued_batches(used: np.ndarray, sizes: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = np.full(1 << BITS, -1, np.int32)
+        place[used] = np.arange(len(used))
+        for batch in batches:
+            out_places, out_values = [], []
+            for feature, shares in zip(batch.column("features"), batch.column("shares").to_pylist(), strict=True):
+                at = place[feature.values.to_numpy()] if len(feature) else np.empty(0, np.int32)
+                at = at[at >= 0]
+                out_places.append(np.r_[at, len(used) + np.arange(SHARES)].astype(np.int32))
+                out_values.append(np.r_[sizes[at], SHARES * np.array(shares)])
+            yield pa.RecordBatch.from_arrays([batch.column("grade"), batch.column("held"), pa.array(out_places, pa.list_(pa.int32())), pa.array(out_values, pa.list_(pa.float64()))], ["grade", "held", "places", "vals"])
+
+    return run
+
 
+Model = tuple[np.ndarray, np.ndarray, np.ndarray]  # thresholds; used features; their weights, then those of the shares
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, steps: int = 40, min_docs: int = MIN_DOCS, rare: int = RARE, penalty: float = PENALTY, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray | None:
-    """Thresholds followed by weights; None without labels."""
-    sample = graded(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows).withColumnRenamed("doc_id", "label_id")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).join(F.broadcast(sample), F.col("doc_id") == F.col("label_id")).select("grade", "text")
-    rows = written(texts.mapInArrow(_feature_batches, "grade int, features array<int>"), "labelled-features").cache()
-    spread = rows.agg(F.count("*").alias("n"), *[F.count_if(F.col("grade") <= k).alias(f"to{k}") for k in (0, 1)]).first()
-    if not spread["n"]:
+
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, steps: int = 40, min_docs: int = MIN_DOCS, chance: float = CHANCE, penalties: tuple[float, ...] = PENALTIES, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
+    """None without labels."""
+    rows = labelled(docs, labels, max_rows, id_col, text_col)
+    seen = rows.where("NOT held").agg(F.count("*").alias("to2"), *[F.count_if(F.col("grade") <= k).alias(f"to{k}") for k in (0, 1)]).first()
+    spread = {k: seen[f"to{k}"] for k in (0, 1, 2)}
+    if not spread[2]:
         return None
-    common = rows.select(F.explode("features").alias("f")).groupBy("f").agg(F.count("*").alias("n")).where(F.col("n") >= max(min_docs, spread["n"] / rare)).select("f").collect()  # at most 2**BITS rows
-    used = np.zeros(1 << BITS)
-    used[[r["f"] for r in common]] = 1
-    share = np.clip([(spread[f"to{k}"] + 0.5) / (spread["n"] + 1.5) for k in (0, 1)], 0.001, 0.999)
-    start = np.sort(np.log(share / (1 - share))) + np.array([0.0, 1e-3])
-    parts = rows.coalesce(8)
-    schema = "loss double, gradient binary"
-
-    def f(at: np.ndarray) -> tuple[float, np.ndarray]:
+    chosen = telling(rows, spread, min_docs, chance)
+    used, sizes = np.array([f for f, _ in chosen], np.int64), np.array([s for _, s in chosen])
+    # Few files, since every step reads them: the sample is bounded.
+    parts = written(rows.mapInArrow(_valued_batches(used, sizes), "grade int, held boolean, places array<int>, vals array<double>").repartition(8), "labelled-values").cache()
+    share = np.clip([(spread[k] + 0.5) / (spread[2] + 1.5) for k in (0, 1)], 0.001, 0.999)
+    start = np.sort(np.log(share / (1 - share)))
+    held_loss = 0.0
+
+    def loss(at: np.ndarray, penalty: float) -> tuple[float, np.ndarray]:
+        nonlocal held_loss
         # The gap between the thresholds is kept above zero by its logarithm.
         real = at.copy()
         real[1] = at[0] + np.exp(at[1])
-        loss, gradient = 0.0, np.zeros(len(at))
-        for r in parts.mapInArrow(_gradient_batches(real, 2), schema).collect():  # 8 rows of the weights' size
-            loss, gradient = loss + r["loss"], gradient + np.frombuffer(r["gradient"])
+        total, gradient, held_loss = 0.0, np.zeros(len(at)), 0.0
+        for r in parts.mapInArrow(_gradient_batches(real), "loss double, held_loss double, gradient binary").collect():  # 8 rows of the weights' size
+            total, held_loss, gradient = total + r["loss"], held_loss + r["held_loss"], gradient + np.frombuffer(r["gradient"])
         gradient[0] += gradient[1]
         gradient[1] *= np.exp(at[1])
-        gradient[2:] = gradient[2:] * used + penalty * at[2:]
-        return loss + 0.5 * penalty * float(at[2:] @ at[2:]), gradient
-
-    best = minimise(f, np.r_[start[0], np.log(max(start[1] - start[0], 1e-3)), np.zeros(1 << BITS)], steps)
-    rows.unpersist()
-    best[1] = best[0] + np.exp(best[1])
-    return best
-
-
-def scored(spark: SparkSession, model: np.ndarray | None, text: Column) -> Column:
+        gradient[2:] += penalty * at[2:]
+        return total + 0.5 * penalty * float(at[2:] @ at[2:]), gradient
+
+    best, least = None, np.inf
+    at = np.r_[start[0], np.log(max(start[1] - start[0], 1e-3)), np.zeros(len(used) + SHARES)]
+    for penalty in penalties:
+        at = minimise(lambda x, p=penalty: loss(x, p), at, steps)
+        loss(at, penalty)
+        if held_loss >= least and best is not None:
+            break
+        best, least = at, held_loss
+    parts.unpersist()
+    weights = best[2:].copy()
+    weights[: len(used)] *= sizes
+    weights[len(used) :] *= SHARES
+    return np.array([best[0], best[0] + np.exp(best[1])]), used, weights
+
+
+def scored(spark: SparkSession, model: Model | None, text: Column) -> Column:
     """Struct of expected_grade and tail_probability (of the best grade) for a text column."""
-    kind = "expected_grade double, tail_probability double"
+    kind = "struct<expected_grade:double,tail_probability:double>"
     if model is None:
-        return F.lit(None).cast(f"struct<{kind.replace(' double', ':double')}>")
-    shared = spark.sparkContext.broadcast(model)
-
-    @F.pandas_udf(kind)
-    def score(texts: pd.Series) -> pd.DataFrame:
-        thresholds, weights = shared.value[:2], shared.value[2:]
-        s = scores([features(t) for t in texts], weights)
+        return F.lit(None).cast(kind)
+    thresholds, used, weights = model  # as large as the sample's words at most
+
+    @F.arrow_udf(kind)
+    def score(texts: pa.Array) -> pa.Array:
+        weight = np.zeros(1 << BITS, np.float32)
+        weight[used] = weights[: len(used)]
+        row, feature, shares = features(texts, weight != 0)
+        s = np.bincount(row, weight[feature], len(texts)) + shares @ weights[len(used) :]
         above = _sigmoid(s[:, None] - thresholds)  # P(grade > k)
-        return pd.DataFrame({"expected_grade": above.sum(axis=1), "tail_probability": above[:, 1]})
+        return pa.StructArray.from_arrays([pa.array(above.sum(axis=1)), pa.array(above[:, 1])], ["expected_grade", "tail_probability"])
 
     return score(text)
 
