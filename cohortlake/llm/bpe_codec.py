@@ -24,6 +24,7 @@ import tempfile
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import public_tokenizers
@@ -39,7 +40,8 @@ from cohortlake.llm.common import Memo, text_of, written
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
 _word = regex.compile(WORD, regex.V0)
-REMEMBERED = 500_000  # words a worker remembers, twice at most
+REMEMBERED = 200_000  # words of 64 letters at most that a worker remembers, twice at most
+LONG = 100  # bytes of a word from which a heap merges faster than a list
 
 
 def byte_letters() -> list[str]:
@@ -64,20 +66,46 @@ class Vocabulary:
         self.letters = byte_letters()
 
     def merge(self, word: str) -> list[int]:
-        """The ids of one word, by merging the pair of the lowest rank until none is left."""
+        """The ids of one word, by merging the pair of the lowest rank, of equal ranks the first, until none is left."""
         parts = [self.letters[b] for b in word.encode("utf-8", "surrogatepass")]
         parts[-1] += WORD_END
+        merged = self._merge_long(parts) if len(parts) > LONG else self._merge_short(parts)
+        return [self.ids[p] for p in merged if p in self.ids]
+
+    def _merge_short(self, parts: list[str]) -> list[str]:
         rank, none = self.ranks.get, 1 << 30
         order = [rank(pair, none) for pair in zip(parts, parts[1:], strict=False)]
         while order and (best := min(order)) < none:
-            i = order.index(best)  # of equal ranks the first
+            i = order.index(best)
             parts[i] += parts.pop(i + 1)
             del order[i]
             if i:
                 order[i - 1] = rank((parts[i - 1], parts[i]), none)
             if i < len(order):
                 order[i] = rank((parts[i], parts[i + 1]), none)
-        return [self.ids[p] for p in parts if p in self.ids]
+        return parts
+
+    def _merge_long(self, parts: list[str]) -> list[str]:
+        """By a heap of pairs and links to the neighbours: n log n steps, where the list takes n squared."""
+        ranks, end = self.ranks, len(parts)
+        after, before = [*range(1, end + 1)], [*range(-1, end - 1)]
+        heap = [(ranks[pair], i, *pair) for i, pair in enumerate(zip(parts, parts[1:], strict=False)) if pair in ranks]
+        heapify(heap)
+        while heap:
+            _, i, left, right = heappop(heap)
+            j = after[i] if parts[i] == left else end
+            if j == end or parts[j] != right:
+                continue  # one of the two has been merged since
+            parts[i], parts[j] = left + right, ""
+            after[i] = k = after[j]
+            if k < end:
+                before[k] = i
+                if (pair := (parts[i], parts[k])) in ranks:
+                    heappush(heap, (ranks[pair], i, *pair))
+            h = before[i]
+            if h >= 0 and (pair := (parts[h], parts[i])) in ranks:
+                heappush(heap, (ranks[pair], h, *pair))
+        return [p for p in parts if p]
 
 
 def normal(text: str) -> str:

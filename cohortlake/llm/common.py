@@ -47,13 +47,15 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 class Memo(dict):
-    """Remembers what ``make`` gave for a key, at most ``most`` of the newest keys and as many before them."""
+    """Remembers what ``make`` gave for a key, at most ``most`` of the newest keys and as many before them; keys longer than ``longest`` aren't kept."""
 
-    def __init__(self, make, most: int):
+    def __init__(self, make, most: int, longest: int = 64):
         super().__init__()
-        self.make, self.most, self.before = make, most, {}
+        self.make, self.most, self.longest, self.before = make, most, longest, {}
 
     def __missing__(self, key):
+        if len(key) > self.longest:
+            return self.make(key)
         if len(self) >= self.most:
             self.before = dict(self)
             self.clear()
