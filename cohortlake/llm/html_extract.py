@@ -2,21 +2,21 @@
 
 Each page becomes text lines: white space folds within a block, and block elements end lines. Pages are
 ordered by host and URL path; a page's partner is the neighbour of the same host that shares the longer
-piece of its path, or both neighbours where they share as much. The longest common subsequence of the two pages' lines is what their site repeats, and
-these shared lines are deleted. Markup then corrects the differencing where it is explicit: lines in menus,
+piece of its path, or both neighbours where they share as much. The longest common subsequence of the two
+pages' lines is what their site repeats, and these shared lines are deleted. Markup then corrects the differencing where it is explicit: lines in menus,
 headers, footers, sidebars, notices, adverts, forms and comments go even if no neighbour shares them, and
 where a page marks its article (``article`` or ``main``), its lines stay even if a neighbour repeats them,
 and what lies outside goes.
 
 Only lines that may stay travel, compressed, with the hashes of all lines, in one shuffle. A host may hold
 any share of the pages: the order of all URLs is cut into blocks at sampled keys (at most 2**16, chosen by
-hash), so that neighbours meet whatever the host. The page at a cut lies in both blocks; it stands in the
-later one, and looks for its partner there.
+hash), so that neighbours meet whatever the host. The first page of a block travels to the block before it as
+well, and the last one to the block behind, so that every page meets both its neighbours wherever the cuts lie.
 
-Defined cases: null html is empty; a page alone on its host has no shared lines; null urls form a host of
-their own; null ids and repeated rows each give a row; an unclosed element ends with its parent; a table row
-is a block; above ``most_pairs`` pairs of equal lines between two pages (lines that occur thousands of times
-in both) only the k-th occurrences are paired; an empty table gives an empty result; other columns are left out.
+Defined cases: null html is empty; a page alone on its host has no shared lines; a neighbour that shares all
+lines which may stay is a copy of the page and no partner; null urls form a host of their own; null ids and
+repeated rows each give a row; an unclosed element ends with its parent; a table row is a block; an empty table
+gives an empty result; other columns are left out.
 """
 
 from __future__ import annotations
@@ -24,10 +24,12 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 from itertools import takewhile
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -136,24 +138,10 @@ def split_url(url: str | None) -> tuple[str, str]:
     return (m[1].lower(), m[2]) if m else ("", re.split(r"[?#]", url or "", maxsplit=1)[0])
 
 
-def shared(a: list[int], b: list[int], most_pairs: int = 200_000) -> list[bool]:
-    """Which items of ``a`` lie on its longest common subsequence with ``b``: the longest rising run of places in ``b``."""
-    where: dict[int, list[int]] = {}
-    for j, x in enumerate(b):
-        where.setdefault(x, []).append(j)
-    seen: dict[int, int] = {}
-    for x in a:
-        seen[x] = seen.get(x, 0) + 1
-    if sum(n * len(where.get(x, ())) for x, n in seen.items()) > most_pairs:
-        kth: dict[int, int] = {}
-        places = []
-        for x in a:
-            k = kth[x] = kth.get(x, -1) + 1
-            places.append(where.get(x, [])[k : k + 1])
-    else:
-        places = [where.get(x, ())[::-1] for x in a]
+def _rising(places: list) -> list[bool]:
+    """Which indices lie on a longest rising run, one place taken from each list (in falling order)."""
     tails: list[int] = []
-    cells: list[tuple] = []  # (index in a, cell before)
+    cells: list[tuple] = []  # (index, cell before)
     for i, js in enumerate(places):
         for j in js:
             k = bisect_left(tails, j)
@@ -163,34 +151,101 @@ def shared(a: list[int], b: list[int], most_pairs: int = 200_000) -> list[bool]:
                 cells.append(cell)
             else:
                 tails[k], cells[k] = j, cell
-    out, cell = [False] * len(a), cells[-1] if cells else None
+    out, cell = [False] * len(places), cells[-1] if cells else None
     while cell:
         out[cell[0]] = True
         cell = cell[1]
     return out
 
 
-def _line_batches(cuts: list[tuple]):
+def _prefix_lengths(a: list[int], b: list[int]) -> np.ndarray:
+    """Lengths of the longest common subsequences of ``a`` with each beginning of ``b``, by the bits of long integers."""
+    where: dict[int, int] = {}
+    for j, x in enumerate(b):
+        where[x] = where.get(x, 0) | 1 << j
+    row = full = (1 << len(b)) - 1
+    for x in a:
+        hit = row & where.get(x, 0)
+        row = (row + hit | row - hit) & full
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(len(b) // 8 + 1, "little"), np.uint8), bitorder="little")[: len(b)]
+    return np.r_[0, np.cumsum(bits == 0)]
+
+
+def _halved(a: list[int], b: list[int]) -> list[bool]:
+    """Which items of ``a`` lie on a longest common subsequence: halves of ``a`` against the best cut of ``b``, in memory that grows with one of the lists."""
+    out = [False] * len(a)
+    open_ = [(0, len(a), 0, len(b))]
+    while open_:
+        i, j, k, m = open_.pop()
+        if i == j or k == m:
+            continue
+        if j - i == 1:
+            out[i] = a[i] in b[k:m]
+            continue
+        middle = (i + j) // 2
+        ahead = _prefix_lengths(a[i:middle], b[k:m])
+        behind = _prefix_lengths(a[middle:j][::-1], b[k:m][::-1])[::-1]
+        cut = k + int(np.argmax(ahead + behind))
+        open_ += [(i, middle, k, cut), (middle, j, cut, m)]
+    return out
+
+
+def shared(a: list[int], b: list[int], many_pairs: int = 200_000) -> list[bool]:
+    """Which items of ``a`` lie on its longest common subsequence with ``b``: by the rising places of equal items, or by halves where these are ``many_pairs``."""
+    where: dict[int, list[int]] = {}
+    for j, x in enumerate(b):
+        where.setdefault(x, []).append(j)
+    seen = Counter(a)
+    if sum(n * len(where.get(x, ())) for x, n in seen.items()) <= many_pairs:
+        return _rising([where.get(x, ())[::-1] for x in a])
+    some = [i for i, x in enumerate(a) if x in where]
+    out = [False] * len(a)
+    for i, on in zip(some, _halved([a[i] for i in some], [x for x in b if x in seen]), strict=True):
+        out[i] = on
+    return out
+
+
+def _place(url: str | None, page_id: int | None) -> tuple:
+    return (*split_url(url), page_id is None, page_id or 0)
+
+
+def _last_batches(cuts: list[tuple]):
+    """block, host, path, no_id, id: the last page of each block in a task; reads no html."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: dict[int, tuple] = {}
+        for batch in batches:
+            for url, page_id in zip(batch.column("url").to_pylist(), batch.column("page_id").to_pylist(), strict=True):
+                place = _place(url, page_id)
+                block = bisect_right(cuts, place)
+                last[block] = max(place, last.get(block, place))
+        columns = zip(*((k, *v) for k, v in last.items()), strict=True) if last else [()] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.string(), pa.string(), pa.bool_(), pa.int64()), strict=True)], ["block", "host", "path", "no_id", "id"])
+
+    return run
+
+
+def _line_batches(cuts: list[tuple], lasts: set[tuple]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int32(), pa.bool_(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
-        names = ["block", "closing", "host", "path", "page_id", "url", "hashes", "stays", "texts"]
+        names = ["block", "guest", "host", "path", "page_id", "url", "hashes", "stays", "texts"]
         # Parts of a batch, so that few pages are held at a time however long they are.
         for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
             rows = []
             for page_id, url, html in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html")), strict=True):
-                host, path = split_url(url)
+                place = _place(url, page_id)
+                host, path = place[:2]
                 found = lines(html or "")
                 marked = any(mark == MAIN for _, mark in found)
                 stays = [i for i, (_, mark) in enumerate(found) if mark == (MAIN if marked else 0)]
-                place = (host, path, page_id is None, page_id or 0)
                 block = bisect_right(cuts, place)
                 hashes = [xxhash.xxh64_intdigest(line) - 2**63 for line, _ in found]
                 texts = zlib.compress("\n".join(found[i][0] for i in stays).encode("utf-8", "surrogatepass"), 1)
                 # The sign of the last number tells whether markup names the main text.
                 row = (host, path, page_id, url, hashes, [*stays, -1 if marked else -2], texts)
                 rows.append((block, False, *row))
-                if block and cuts[block - 1] == place:
-                    rows.append((block - 1, True, host, path, page_id, None, hashes, [], b""))
+                others = [block - 1] * (block > 0 and cuts[block - 1] == place) + [block + 1] * (place in lasts)
+                rows += [(other, True, host, path, page_id, None, hashes, [], b"") for other in others]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [()] * 9, kinds, strict=True)], names)
 
     return run
@@ -202,11 +257,16 @@ def _common_prefix(a: str, b: str) -> int:
 
 def _pair_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def decided(before: dict | None, row: dict, after: dict | None) -> tuple:
+        *stays, marked = row["stays"]
+        found = []
         near = [x for x in (before, after) if x and x["block"] == row["block"] and x["host"] == row["host"]]
-        alike = [_common_prefix(x["path"], row["path"]) for x in near]
-        found = [shared(row["hashes"], x["hashes"]) for x, n in zip(near, alike, strict=True) if n == max(alike)]
+        for x in sorted(near, key=lambda x: -_common_prefix(x["path"], row["path"])):
+            if found and _common_prefix(x["path"], row["path"]) < _common_prefix(partner["path"], row["path"]):
+                break
+            partner, same = x, shared(row["hashes"], x["hashes"])
+            if not stays or not all(same[i] for i in stays):
+                found.append(same)
         deleted = [any(f) for f in zip(*found, strict=True)] if found else [False] * len(row["hashes"])
-        *stays, marked = row["stays"]
         texts = zlib.decompress(row["texts"]).decode("utf-8", "surrogatepass").split("\n") if stays else []
         text = "\n\n".join(t for i, t in zip(stays, texts, strict=True) if marked == -1 or not deleted[i])
         return row["page_id"], row["url"], text, len(text), sum(deleted)
@@ -220,11 +280,11 @@ def _pair_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         out = []
         for i in range(0, batch.num_rows, 128):
             for after in batch.slice(i, 128).to_pylist():
-                if row and not row["closing"]:
+                if row and not row["guest"]:
                     out.append(decided(before, row, after))
                 before, row = row, after
         yield made(out)
-    yield made([decided(before, row, None)] if row and not row["closing"] else [])
+    yield made([decided(before, row, None)] if row and not row["guest"] else [])
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -234,6 +294,12 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     blocks = min(2**16, 8 * int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     every = max(32, pages.count() // blocks)
     chosen = pages.where(F.pmod(F.xxhash64("url", "page_id"), F.lit(every)) == 0).select("url", "page_id").distinct().limit(2 * 2**16).collect()
-    cuts = sorted({(*split_url(r["url"]), r["page_id"] is None, r["page_id"] or 0) for r in chosen})
-    rows = pages.mapInArrow(_line_batches(cuts), "block int, closing boolean, host string, path string, page_id long, url string, hashes array<long>, stays array<int>, texts binary")
-    return rows.repartition("block").sortWithinPartitions("block", "host", "path", F.col("page_id").isNull(), "page_id").mapInArrow(_pair_batches, "page_id long, url string, text string, n_chars long, n_shared_lines long")
+    cuts = sorted({_place(r["url"], r["page_id"]) for r in chosen})
+    lasts = set()
+    if cuts:
+        ends = pages.select("url", "page_id").mapInArrow(_last_batches(cuts), "block int, host string, path string, no_id boolean, id long")
+        ends = ends.groupBy("block").agg(F.max(F.struct("host", "path", "no_id", "id")).alias("last")).where(F.col("block") < len(cuts))
+        lasts = {tuple(r["last"]) for r in ends.collect()}  # one for each cut
+    rows = pages.mapInArrow(_line_batches(cuts, lasts), "block int, guest boolean, host string, path string, page_id long, url string, hashes array<long>, stays array<int>, texts binary")
+    order = ["block", "host", "path", F.col("page_id").isNull(), "page_id", F.xxhash64("hashes")]
+    return rows.repartition("block").sortWithinPartitions(*order).mapInArrow(_pair_batches, "page_id long, url string, text string, n_chars long, n_shared_lines long")

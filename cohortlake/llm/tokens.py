@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-MOST_BYTES = 1 << 20
+MOST_BYTES = 1 << 18
 BASE = 0x9E3779B97F4A7C15
 
 _byte = np.arange(256)
@@ -100,7 +100,7 @@ def word_places(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndar
 def hashes_of(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     """64-bit hashes of data[start:stop], by the powers of a base."""
     while len(_powers) < 2 or len(_powers[0]) < len(data) + 1:
-        size = 1 << max(20, len(data).bit_length() + 1)
+        size = 1 << (len(data) + 1).bit_length()
         _powers[:] = [np.cumprod(np.r_[np.uint64(1), np.full(size - 1, b, np.uint64)]) for b in (BASE, pow(BASE, -1, 2**64))]
     up, down = _powers
     sums = np.zeros(len(data) + 1, np.uint64)
