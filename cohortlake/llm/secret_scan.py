@@ -3,7 +3,7 @@
 Base spans come from three patterns. The method adds the parts of a credential that are too weak to report
 alone: account identifiers, dense tokens and endpoints. A weak part is only reported where its complement
 lies within ``scope`` code points: a token needs an identifier, an identifier a token or base secret, an
-endpoint both. This interval join runs on buckets of ``scope`` code points: for each document, bucket and
+endpoint both. A weak part that a base span holds whole is left out beforehand. This interval join runs on buckets of ``scope`` code points: for each document, bucket and
 role the smallest and largest start are kept, and a part looks into its own bucket and the two beside it,
 so the work is linear in the parts and no pairs arise.
 
@@ -14,7 +14,7 @@ table gives an empty result; other columns are left out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlake.llm.common import text_of, written
@@ -32,16 +32,28 @@ KINDS = ["assign", "access", "hex", "identifier", "token", "endpoint"]
 SCOPE = 256
 
 
+STEP = 128
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` bound to ``value``, which is evaluated once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
 def _spans(pattern: str, kind: str, keep: str = "true") -> str:
-    """SQL of the matches as structs in text order; positions are sums of the lengths of matches and of what lies between."""
+    """SQL of the matches as structs in text order; positions are sums of the lengths of matches and of what lies between.
+
+    The sums run within steps of STEP matches on top of the sum at each step's begin, so that the work stays about linear.
+    """
     quoted = pattern.replace("\\", "\\\\").replace("'", "\\'")
-    found = f"regexp_extract_all(text, '{quoted}', 0)"
-    struct = f"struct(cast(a.at + char_length(g.gap) AS int) AS start, cast({KINDS.index(kind)} AS int) AS kind, cast(a.at + char_length(g.gap) + char_length(g.hit) AS int) AS stop)"
-    zipped = f"zip_with(slice(split(text, '{quoted}', -1), 1, size({found})), {found}, (gap, hit) -> struct(gap, hit))"
     none = "cast(array() AS array<struct<start:int,kind:int,stop:int>>)"
-    walk = f"""aggregate({zipped}, struct(0 AS at, {none} AS spans),
-        (a, g) -> struct(cast(a.at + char_length(g.gap) + char_length(g.hit) AS int) AS at, CASE WHEN {keep} THEN concat(a.spans, array({struct})) ELSE a.spans END AS spans), a -> a.spans)"""
-    return f"CASE WHEN size({found}) > 0 THEN {walk} ELSE {none} END"
+    sizes = f"zip_with(slice(split(text, '{quoted}', -1), 1, size(hits)), hits, (gap, hit) -> char_length(gap) + char_length(hit))"
+    bases = f"""aggregate(sequence(0, (size(hits) - 1) div {STEP}), array(0), (sums, k) -> concat(sums, array(element_at(sums, -1)
+        + aggregate(slice(sizes, cast(k * {STEP} + 1 AS int), {STEP}), 0, (x, y) -> x + y))))"""
+    stop = f"bases[i div {STEP}] + aggregate(slice(sizes, cast(i - i % {STEP} + 1 AS int), cast(i % {STEP} + 1 AS int)), 0, (x, y) -> x + y)"
+    every = f"transform(hits, (hit, i) -> struct(hit, {stop} AS stop))"
+    found = f"transform(filter({every}, g -> {keep}), g -> struct(cast(g.stop - char_length(g.hit) AS int) AS start, {KINDS.index(kind)} AS kind, cast(g.stop AS int) AS stop))"
+    return _let("hits", f"regexp_extract_all(text, '{quoted}', 0)", f"CASE WHEN size(hits) = 0 THEN {none} ELSE {_let('sizes', sizes, _let('bases', bases, found))} END")
 
 
 def _value_kept() -> str:
@@ -69,6 +81,9 @@ def linked_parts(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     weak = "size(identifier) + size(token) + size(endpoint) > 0"
     roles = "size(access) + size(identifier) > 0 AND size(assign) + size(hex) + size(token) > 0"
     parts = found.where(f"{weak} AND {roles}").select("row", F.explode(F.concat("assign", "access", "hex", "identifier", "token", "endpoint")).alias("s"))
+    # A weak part within a base span adds nothing: that is one that starts at or before it and reaches as far.
+    before = Window.partitionBy("row").orderBy("s.start").rangeBetween(Window.unboundedPreceding, 0)
+    parts = parts.withColumn("reach", F.max(F.expr("CASE WHEN s.kind < 3 THEN s.stop END")).over(before)).where("s.kind < 3 OR reach IS NULL OR reach < s.stop")
     parts = parts.select("row", "s", F.expr(f"s.start div {scope}").alias("bucket"), F.expr("CASE WHEN s.kind IN (1, 3) THEN 'id' WHEN s.kind IN (0, 2, 4) THEN 'secret' ELSE 'endpoint' END").alias("role"))
     ends = parts.where("role <> 'endpoint'").groupBy("row", "bucket", "role").agg(F.min("s.start").alias("low"), F.max("s.start").alias("high"))
     seen = ends.select("row", "role", F.explode(F.array(F.struct((F.col("bucket") - 1).alias("bucket"), F.lit("next").alias("side")), F.struct(F.col("bucket"), F.lit("same").alias("side")), F.struct((F.col("bucket") + 1).alias("bucket"), F.lit("last").alias("side")))).alias("b"), "low", "high")
@@ -85,13 +100,11 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     linked = linked_parts(found, scope)
     base = F.concat("assign", "access", "hex")
     named = lambda c: F.transform(F.array_sort(c), lambda s: F.struct(F.element_at(F.array(*map(F.lit, KINDS)), s["kind"] + 1).alias("kind"), s["start"].alias("start"), s["stop"].alias("stop")))
-    # A weak token that a base span of the same place already reports adds nothing.
-    more = F.filter(F.coalesce("linked", F.expr("cast(array() AS array<struct<start:int,kind:int,stop:int>>)")), lambda s: ~F.exists(base, lambda b: (b["start"] <= s["start"]) & (s["stop"] <= b["stop"])))
     return found.join(linked, "row", "left").select(
         "doc_id",
         *[F.size(k).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
         named(base).alias("base"),
-        named(F.concat(base, more)).alias("spans"),
+        named(F.concat(base, F.coalesce("linked", F.expr("cast(array() AS array<struct<start:int,kind:int,stop:int>>)")))).alias("spans"),
     )
 
 
