@@ -75,9 +75,14 @@ FROM h WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
 """,
     "op10_line_dedup": r"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-w AS (SELECT doc_id, unnest(range(1, len(lines) - 1)) AS s, lines FROM d WHERE len(lines) >= 3),
-v AS (SELECT doc_id, s, row_number() OVER (PARTITION BY lines[s], lines[s + 1], lines[s + 2] ORDER BY doc_id, s) AS rn FROM w),
-r AS (SELECT DISTINCT doc_id, s + k AS i FROM v, (SELECT unnest(range(3)) AS k) WHERE rn > 1),
+p AS (SELECT doc_id, unnest(range(1, len(lines) + 1)) AS s, lines FROM d),
+c AS (SELECT *, len(regexp_extract_all(lines[s], '[^\x20\x09-\x0D]+')) AS words FROM p),
+t AS (SELECT *, lead(words) OVER (PARTITION BY doc_id ORDER BY s) AS next FROM c),
+w AS (SELECT doc_id, s, 3 AS n, lines[s] AS a, lines[s + 1] AS b, lines[s + 2] AS c FROM t WHERE s + 2 <= len(lines)
+  UNION ALL SELECT doc_id, s, 1, lines[s], NULL, NULL FROM t WHERE words >= 50
+  UNION ALL SELECT doc_id, s, 2, lines[s], lines[s + 1], NULL FROM t WHERE words + next >= 50),
+v AS (SELECT doc_id, s, n, row_number() OVER (PARTITION BY n, a, b, c ORDER BY doc_id, s) AS rn FROM w),
+r AS (SELECT DISTINCT doc_id, s + k AS i FROM v, (SELECT unnest(range(3)) AS k) WHERE rn > 1 AND k < n),
 g AS (SELECT doc_id, list(i) AS gone FROM r GROUP BY doc_id)
 SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
   sha256(coalesce(array_to_string(list_transform(list_filter(range(1, len(lines) + 1), lambda i: NOT coalesce(list_contains(gone, i), false)), lambda i: lines[i]), chr(10)), '')) AS kept_sha256

@@ -74,17 +74,31 @@ def test_a_full_filter_gives_the_same_groups(docs):
     assert a == b
 
 
-def test_line_dedup(docs, rows):
+def windows_of(lines):
+    """Start and length of the windows of line dedup."""
+    size = [len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in lines]
+    return [(s, n) for n in (1, 2, 3) for s in range(len(lines) - n + 1) if n == 3 or sum(size[s : s + n]) >= 50]
+
+
+def test_line_dedup(spark, rows):
+    long, r = [" ".join(f"w{i}" for i in range(k, k + 51)) for k in (0, 100, 200)], random.Random(1)
+    more = [(500, long[0]), (501, "own line\n" + long[0]), (502, long[1][:200] + "\n" + long[1][200:]), (503, "x\n" + long[1][:200] + "\n" + long[1][200:] + "\ny"), (None, long[0]), (None, long[2] + "\n" + long[2])]
+    more += [(600 + k, "\n".join(r.choice(["a b", long[2], long[0][:180], long[0][180:], "", "\tz"]) for _ in range(9))) for k in range(20)]
+    rows = rows + [(i, t, "en", "s", 0, "k", "r", 1) for i, t in more]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
     seen, want = {}, {}
-    for i, t in sorted({(i, t or "") for i, t, *_ in rows}):
-        lines = t.split("\n")
-        for s in range(len(lines) - 2):
-            seen.setdefault(tuple(lines[s : s + 3]), (i, s))
-        want[i] = lines
-    for i, r in by_id(line_dedup.line_dedup(docs)).items():
-        lines = want[i]
-        gone = {s + k for s in range(len(lines) - 2) if seen[tuple(lines[s : s + 3])] < (i, s) for k in range(3)}
-        assert r["kept_text"] == "\n".join(x for k, x in enumerate(lines) if k not in gone) and r["n_removed"] == len(gone)
+    place = lambda i: (i is None, i or 0)
+    for i, t in sorted({(i, t or "") for i, t, *_ in rows}, key=lambda x: (place(x[0]), x[1])):
+        want[i, t] = lines = t.split("\n")
+        for s, n in windows_of(lines):
+            seen[tuple(lines[s : s + n])] = min((place(i), s), seen.get(tuple(lines[s : s + n]), (place(i), s)))
+    expected = {}
+    for (i, t), lines in want.items():
+        gone = {s + k for s, n in windows_of(lines) if seen[tuple(lines[s : s + n])] < (place(i), s) for k in range(n)}
+        expected[i, t] = ("\n".join(x for k, x in enumerate(lines) if k not in gone), len(gone), len(lines))
+    got = sorted((str(r["doc_id"]), r["kept_text"], r["n_removed"], r["n_lines"]) for r in line_dedup.line_dedup(docs).collect())
+    assert got == sorted((str(i), *expected[i, t or ""]) for i, t, *_ in rows)
+    assert any(kept == "own line" for kept, *_ in expected.values())
 
 
 def test_substring_dedup(docs, rows):
