@@ -58,13 +58,17 @@ def settled(df: DataFrame, new: dict[str, Column]) -> DataFrame:
 
 
 def with_quantile(df: DataFrame, p: Column, name: str) -> DataFrame:
-    """Adds the standard normal quantile of ``p``. In steps, each of which is used more than once, so that the optimizer keeps them apart and the generated code small."""
+    """Adds the standard normal quantile of ``p``. In steps, each of which is used more than once, so that the optimizer keeps them apart.
+
+    No step can be null, so that the generated code holds no tests for it and stays short enough to be compiled.
+    """
     a, b, c, d = (f"_{k}_{name}" for k in "pqcr")
-    df = df.withColumn(a, p.cast("double"))
-    df = df.withColumns({b: F.col(a) - 0.5, d: F.sqrt(-F.ln(F.least(F.col(a), 1 - F.col(a))))})
+    df = df.withColumn(a, F.coalesce(p.cast("double"), F.lit(0.0)))
+    df = df.withColumns({b: F.col(a) - 0.5, d: F.sqrt(F.coalesce(-F.ln(F.least(F.col(a), 1 - F.col(a))), F.lit(0.0)))})
     df = df.withColumns({c: 0.180625 - F.col(b) * F.col(b), f"{d}m": F.col(d) - 1.6, f"{d}t": F.col(d) - 5})
-    size = f"CASE WHEN {d} <= 5 THEN {_ratio(_MIDDLE, d + 'm')} ELSE {_ratio(_TAIL, d + 't')} END"
-    z = f"CASE WHEN {a} > 0 AND {a} < 1 THEN CASE WHEN abs({b}) <= 0.425 THEN {b} * {_ratio(_CENTRE, c)} ELSE sign({b}) * {size} END END"
+    ratio = lambda pair, x: f"coalesce({_ratio(pair, x)}, 0D)"
+    size = f"CASE WHEN {d} <= 5 THEN {ratio(_MIDDLE, d + 'm')} ELSE {ratio(_TAIL, d + 't')} END"
+    z = f"CASE WHEN {a} > 0 AND {a} < 1 THEN CASE WHEN abs({b}) <= 0.425 THEN {b} * {ratio(_CENTRE, c)} ELSE sign({b}) * {size} END END"
     return df.withColumn(name, F.expr(z)).drop(a, b, c, d, f"{d}m", f"{d}t")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlake.operators.pool import value_summary
 from cohortlake.plans.dims import ABSORPTION, INTAKE, TURNOVER, VOLUME, lookup
 
 NOT_CLOSED = 0.03
@@ -38,3 +39,18 @@ def absorption_range(df: DataFrame, values: list[float], dims: list[str]) -> Dat
     with_edi = daily_intake(df, absorption=1.0).where("edi_primary IS NOT NULL AND sample_size > 0")
     base = with_edi.groupBy(*dims).agg(F.exp(F.sum(F.col("sample_size") * F.ln("edi_primary")) / F.sum("sample_size")).alias("unit_edi"))
     return base.select(*dims, (F.col("unit_edi") / max(values)).alias("edi_low"), (F.col("unit_edi") / min(values)).alias("edi_high"))
+
+
+def intake_summary(df: DataFrame, dims: list[str], **parameters) -> DataFrame:
+    """Per stratum of the daily intakes: gm, gsd, weighted P05, P25, P50, P75, P95, upper median and counts."""
+    return value_summary(daily_intake(df, **parameters).where("edi_primary IS NOT NULL"), dims, "edi_primary", [0.05, 0.25, 0.5, 0.75, 0.95])
+
+
+def intake_table(df: DataFrame, routes: list[str] | None = None, **parameters) -> DataFrame:
+    """The intake of each record, of some routes (urine, blood, cord) only if given."""
+    out = daily_intake(df, **parameters)
+    if routes is None:
+        return out
+    if unknown := {*routes} - {"urine", "blood", "cord"}:
+        raise ValueError(f"unknown routes {sorted(unknown)}")
+    return out.where(F.col("route").isin(*routes))

@@ -1,4 +1,4 @@
-"""Pooling with sample-size weights. All sums combine before the shuffle; only strata cross it."""
+"""Pooling with sample-size weights. All sums combine before the shuffle; only strata, studies and bins of values cross it."""
 
 from __future__ import annotations
 
@@ -21,18 +21,37 @@ def poolable(df: DataFrame, dims: list[str], value: str, weight: str, periods=PE
     return df.where((F.col(value) > 0) & (F.col(weight) > 0)).select(*[F.coalesce(blank(d), F.lit("UNKNOWN")).alias(d) for d in dims], F.col(value).cast("double").alias("v"), F.col(weight).cast("double").alias("w"), *[c for c in ("study_no", "record_id") if c in df.columns and c not in dims])
 
 
+BIN = 0.25  # of the logarithm
+
+
+def binned(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Sums of v and w by key and bin of ln v, around the bin's lower edge: small numbers, so that nothing cancels when spreads are taken from them."""
+    bin_ = F.floor(F.ln("v") / BIN)
+    rows = rows.withColumns({"_bin": bin_, "_d": F.ln("v") - bin_ * BIN})
+    d, w = F.col("_d"), F.col("w")
+    sums = rows.groupBy(*keys, "_bin").agg(F.sum(w).alias("sw"), F.sum(w * d).alias("sd"), F.sum(w * d * d).alias("sdd"), F.count("*").alias("k"), F.max("w").alias("max_w"), F.min("v").alias("low"), F.max("v").alias("high"))
+    return sums.withColumns({"mean": F.col("_bin") * BIN + F.col("sd") / F.col("sw"), "within": F.greatest(F.col("sdd") - F.col("sd") * F.col("sd") / F.col("sw"), F.lit(0.0))})
+
+
+def spreads(bins: DataFrame, dims: list[str]) -> DataFrame:
+    """Adds mu, the mean of ln v of the stratum, to each bin: a window over bins, not over records."""
+    over = Window.partitionBy(*dims)
+    return bins.withColumn("mu", F.sum(F.col("sw") * F.col("mean")).over(over) / F.sum("sw").over(over))
+
+
+def swd() -> Column:
+    """The stratum's weighted squared deviations: those within bins and those of the bins' means."""
+    apart = F.col("mean") - F.col("mu")
+    return F.sum(F.col("within") + F.col("sw") * apart * apart)
+
+
 def pool(df: DataFrame, dims: list[str], value: str = "gm_summary", weight: str = "sample_size", periods=PERIODS, out_of_range: str = "exclude") -> DataFrame:
-    """Per stratum: gm, gsd, counts, max_weight_share, error bar, confidence limits, notes and grades."""
+    """Per stratum: gm, gsd, counts, max_weight_share, error bar, confidence limits, notes and grades. One scan."""
     rows = poolable(df, dims, value, weight, periods, out_of_range)
+    study = [] if "study_no" in dims else ["study_no"]
+    bins = spreads(binned(rows, [*dims, *study]), dims)
     studies = F.countDistinct(F.when(F.trim("study_no") != "", F.col("study_no")))
-    first = rows.groupBy(*dims).agg(
-        F.sum(F.col("w") * F.ln("v")).alias("swl"), F.sum("w").alias("total_sample_size"), F.count("*").alias("record_count"), studies.alias("study_count"), F.max("w").alias("max_w"), F.min("v").alias("low"), F.max("v").alias("high")
-    )
-    first = first.withColumn("mu", F.col("swl") / F.col("total_sample_size"))
-    # The second pass: deviations from the mean of the stratum, so that nothing cancels when the spread is small.
-    centred = rows.join(first.select(*dims, "mu"), dims)
-    second = centred.groupBy(*dims).agg(F.sum(F.col("w") * (F.ln("v") - F.col("mu")) * (F.ln("v") - F.col("mu"))).alias("swd"))
-    out = first.join(second, dims)
+    out = bins.groupBy(*dims).agg(F.first("mu").alias("mu"), F.sum("sw").alias("total_sample_size"), F.sum("k").alias("record_count"), studies.alias("study_count"), F.max("max_w").alias("max_w"), F.min("low").alias("low"), F.max("high").alias("high"), swd().alias("swd"))
     n, share = F.col("record_count"), F.col("max_w") / F.col("total_sample_size")
     se = F.when(n > 1, F.sqrt(F.col("swd") / ((n - 1) * F.col("total_sample_size"))))
     gm, gsd = F.exp("mu"), F.exp(F.sqrt(F.col("swd") / F.col("total_sample_size")))
@@ -86,6 +105,21 @@ def weighted_quantiles(df: DataFrame, dims: list[str], probs: list[float], value
     return run.groupBy(*dims).agg(*[F.min(F.when(F.col("cum") >= p * F.col("total"), F.col("v"))).alias(name) for p, name in zip(probs, names, strict=True)])
 
 
+def value_summary(df: DataFrame, dims: list[str], value: str, probs: list[float], weight: str = "sample_size") -> DataFrame:
+    """Per stratum gm, gsd, n, weighted quantiles and the upper unweighted median, from one pass that sums by distinct value."""
+    rows = poolable(df, dims, value, weight).groupBy(*dims, "v").agg(F.sum("w").alias("w"), F.count("*").alias("k"))
+    over = Window.partitionBy(*dims)
+    run = over.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    log = F.ln("v")
+    each = rows.withColumns({"cum": F.sum("w").over(run), "total": F.sum("w").over(over), "seen": F.sum("k").over(run), "n": F.sum("k").over(over), "mu": F.sum(F.col("w") * log).over(over) / F.sum("w").over(over)})
+    quantiles = [F.min(F.when(F.col("cum") >= p * F.col("total"), F.col("v"))).alias(f"p{round(100 * p):02d}") for p in probs]
+    apart = log - F.col("mu")
+    return each.groupBy(*dims).agg(
+        F.exp(F.first("mu")).alias("gm"), F.exp(F.sqrt(F.sum(F.col("w") * apart * apart) / F.first("total"))).alias("gsd"), F.first("n").alias("n"), F.first("total").alias("total_sample_size"),
+        *quantiles, F.min(F.when(F.col("seen") > F.floor(F.col("n") / 2), F.col("v"))).alias("median"),
+    )
+
+
 def upper_median(df: DataFrame, dims: list[str], value: str) -> DataFrame:
     """The element n div 2 (from 0) of the sorted values; counts by distinct value first."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*dims, F.col(value).alias("v")).agg(F.count("*").alias("k"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlake.functions.stats import gm_of, gsd_of, settled, with_widths
-from cohortlake.plans.dims import FLAG_RULES
+from cohortlake.plans.dims import FLAG_RULES, KNOWN_FLAGS
 
 MAX_CV = 2.0
 
@@ -100,3 +100,35 @@ def standardize(df: DataFrame, median_strategy: str = "as_gm", iqr_formula: str
 def flag_hits(df: DataFrame) -> DataFrame:
     """One row for each record and flag."""
     return df.select("record_id", F.explode("inferred_flags").alias("flag"))
+
+
+def flag_rules(df: DataFrame) -> DataFrame:
+    """record_id, flag, rule: by which piece of its path each flag of a record comes, the first that gives it; ``<none>`` for paths without inference."""
+    path = F.trim(F.coalesce("conversion_path", F.lit("")))
+    unit = ("ICRP89", "nmol/L")
+    reported = path.endswith("reported_GM")
+    hits = [F.when(path.contains(piece) & (~reported | F.lit(piece in unit)), F.struct(F.lit(flag).alias("flag"), F.lit(piece).alias("rule"), F.lit(i).alias("i"))) for i, (piece, flags) in enumerate(FLAG_RULES) for flag in flags]
+    hits.append(F.when(~reported & path.contains("ug/g Cr") & path.endswith("ug/L"), F.struct(F.lit("unit_converted_volume").alias("flag"), F.lit("ug/g Cr→ug/L").alias("rule"), F.lit(len(FLAG_RULES)).alias("i"))))
+    none = F.array(F.struct(F.lit("<none>").alias("flag"), path.alias("rule"), F.lit(-1).alias("i")))
+    found = F.filter(F.array(*hits), lambda x: x.isNotNull())
+    found = F.when(path.isin("reported_GM", "reported_creatinine_corrected") | (reported & (F.size(found) == 0)), none).otherwise(found)
+    each = settled(df.select("record_id", path.alias("conversion_path")), {"_h": found}).select("record_id", F.explode("_h").alias("h"))
+    return each.groupBy("record_id", "h.flag").agg(F.min_by("h.rule", "h.i").alias("rule"))
+
+
+def flag_set(flags: Column) -> Column:
+    """The flags of a ``;`` list, trimmed."""
+    return F.array_distinct(F.filter(F.transform(F.split(F.coalesce(flags, F.lit("")), ";"), lambda x: F.trim(x)), lambda x: x != ""))
+
+
+def unknown_flags(flags: Column) -> Column:
+    """Flags of a ``;`` list that the closed set lacks."""
+    return F.array_except(flag_set(flags), F.array(*map(F.lit, KNOWN_FLAGS)))
+
+
+def flag_mismatch(df: DataFrame) -> DataFrame:
+    """record_id, missing, surplus: stored flags against those that the path gives, where the sets differ."""
+    stored, derived = flag_set(F.col("inferred_flags")), derive_flags(F.col("conversion_path"))
+    both = settled(df.select("record_id", "inferred_flags", "conversion_path"), {"_s": stored, "_d": derived})
+    text = lambda a, b: F.array_join(F.array_sort(F.array_except(a, b)), ";")
+    return both.select("record_id", text("_d", "_s").alias("missing"), text("_s", "_d").alias("surplus")).where("missing <> '' OR surplus <> ''")

@@ -52,6 +52,12 @@ FLAG_RULES = [
     ("blood_matrix_assumed", ["blood_matrix_assumed"]),
     ("species_total_assumed", ["species_total_assumed"]),
 ]
+# The closed set of flags.
+KNOWN_FLAGS = [
+    "gm_from_mean_sd", "gm_from_median", "gm_from_iqr", "gm_from_range", "sd_from_iqr", "unit_converted_creatinine", "unit_converted_volume", "molar_conversion",
+    "time_represented", "blood_matrix_assumed", "species_total_assumed", "coord_random", "value_interpolated", "value_estimated_from_figure", "sample_size_estimated",
+    "record_split_from_study", "subgroup_selected", "no_n_fallback", "coarse_age", "cordblood_edi_skipped", "exploratory_reconstruction", "inconsistent_param", "bw_unused",
+]
 PERIODS = [("1995-1996", 1995, 1996), ("1997-1998", 1997, 1998), ("1999-2000", 1999, 2000)]
 
 
@@ -116,10 +122,21 @@ JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionke
 """
 
 
+def spread_out(df: DataFrame) -> DataFrame:
+    """A table read in fewer parts than there are cores, dealt to all of them; a larger one as it is.
+
+    A small file is one part, and broadcast joins add no shuffle that would share the work behind it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The record table as a projection of the given tables, all tables read with pushdown."""
     names = ("lineitem", "orders", "customer", "nation", "region", "part")
     sql = RECORD_SQL
     for name in names:
         sql = sql.replace(f"FROM {name} ", f"FROM {{{name}}} ").replace(f"JOIN {name} ", f"JOIN {{{name}}} ")
-    return spark.sql(sql, **{n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names})
+    tables = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
+    tables["lineitem"] = spread_out(tables["lineitem"].select(*[c for c in tables["lineitem"].columns if c in RECORD_SQL]))
+    return spark.sql(sql, **tables)

@@ -271,16 +271,13 @@ def daily_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT sample_type, population_group, round(exp(sum(w * ln(a)) / sum(w)), 6) AS gm, count(*) AS n, round(min(a) FILTER (c >= 0.05 * t), 6) AS p05, round(min(a) FILTER (c >= 0.5 * t), 6) AS p50, round(min(a) FILTER (c >= 0.95 * t), 6) AS p95, round(min(a) FILTER (rn = n2), 6) AS median
-FROM (SELECT *, sum(w) OVER (p ORDER BY a RANGE UNBOUNDED PRECEDING) AS c, sum(w) OVER p AS t, row_number() OVER (p ORDER BY a) AS rn, count(*) OVER p // 2 + 1 AS n2 FROM (SELECT *, CAST(sample_size AS DOUBLE) AS w FROM ({EDI_SQL})) WHERE a > 0 AND w > 0 WINDOW p AS (PARTITION BY sample_type, population_group)) GROUP BY sample_type, population_group"""
+    f"""SELECT sample_type, population_group, round(exp(any_value(mu)), 6) AS gm, round(exp(sqrt(sum(w * (ln(a) - mu) * (ln(a) - mu)) / sum(w))), 6) AS gsd, count(*) AS n, sum(w) AS total_sample_size,
+  {', '.join(f"round(min(a) FILTER (c >= {p} * t), 6) AS p{round(100 * p):02d}" for p in (0.05, 0.25, 0.5, 0.75, 0.95))}, round(min(a) FILTER (rn = n2), 6) AS median
+FROM (SELECT *, sum(w) OVER (p ORDER BY a RANGE UNBOUNDED PRECEDING) AS c, sum(w) OVER p AS t, sum(w * ln(a)) OVER p / sum(w) OVER p AS mu, row_number() OVER (p ORDER BY a) AS rn, count(*) OVER p // 2 + 1 AS n2 FROM (SELECT *, CAST(sample_size AS DOUBLE) AS w FROM ({EDI_SQL})) WHERE a > 0 AND w > 0 WINDOW p AS (PARTITION BY sample_type, population_group)) GROUP BY sample_type, population_group"""
 )
 def intake_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dims = ["sample_type", "population_group"]
-    rows = intake.daily_intake(standard(spark, sf_dir)).where("edi_primary > 0 AND sample_size > 0")
-    means = rows.groupBy(*dims).agg(F.exp(F.sum(F.col("sample_size") * F.ln("edi_primary")) / F.sum("sample_size")).alias("gm"), F.count("*").alias("n"))
-    quantiles = pool.weighted_quantiles(rows, dims, [0.05, 0.5, 0.95], "edi_primary")
-    out = means.join(quantiles, dims).join(pool.upper_median(rows, dims, "edi_primary").drop("n"), dims)
-    return rounded(out, "gm", "p05", "p50", "p95", "median")
+    out = intake.intake_summary(standard(spark, sf_dir), ["sample_type", "population_group"])
+    return rounded(out, "gm", "gsd", "p05", "p25", "p50", "p75", "p95", "median")
 
 
 @query(f"SELECT edi_status, count(*) AS n FROM ({EDI_SQL}) GROUP BY edi_status")

@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlake.operators import derived
-from cohortlake.operators.sensitivity import sensitivity
 from cohortlake.plans.dims import records
-from cohortlake.queries import query, standard
+from cohortlake.queries import query
 from cohortlake.queries_review import _table
 
 
@@ -43,9 +42,3 @@ def flagged_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived.title_flags(pages).drop("title")
 
 
-@query()
-def pattern_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How far each matrix's analyses agree with its main one."""
-    rows = sensitivity(standard(spark, sf_dir)).where("analysis <> 'main'")
-    share = F.avg(F.col("consistent_with_main").cast("double"))
-    return rows.groupBy("sample_type").agg(F.count("*").alias("n_analyses"), F.round(share, 6).alias("share_consistent"), F.when(share >= 0.9, "robust").when(share >= 0.5, "partly robust").otherwise("not robust").alias("grade"))

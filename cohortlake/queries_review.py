@@ -114,18 +114,40 @@ def dedup_strategies(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TREND = "CASE WHEN {a} IS NULL OR {b} IS NULL THEN '?' WHEN ({b} - {a}) / {a} < -0.05 THEN '↓' WHEN ({b} - {a}) / {a} > 0.05 THEN '↑' ELSE '→' END"
 
 
-@query(
-    f"""SELECT b.sample_type, analysis, n_records, n_studies, round(n_records / t.total, 6) AS ratio_of_total, pattern, pattern = max(pattern) FILTER (analysis = 'main') OVER (PARTITION BY b.sample_type) AS consistent_with_main, n_records / t.total < 0.2 AS reduced
-FROM (SELECT *, {_TREND.format(a='g0', b='g1')} || {_TREND.format(a='g1', b='g2')} AS pattern FROM (SELECT sample_type, analysis, count(w) AS n_records, count(DISTINCT study_no) FILTER (w IS NOT NULL) AS n_studies,
-  exp(sum(w * l) FILTER (p = '1995-1996') / sum(w) FILTER (p = '1995-1996')) AS g0, exp(sum(w * l) FILTER (p = '1997-1998') / sum(w) FILTER (p = '1997-1998')) AS g1, exp(sum(w * l) FILTER (p = '1999-2000') / sum(w) FILTER (p = '1999-2000')) AS g2
+_SUMS = f"""SELECT *, {_TREND.format(a='g0', b='g1')} || {_TREND.format(a='g1', b='g2')} AS pattern FROM (SELECT sample_type, analysis, count(w) AS n_records, count(DISTINCT study_no) FILTER (w IS NOT NULL) AS n_studies,
+  exp(sum(w * l) FILTER (p = '1995-1996') / sum(w) FILTER (p = '1995-1996')) AS g0, exp(sum(w * l) FILTER (p = '1997-1998') / sum(w) FILTER (p = '1997-1998')) AS g1, exp(sum(w * l) FILTER (p = '1999-2000') / sum(w) FILTER (p = '1999-2000')) AS g2,
+  {', '.join(f"count(w) FILTER (p = '{p}') AS n{i}, count(DISTINCT study_no) FILTER (w IS NOT NULL AND p = '{p}') AS s{i}" for i, p in enumerate(('1995-1996', '1997-1998', '1999-2000')))}
 FROM (SELECT *, CASE WHEN gm_summary > 0 AND sample_size > 0 AND p IS NOT NULL THEN CAST(sample_size AS DOUBLE) END AS w, CASE WHEN gm_summary > 0 THEN ln(gm_summary) END AS l, unnest(list_filter(['main', CASE WHEN sample_type = 'Urine' THEN 'adjusted=' || adjusted END, 'gm_source=' || src, CASE WHEN sample_type <> 'Urine' THEN 'blood_matrix=' || blood_matrix END, 'species=' || analyte_species, CASE WHEN population_group <> 'Mixed' THEN 'population=' || population_group END,
-  CASE WHEN src = 'reported_GM' THEN 'subset=direct' END, CASE WHEN NOT list_contains(flag_list, 'no_n_fallback') THEN 'subset=with_sample_size' END, CASE WHEN NOT flag_occupational THEN 'without=occupational' END], lambda x: x IS NOT NULL)) AS analysis
-FROM (SELECT *, {PERIOD_SQL} AS p, CASE WHEN contains(conversion_path, 'reported_GM') THEN 'reported_GM' WHEN contains(conversion_path, 'Wan_S') THEN 'Wan_estimated' WHEN contains(conversion_path, 'Median_as_GM') THEN 'Median_as_GM' WHEN contains(conversion_path, 'AMSD_to_LN') THEN 'AMSD_to_LN' END AS src FROM std)) GROUP BY sample_type, analysis)) b JOIN (SELECT sample_type, count(*) AS total FROM rec GROUP BY sample_type) t ON b.sample_type = t.sample_type"""
+  CASE WHEN src = 'reported_GM' THEN 'subset=direct' END, CASE WHEN NOT list_contains(flag_list, 'no_n_fallback') THEN 'subset=with_sample_size' END, CASE WHEN sample_size >= 30 THEN 'subset=large' END, 'subset=not_split', CASE WHEN NOT flag_occupational THEN 'without=occupational' END], lambda x: x IS NOT NULL)) AS analysis
+FROM (SELECT *, {PERIOD_SQL} AS p, CASE WHEN contains(conversion_path, 'reported_GM') THEN 'reported_GM' WHEN contains(conversion_path, 'Wan_S') THEN 'Wan_estimated' WHEN contains(conversion_path, 'Median_as_GM') THEN 'Median_as_GM' WHEN contains(conversion_path, 'AMSD_to_LN') THEN 'AMSD_to_LN' END AS src FROM std)) GROUP BY sample_type, analysis)"""
+
+
+@query(
+    f"""SELECT b.sample_type, printf('S%02d', row_number() OVER (PARTITION BY b.sample_type ORDER BY analysis <> 'main', analysis) - 1) AS analysis_id, analysis, n_records, n_studies, round(n_records / t.total, 6) AS ratio_of_total, pattern, pattern = max(pattern) FILTER (analysis = 'main') OVER (PARTITION BY b.sample_type) AS consistent_with_main, n_records / t.total < 0.2 AS reduced
+FROM ({_SUMS}) b JOIN (SELECT sample_type, count(*) AS total FROM rec GROUP BY sample_type) t ON b.sample_type = t.sample_type"""
 )
 def sensitivity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analyses.sensitivity(standard(spark, sf_dir))
 
 
+@query("SELECT sample_type, analysis, period, round(gm, 6) AS gm, n_records, n_studies FROM (" + " UNION ALL ".join(f"SELECT sample_type, analysis, '{p}' AS period, g{i} AS gm, n{i} AS n_records, s{i} AS n_studies FROM ({_SUMS})" for i, p in enumerate(("1995-1996", "1997-1998", "1999-2000"))) + ")")
+def sensitivity_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(analyses.sensitivity_by_period(standard(spark, sf_dir)), "gm")
+
+
+@query(f"""SELECT sample_type, analysis, pattern[1:1] AS "1995-1996 to 1997-1998", pattern[2:2] AS "1997-1998 to 1999-2000" FROM ({_SUMS})""")
+def pattern_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return analyses.pattern_matrix(standard(spark, sf_dir))
+
+
+@query(
+    f"""SELECT sample_type, analysis, round(off, 6) AS max_level_diff, CASE WHEN pattern <> main THEN 'direction_changed' WHEN off > 0.2 THEN 'level_differs' ELSE 'robust' END AS grade
+FROM (SELECT b.*, m.pattern AS main, greatest(abs(b.g0 - m.g0) / m.g0, abs(b.g1 - m.g1) / m.g1, abs(b.g2 - m.g2) / m.g2) AS off FROM ({_SUMS}) b JOIN (SELECT * FROM ({_SUMS}) WHERE analysis = 'main') m ON b.sample_type = m.sample_type WHERE b.analysis <> 'main')"""
+)
+def robustness_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(analyses.robustness(standard(spark, sf_dir)), "max_level_diff")
+
+
 # Raw records: a document's first line is its title, the whole text its abstract.
 @query("SELECT doc_id, sha256(lower(trim(regexp_replace(split_part(text, chr(10), 1), '\\s+', ' ', 'g'))) || chr(10) || lower(trim(regexp_replace(text, '\\s+', ' ', 'g')))) AS raw_row_hash FROM documents")
 def raw_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
