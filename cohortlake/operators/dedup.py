@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlake.plans.dims import PERIODS, period_of
@@ -10,6 +10,7 @@ from cohortlake.plans.dims import PERIODS, period_of
 # Names that tell of a cohort, and wordings that count people instead of records.
 COHORT = r"(?i)birth\s+cohort|出生队列|prospective\s+cohort|母子队列|母婴队列|队列研究|cohort\s+study|longitudinal\s+cohort"
 WORDING = r"(?i)\d[\d,]*\s+(?:participants|individuals|subjects)\b"
+GOOD_WORDING = r"(?i)record[- ]level|summed across records|记录级"
 
 
 def first_author(c: Column) -> Column:
@@ -46,22 +47,42 @@ def clusters(studies: DataFrame, city_least: int = 4, author_least: int = 3, coh
 
 
 def keep_largest(df: DataFrame, periods=PERIODS) -> DataFrame:
-    """Of a city, matrix and period the record with the largest sample; records outside of the periods stay."""
+    """Of a city, matrix and period the record with the largest sample, of several the first by id; records outside of the periods stay, unranked."""
     df = df.withColumn("_period", period_of(F.col("sampling_year"), periods))
-    w = Window.partitionBy("city", "sample_type", "_period").orderBy(F.desc_nulls_last("sample_size"), "record_id")
-    return df.withColumn("_n", F.row_number().over(w)).where("_n = 1 OR _period IS NULL").drop("_n", "_period")
+    inside, outside = df.where("_period IS NOT NULL"), df.where("_period IS NULL")
+    best = F.min_by(F.struct("*"), F.struct(F.col("sample_size").isNull(), -F.col("sample_size"), F.col("record_id")))
+    kept = inside.groupBy(F.col("city").alias("_c"), F.col("sample_type").alias("_s"), F.col("_period").alias("_p")).agg(best.alias("r")).select("r.*")
+    return kept.unionByName(outside).drop("_period")
 
 
-def strategy_impact(df: DataFrame, periods=PERIODS) -> DataFrame:
-    """strategy, records and sample size before and after: keep all, keep the largest, merge within clusters."""
+def strategy_impact(df: DataFrame, periods=PERIODS, city_least: int = 4) -> DataFrame:
+    """strategy, records and sample size before and after: keep all, keep the largest, merge within clusters.
+
+    Merging makes one record of each cluster of studies by city and matrix and leaves the sample size as it is.
+    """
     inside = period_of(F.col("sampling_year"), periods)
     cells = df.groupBy("city", "sample_type", inside.alias("p")).agg(F.count("*").alias("k"), F.sum("sample_size").alias("n"), F.max("sample_size").alias("top"))
     one = F.when(F.col("p").isNull(), F.col("k")).otherwise(1)
     out = cells.agg(F.sum("k").alias("records_before"), F.sum("n").alias("n_before"), F.sum(one).alias("records_one"), F.sum(F.when(F.col("p").isNull(), F.col("n")).otherwise(F.col("top"))).alias("n_one"))
-    rows = F.explode(F.array(*[F.struct(F.lit(s).alias("strategy"), F.col(r).alias("records_after"), F.col(n).alias("n_after")) for s, r, n in (("keep_all", "records_before", "n_before"), ("keep_largest", "records_one", "n_one"), ("merge_within_cohort", "records_one", "n_before"))]))
+    merged = clusters(build_studies(df), city_least).where("kind = 'city'").agg(F.coalesce(F.sum(F.col("n_records") - 1), F.lit(0)).alias("fewer"))
+    out = out.crossJoin(F.broadcast(merged)).withColumn("records_merged", F.col("records_before") - F.col("fewer"))  # one row each
+    rows = F.explode(F.array(*[F.struct(F.lit(s).alias("strategy"), F.col(r).alias("records_after"), F.col(n).alias("n_after")) for s, r, n in (("keep_all", "records_before", "n_before"), ("keep_largest", "records_one", "n_one"), ("merge_within_cohort", "records_merged", "n_before"))]))
     return out.select("records_before", "n_before", rows.alias("s")).select("s.strategy", "records_before", "n_before", "s.records_after", "s.n_after")
 
 
-def wording_hits(docs: DataFrame) -> DataFrame:
-    """doc_id, hit: counts of people where records are meant."""
-    return docs.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(WORDING), F.lit(0))).alias("hit"))
+def wording_hits(docs: DataFrame, around: int = 60) -> DataFrame:
+    """doc_id, hit, context: counts of people where records are meant, with what stands around them."""
+    hits = F.regexp_extract_all("text", F.lit(rf"(?is).{{0,{around}}}{WORDING.removeprefix('(?i)')}.{{0,{around}}}"), F.lit(0))
+    return docs.select("doc_id", F.explode(hits).alias("context")).select("doc_id", F.regexp_extract("context", WORDING, 0).alias("hit"), F.trim("context").alias("context"))
+
+
+def good_wording(text: Column) -> Column:
+    """Whether a text says that sums are of records."""
+    return text.rlike(GOOD_WORDING)
+
+
+def screen(df: DataFrame, docs: DataFrame | None = None, periods=PERIODS) -> dict[str, DataFrame]:
+    """The whole screening: studies, clusters, strategies, and, with manuscripts, their wording."""
+    studies = build_studies(df)
+    out = {"studies": studies, "clusters": clusters(studies), "strategies": strategy_impact(df, periods)}
+    return out if docs is None else out | {"wording": wording_hits(docs)}

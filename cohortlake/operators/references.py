@@ -35,17 +35,39 @@ def unused(cited: DataFrame, library: DataFrame) -> DataFrame:
 
 
 def verify_references(references: DataFrame, metadata: DataFrame) -> DataFrame:
-    """key, status, fields: the fields in which a reference differs from what is registered for its DOI."""
-    local = references.withColumn("doi", normalize_doi(F.col("doi")))
-    there = metadata.select(normalize_doi(F.col("doi")).alias("doi"), F.col("title").alias("r_title"), F.col("journal").alias("r_journal"), F.col("year").alias("r_year"))
+    """key, status, fields: the fields in which a reference differs from what is registered for its DOI. Volume, issue and pages count where both sides have them."""
+    names = ("title", "journal", "year", "volume", "issue", "pages")
+    text = lambda df, c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) if c in df.columns else F.lit("")
+    local = references.select(*[c for c in references.columns if c not in names], *[text(references, c).alias(c) for c in names]).withColumn("doi", normalize_doi(F.col("doi")))
+    there = metadata.select(normalize_doi(F.col("doi")).alias("doi"), F.lit(True).alias("there"), *[text(metadata, c).alias(f"r_{c}") for c in names])
     joined = local.join(there, "doi", "left")
-    differ = F.array(F.when(~titles_match(F.col("title"), F.col("r_title")), "title"), F.when(~journals_match(F.col("journal"), F.col("r_journal")), "journal"), F.when(F.col("year") != F.col("r_year"), "year"))
-    fields = F.concat_ws(";", F.filter(differ, lambda x: x.isNotNull()))
-    none = F.col("doi").isin("", "NO_DOI")
-    status = F.when(none, "NO_DOI").when(~valid_doi(F.col("doi")) | F.col("r_title").isNull(), "DOI_INVALID").when(fields != "", "MISMATCH").otherwise("VERIFIED")
+    other = lambda c: (F.col(c) != "") & (F.col(f"r_{c}") != "") & (F.col(c) != F.col(f"r_{c}"))
+    tests = {"title": ~titles_match(F.col("title"), F.col("r_title")), "journal": ~journals_match(F.col("journal"), F.col("r_journal")), "year": (F.col("year") != "") & (F.col("year") != F.col("r_year"))}
+    tests |= {c: other(c) for c in ("volume", "issue", "pages")}
+    fields = F.concat_ws(";", *[F.when(t, c) for c, t in tests.items()])
+    none = F.upper("doi").isin("", "NO_DOI")
+    status = F.when(none, "NO_DOI").when(~valid_doi(F.col("doi")) | F.col("there").isNull(), "DOI_INVALID").when(fields != "", "MISMATCH").otherwise("VERIFIED")
     return joined.select("key", status.alias("status"), F.when(status.isin("MISMATCH"), fields).otherwise("").alias("fields"))
 
 
+def crosswalk_actions(found: DataFrame) -> DataFrame:
+    """Adds note and search_term to ``crosswalk``'s rows: what is to be done, and what to look for in the library."""
+    suffix = F.col("key").rlike("[a-z]$")
+    note = F.when((F.col("status") == "MISSING"), "add to the library").when((F.col("status") == "AMBIGUOUS") & suffix, "give the library's entries a suffix").when(F.col("status") == "AMBIGUOUS", "add a suffix in the text").otherwise("")
+    return found.withColumns({"note": note, "search_term": F.regexp_replace("key", r"\|", " ")})
+
+
+def insert_table(found: DataFrame, library: DataFrame) -> DataFrame:
+    """doc_id, key, record_id, place: the library's entries of each matched citation, numbered by document in the order of keys."""
+    lib = suffixed(library)
+    keys = lib.select("record_id", F.explode(F.array_distinct(F.array("key", F.concat("key", "suffix")))).alias("lib_key"))
+    wanted = found.where("status = 'MATCHED'").select("doc_id", "key")
+    direct = wanted.join(keys, wanted["key"] == keys["lib_key"], "left").drop("lib_key")
+    base = direct.where("record_id IS NULL").select("doc_id", "key", F.regexp_replace("key", "[a-z]$", "").alias("lib_key")).join(keys, "lib_key").select("doc_id", "key", "record_id")
+    out = direct.where("record_id IS NOT NULL").unionByName(base)
+    return out.withColumn("place", F.row_number().over(Window.partitionBy("doc_id").orderBy("key", "record_id")))
+
+
 def library_duplicates(library: DataFrame) -> DataFrame:
     """Groups of references with the same DOI, or without one the same surname, year and title beginning."""
     doi = normalize_doi(F.col("doi"))

@@ -26,7 +26,9 @@ def query(sql: str | None = None):
             parts = [f"rec AS ({RECORD_SQL})"] if std or re.search(r"\brec\b", sql) else []
             if std:
                 parts += [f"widths AS MATERIALIZED ({WIDTHS_SQL})", f"std AS ({STANDARD_SQL})"]
-            ORACLES[f.__name__] = (f"WITH {', '.join(parts)} " if parts else "") + sql
+            text = sql.strip()
+            more = text.startswith("WITH ")
+            ORACLES[f.__name__] = f"WITH {', '.join(parts)}{',' if more else ''} {text.removeprefix('WITH ')}" if parts else text
         return f
 
     return register

@@ -10,7 +10,6 @@ from cohortlake.operators import audit, dedup, pool, quality, references
 from cohortlake.operators import sensitivity as analyses
 from cohortlake.plans.dims import records
 from cohortlake.queries import PERIOD_SQL, query, rounded, standard
-from cohortlake.sources.bibliography import fingerprint_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,8 +102,9 @@ def keep_largest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT s.strategy, CAST(rb AS BIGINT) AS records_before, CAST(nb AS BIGINT) AS n_before, CAST(CASE s.strategy WHEN 'keep_all' THEN rb ELSE r1 END AS BIGINT) AS records_after, CAST(CASE s.strategy WHEN 'keep_largest' THEN n1 ELSE nb END AS BIGINT) AS n_after
+    f"""SELECT s.strategy, CAST(rb AS BIGINT) AS records_before, CAST(nb AS BIGINT) AS n_before, CAST(CASE s.strategy WHEN 'keep_all' THEN rb WHEN 'keep_largest' THEN r1 ELSE rb - fewer END AS BIGINT) AS records_after, CAST(CASE s.strategy WHEN 'keep_largest' THEN n1 ELSE nb END AS BIGINT) AS n_after
 FROM (SELECT sum(k) AS rb, sum(n) AS nb, sum(CASE WHEN p IS NULL THEN k ELSE 1 END) AS r1, sum(CASE WHEN p IS NULL THEN n ELSE top END) AS n1 FROM (SELECT city, sample_type, {PERIOD_SQL} AS p, count(*) AS k, sum(sample_size) AS n, max(sample_size) AS top FROM rec GROUP BY ALL)),
+(SELECT coalesce(sum(k - 1), 0) AS fewer FROM (SELECT sum(n_records) AS k FROM ({_STUDIES}) WHERE city <> '' GROUP BY city, sample_type HAVING count(*) >= 4)),
 (SELECT unnest(['keep_all', 'keep_largest', 'merge_within_cohort']) AS strategy) s"""
 )
 def dedup_strategies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,8 +259,3 @@ def audited_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def change_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("s")).where("trim(s) <> ''")
     return lines.groupBy("doc_id").agg(F.count("*").alias("n_sentences"), F.count_if(tells_change(F.col("s"))).alias("n_change"))
-
-
-@query()
-def file_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint_files(spark, f"{sf_dir}/*.parquet")
