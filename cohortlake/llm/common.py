@@ -16,9 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that every executor sees; one of our own only where the session names none."""
+    """The folder that every executor sees; one of our own only where the session names none and runs on this machine alone."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="spark-cohortlake-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder

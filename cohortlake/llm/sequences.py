@@ -82,59 +82,16 @@ def covered(starts: np.ndarray, stops: np.ndarray, n: int) -> np.ndarray:
 
 
 def copies(base: DataFrame) -> DataFrame:
-    """doc_id, key of the documents whose whole text a document with a smaller id has. Reads digests only, and makes no pairs."""
+    """doc_id, key, later of the documents whose whole text another one has; ``later`` where one of these has a smaller id. Reads digests only, and makes no pairs."""
     digests = written(base.select("doc_id", "key", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2")), "text-digests")
     first = written(digests.groupBy("t1", "t2").agg(F.min(place()).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "first-copies")
-    return written(digests.join(first, ["t1", "t2"]).where(place() > F.col("first")).select("doc_id", "key").distinct(), "copies")
-
-
-def _deal_batches(parts: int):
-    """The hashes of a task, sorted and dealt to ``parts`` by their value, as a few long rows instead of one for each."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-
-        def dealt() -> pa.RecordBatch:
-            hashes = np.sort(np.concatenate(held)) if held else np.empty(0, np.uint64)
-            held.clear()
-            keep = np.ones(len(hashes), bool)
-            keep[2:] = hashes[2:] != hashes[:-2]  # twice is as good as more
-            hashes = hashes[keep]
-            cuts = np.searchsorted(hashes, (np.arange(1, parts, dtype=object) * 2**64 // parts).astype(np.uint64))
-            some = [(k, x.tobytes()) for k, x in enumerate(np.split(hashes, cuts)) if len(x)]
-            return pa.RecordBatch.from_arrays([pa.array([k for k, _ in some], pa.int32()), pa.array([x for _, x in some], pa.binary())], ["part", "sorted"])
-
-        for batch in batches:
-            held.append(batch.column("hashes").flatten().to_numpy().view(np.uint64))
-            if sum(map(len, held)) > 4_000_000:
-                yield dealt()
-        yield dealt()
-
-    return run
-
-
-def _twice_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes that occur twice or more in a part; the rows of a part come together."""
-    once, twice, part = np.empty(0, np.uint64), np.empty(0, np.uint64), None
-    for batch in batches:
-        for k, raw in zip(batch.column("part").to_pylist(), batch.column("sorted").to_pylist(), strict=True):
-            if k != part:
-                yield pa.RecordBatch.from_arrays([pa.array(twice.view(np.int64))], ["hash"])
-                once, twice, part = np.empty(0, np.uint64), np.empty(0, np.uint64), k
-            both = np.sort(np.concatenate([once, np.frombuffer(raw, np.uint64)]))
-            same = both[1:] == both[:-1]
-            twice = np.union1d(twice, both[1:][same])
-            once = both[np.r_[True, ~same]] if len(both) else both
-    yield pa.RecordBatch.from_arrays([pa.array(twice.view(np.int64))], ["hash"])
+    return written(digests.join(first, ["t1", "t2"]).select("doc_id", "key", (place() > F.col("first")).alias("later")).distinct(), "copies")
 
 
 def repeated_hashes(prints: DataFrame) -> DataFrame:
-    """hash: of the anchors' hashes those that occur twice or more."""
-    total = prints.agg(F.sum(F.size("hashes")).alias("n")).first()["n"] or 0
-    # Equal hashes sort together and collapse to one, so that a part holds about 500,000 different ones however common some are.
-    parts = max(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // 500_000))
-    dealt = prints.select("hashes").mapInArrow(_deal_batches(parts), "part int, sorted binary")
-    return written(dealt.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_twice_batches, "hash long"), "repeated-hashes")
+    """hash: of the anchors' hashes those that occur twice or more; counted in each task first, so that a common one crosses the shuffle once a task."""
+    every = prints.select(F.explode("hashes").alias("hash"))
+    return written(every.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "repeated-hashes")
 
 
 def _seed_batches(shared, bits: int):

@@ -5,8 +5,9 @@ fingerprints link at ``radius`` differing bits or fewer. Fingerprints that link
 ``radius + 1`` blocks of bits, so each distinct fingerprint goes to one bucket for each block. In a bucket
 the fingerprints form a BK-tree: a node's children are keyed by their integer Hamming distance to it, and a
 search follows only the edges within the radius of the distance found. Buckets over ``shard_size`` are cut
-into shards, and each shard's tree is sent to every other shard of its bucket, so that no task holds more
-than two shards. Copies collapse before this: the trees hold distinct fingerprints only, and a bucket gives
+into shards, and a task takes two shards of a bucket and builds their trees, so that none holds more. The
+trees are not broadcast: together they hold all fingerprints, which grow with the input and would have to pass
+the driver. Copies collapse before this: the trees hold distinct fingerprints only, and a bucket gives
 back a link from each fingerprint to the smallest one of its local group, never all pairs.
 
 Links join to components by star contraction over written tables. Fingerprints, links and components stay

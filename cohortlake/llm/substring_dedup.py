@@ -69,17 +69,19 @@ def _keep_batches(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, copy, starts in zip(*(batch.column(c).to_pylist() for c in ("text", "copy", "starts")), strict=True):
+            for text, copy, whole, longest, starts in zip(*(batch.column(c).to_pylist() for c in ("text", "copy", "whole", "longest", "starts")), strict=True):
                 words = _words(text)
                 kept = words
+                if whole and len(words) >= min_words:  # a copy repeats in all its length
+                    longest = min_words << (len(words) // min_words).bit_length() - 1
                 if copy and len(words) >= min_words:
                     kept = []
                 elif starts:
                     gone = covered(np.array(starts), np.array(starts) + min_words, len(words))
                     kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
-                rows.append((len(words), len(words) - len(kept), b" ".join(kept).decode("utf-8", "surrogatepass")))
-            n, gone, kept = zip(*rows, strict=True) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), batch.column("longest"), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "longest_repeat", "kept_text"])
+                rows.append((len(words), len(words) - len(kept), longest, b" ".join(kept).decode("utf-8", "surrogatepass")))
+            n, gone, longest, kept = zip(*rows, strict=True) if rows else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(longest, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "longest_repeat", "kept_text"])
 
     return run
 
@@ -110,17 +112,18 @@ def levels(windows: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
 
 
 def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_words, n_removed, longest_repeat (0: none; copies aside), kept_text."""
+    """One row per input row: doc_id, n_words, n_removed, longest_repeat (the longest level of doubling at which a window of it also stands in another document; 0: none), kept_text."""
     base = keyed(docs, id_col, text_col)
-    again = copies(base)
+    whole = copies(base)
+    again = whole.where("later").select("doc_id", "key")
     prints = written(light_join(base, again, "left_anti").mapInArrow(_print_batches(min_words), "doc_id long, key long, hashes array<long>, ats array<int>"), "word-anchors")
     windows = light_join(base, repeated_anchors(prints), "inner").mapInArrow(_window_batches(min_words), "doc_id long, key long, start int, w1 long, w2 long")
     # Rows that agree in id and text give the same windows.
     later, longest = levels(written(windows, "word-windows"), min_words)
     starts = later.groupBy("doc_id", "key").agg(F.collect_set("start").alias("starts"))
-    marks = again.withColumn("copy", F.lit(True))
-    notes = starts.select("doc_id", "key", "starts", F.lit(None).cast("int").alias("longest"), F.lit(None).cast("boolean").alias("copy"))
-    notes = notes.unionByName(longest, allowMissingColumns=True).unionByName(marks, allowMissingColumns=True)
-    notes = written(notes.groupBy("doc_id", "key").agg(F.first("starts", True).alias("starts"), F.coalesce(F.max("longest"), F.lit(0)).alias("longest"), F.coalesce(F.max("copy"), F.lit(False)).alias("copy")), "word-notes")
-    joined = light_join(base, notes, "left").select("doc_id", "text", "starts", F.coalesce("longest", F.lit(0)).cast("long").alias("longest"), F.coalesce("copy", F.lit(False)).alias("copy"))
+    marks = whole.select("doc_id", "key", F.col("later").alias("copy"), F.lit(True).alias("whole"))
+    notes = starts.unionByName(longest, allowMissingColumns=True).unionByName(marks, allowMissingColumns=True)
+    notes = written(notes.groupBy("doc_id", "key").agg(F.first("starts", True).alias("starts"), F.max("longest").alias("longest"), F.max("copy").alias("copy"), F.max("whole").alias("whole")), "word-notes")
+    yes = lambda c: F.coalesce(c, F.lit(False)).alias(c)
+    joined = light_join(base, notes, "left").select("doc_id", "text", "starts", F.coalesce("longest", F.lit(0)).cast("long").alias("longest"), yes("copy"), yes("whole"))
     return joined.mapInArrow(_keep_batches(min_words), "doc_id long, n_words long, n_removed long, longest_repeat long, kept_text string")

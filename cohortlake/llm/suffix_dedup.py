@@ -270,7 +270,7 @@ def repeated_runs(contexts: DataFrame, min_bytes: int, bucket_size: int) -> Data
 def suffix_dedup(docs: DataFrame, min_bytes: int = MIN_BYTES, bucket_size: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept (bytes)."""
     base = keyed(docs, id_col, text_col)
-    again = copies(base)
+    again = copies(base).where("later").select("doc_id", "key")
     prints = written(light_join(base, again, "left_anti").mapInArrow(_print_batches(min_bytes), "doc_id long, key long, hashes array<long>, ats array<int>"), "byte-anchors")
     contexts = light_join(base, repeated_anchors(prints), "inner").mapInArrow(_context_batches(min_bytes), "doc_id long, key long, anchor long, at int, start int, count int, bytes binary")
     runs = repeated_runs(written(contexts, "contexts"), min_bytes, bucket_size)

@@ -1,6 +1,7 @@
 """Each operator against brute force on small tables with nulls, empty and long texts, ties, repeated rows and clashing columns."""
 
 import hashlib
+import itertools
 import random
 import re
 
@@ -112,6 +113,13 @@ def test_substring_dedup(docs, rows):
         gone = {s + k for s in range(len(w) - 49) if first[tuple(w[s : s + 50])] < i for k in range(50)}
         assert out[i]["kept_text"] == " ".join(x for k, x in enumerate(w) if k not in gone)
     assert sum(r["n_removed"] for r in out.values()) > 500
+    where = {}
+    for i, w in words.items():
+        for n in (50, 100, 200, 400, 800, 1600, 3200):
+            for s in range(len(w) - n + 1):
+                where.setdefault((n, *w[s : s + n]), set()).add(i)
+    longest = {i: max((n for n in (50, 100, 200, 400, 800, 1600, 3200) for s in range(len(w) - n + 1) if len(where[(n, *w[s : s + n])]) > 1), default=0) for i, w in words.items()}
+    assert {i: r["longest_repeat"] for i, r in out.items()} == longest
 
 
 @pytest.mark.parametrize("bucket_size", [0, 20_000])
@@ -204,6 +212,10 @@ def test_codec_equals_the_library(docs, rows):
         want = library.encode(t or "", add_special_tokens=False).ids
         assert np.frombuffer(ids[i]["ids"], "<u4").tolist() == want and back[i]["decoded"] == library.decode(want, skip_special_tokens=False)
     codec = bpe_codec.Codec(shared.value[1], bpe_codec.compiled({}))
+    r = random.Random(9)
+    for n in (90, 101, 150, 5000):
+        word = "".join(r.choice("etaonrish") if r.random() < 0.8 else r.choice("aé日zxü") for _ in range(n))
+        assert np.frombuffer(codec.encode(word), "<u4").tolist() == library.encode(word, add_special_tokens=False).ids
     for t in ("I'd SAY: it's Σίσυφος' <|endoftext|>x<|startoftext|>", "ﬁ½ Ⅷ ǅ İ \u0085é", "a​b 😀 한국어 don't"):
         assert np.frombuffer(codec.encode(t), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
 
@@ -228,13 +240,41 @@ def test_secret_scan(spark):
     assert got[3][1] == [] and got[4][1] == [("hex", 0, 24)]
 
 
-def test_secret_scan_equals_brute_force(docs, rows):
-    pattern = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
-    more = docs.select("doc_id", F.concat(F.coalesce("text", F.lit("")), F.lit(" Secret= 'ab12cd' é token:x api_key=\"0123456789abcdef0123456789\" ")).alias("text"))
-    want = {r["doc_id"]: sum(len(m[2]) >= 6 for m in pattern.finditer(r["text"])) for r in more.collect()}
-    spans = {r["doc_id"]: [(m.start(), m.end()) for m in pattern.finditer(r["text"]) if len(m[2]) >= 6] for r in more.collect()}
-    for i, r in by_id(secret_scan.secret_scan(more)).items():
-        assert r["n_assign"] == want[i] and [(s["start"], s["stop"]) for s in r["base"] if s["kind"] == "assign"] == spans[i]
+def spans_by_hand(text, scope=256):
+    """All spans of secret_scan by plain loops: base ones, and weak ones near their complement."""
+    assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+    base = [(m.start(), 0, m.end()) for m in assign.finditer(text) if len(m[2]) >= 6]
+    base += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    base += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    weak = [(m.start(), 3, m.end()) for m in re.finditer(secret_scan.IDENTIFIER, text, re.A)]
+    weak += [(m.start(), 4, m.end()) for m in re.finditer(secret_scan.DENSE, text) if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])]
+    weak += [(m.start(), 5, m.end()) for m in re.finditer(secret_scan.ENDPOINT, text)]
+    weak = [w for w in weak if not any(b[0] <= w[0] and w[2] <= b[2] for b in base)]
+    near = lambda w, kinds: any(o[1] in kinds and abs(o[0] - w[0]) <= scope or o[1] in kinds and o[0] // scope == w[0] // scope for o in base + weak)
+    needs = {3: [(0, 2, 4)], 4: [(1, 3)], 5: [(1, 3), (0, 2, 4)]}
+    linked = [w for w in weak if all(near(w, kinds) for kinds in needs[w[1]])]
+    return sorted(base), sorted(base + linked)
+
+
+def test_secret_scan_equals_brute_force(spark, docs):
+    r = random.Random(11)
+    bits = ["token: abcdef9", "Secret='x'", "AKIA" + "Q9" * 9, "ab12" * 7, "https://h.example/p?q=1", "client_id=me.you", "login: bob", "Zx9_" * 6, "password=Zx9Zx9Zx9Zx9Zx9Zx9", "é日 " * 20, "word " * 40, "\n"]
+    rows = [(1000 + k, " ".join(r.choice(bits) for _ in range(r.randrange(30)))) for k in range(60)] + [(None, bits[0]), (2000, None), (2001, "")]
+    more = docs.select("doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    out = secret_scan.secret_scan(spark.createDataFrame(more, "doc_id long, text string").withColumn("row", F.lit(1)).withColumn("base", F.lit("x")))
+    show = lambda spans: ",".join(f"{secret_scan.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+    want = []
+    for i, text in more:
+        base, every = spans_by_hand(text or "")
+        want.append((str(i), *[sum(k == n for _, k, _ in base) for n in range(3)], show(base), show(every)))
+    got = out.select("doc_id", "n_assign", "n_access", "n_hex", secret_scan.spans_string("base").alias("b"), secret_scan.spans_string("spans").alias("s")).collect()
+    assert sorted(want) == sorted((str(x[0]), *x[1:]) for x in got)
+    assert any(s != b for *_, b, s in want)
+
+
+def test_secret_scan_of_many_matches(spark):
+    (r,) = secret_scan.secret_scan(spark.createDataFrame([(1, "token=abcdef1 " * 100_000)], "doc_id long, text string")).collect()
+    assert r["n_assign"] == 100_000 and (r["spans"][-1]["start"], r["spans"][-1]["stop"]) == (1_399_986, 1_399_999)
 
 
 def test_html(spark):
@@ -258,7 +298,47 @@ def test_shared_lines_are_a_longest_common_subsequence():
         for i, x in enumerate(a):
             for j, y in enumerate(b):
                 best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
-        assert sum(html_extract.shared(a, b)) == best[-1][-1] == decontamination.common_length(a, b)
+        assert sum(html_extract.shared(a, b)) == sum(html_extract.shared(a, b, 0)) == best[-1][-1] == decontamination.common_length(a, b)
+
+
+def test_html_is_the_same_however_it_is_cut(spark):
+    """Pages of one host against brute force over sorted neighbours, for several partition counts; copies, repeated rows, null ids and urls, clashing columns and one very long page."""
+    r = random.Random(7)
+    line = lambda: "".join(r.choice("abcde ") for _ in range(12)).strip() or "x"
+    shared = [line() for _ in range(8)]
+
+    def page(k):
+        body = [line() + f" {k}" for _ in range(r.randrange(1, 6))]
+        for x in r.sample(shared, 5):
+            body.insert(r.randrange(len(body) + 1), x)
+        return "".join(f"<div>{x}</div>" for x in body)
+
+    rows = [(k, f"http://h.org/{r.choice('abc')}/{r.choice('xyz')}/{k}", page(k)) for k in range(300)]
+    rows += [(900, rows[5][1] + "0", rows[5][2]), rows[7], rows[7], (None, "http://h.org/a", page(1)), (None, None, page(2)), (901, None, None), (902, "http://h.org/b/long", "".join(f"<p>{i % 50} line</p>" for i in range(20_000)))]
+    cells = [(i, u, h, 1, True, "x") for i, u, h in rows]
+    df = spark.createDataFrame(cells, "page_id long, url string, html string, block int, guest boolean, texts string").repartition(5)
+    found = []
+    for n in ("4", "61"):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        found.append(sorted((str(x["page_id"]), str(x["url"]), x["text"]) for x in html_extract.extract_text(df).collect()))
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    place = lambda x: (*html_extract.split_url(x[1]), x[0] is None, x[0] or 0)
+    order = sorted(rows, key=place)
+    lines = [[t for t, _ in html_extract.lines(h or "")] for *_, h in order]
+    want = []
+    for k, (i, u, _) in enumerate(order):
+        near = [j for j in (k - 1, k + 1) if 0 <= j < len(order) and place(order[j])[0] == place(order[k])[0]]
+        common = lambda j: len([1 for _ in itertools.takewhile(lambda ab: ab[0] == ab[1], zip(place(order[j])[1], place(order[k])[1], strict=False))])
+        gone, best = [False] * len(lines[k]), None
+        for j in sorted(near, key=lambda j: -common(j)):
+            if best is not None and common(j) < best:
+                break
+            same = html_extract.shared(lines[k], lines[j])
+            if not lines[k] or not all(same):
+                gone, best = [a or b for a, b in zip(gone, same, strict=True)], common(j)
+        want.append((str(i), str(u), "\n\n".join(t for t, g in zip(lines[k], gone, strict=True) if not g)))
+    assert found[0] == found[1] == sorted(want)
 
 
 def test_decontamination(spark):
@@ -277,6 +357,20 @@ def test_decontamination(spark):
     assert len(got) >= 14
 
 
+def test_decontamination_defined_cases(spark):
+    """Clashing columns, repeated rows, null ids, ties of items and long texts in parts; decontaminate drops the rows that are found and no other."""
+    words = [f"w{i}" for i in range(400)]
+    item = words[:40]
+    rows = [(1, " ".join(item)), (1, " ".join(item)), (2, " ".join(words[100:300])), (None, " ".join(item)), (None, "clean text"), (3, None), (4, ""), (5, " ".join(words[100:] * 300 + item + words[50:]))]
+    docs = spark.createDataFrame([(*x, "k", 1, "r") for x in rows], "doc_id long, text string, key string, item_id int, row string")
+    bench = spark.createDataFrame([(7, " ".join(item), "x"), (8, " ".join(item).upper() + ".", "x"), (None, None, "x")], "item_id long, text string, doc_id string")
+    got = sorted((x["doc_id"] or 0, x["item_id"]) for x in decontamination.contaminated(docs, bench).collect())
+    assert got == [(0, 7), (0, 8), (1, 7), (1, 7), (1, 8), (1, 8), (5, 7), (5, 8)]
+    left = decontamination.decontaminate(docs, bench)
+    assert left.columns == docs.columns and sorted(str(x["doc_id"]) for x in left.collect()) == ["2", "3", "4", "None"]
+    assert decontamination.decontaminate(docs, bench.where("false")).count() == len(rows)
+
+
 def planted(spark, lengths, offsets, share, seed):
     """Recall of items of the lengths whose words are exchanged in ``share`` of all places and which a search by common subsequence accepts; at the production defaults."""
     r = random.Random(seed)
@@ -336,3 +430,10 @@ def test_quality(spark):
     right = sum((i in kept) == (q == 1 and t == 0) for i, _, q, t in held)
     assert right >= 0.95 * len(held)
     assert quality_classifier.select_quality(docs, labels.where("false")).count() == docs.count()
+    # Repeated rows, ids that several rows share, null ids and clashing columns are scored like any other row.
+    more = docs.where("doc_id < 260").unionByName(docs.where("doc_id < 20")).withColumns({"row": F.lit("r"), "score": F.lit(0), "grade": F.lit(9)})
+    more = more.unionByName(more.where("doc_id BETWEEN 250 AND 259").withColumn("doc_id", F.lit(None).cast("long")))
+    out = quality_classifier.select_quality(more, labels, max_rows=100)
+    kept = [x["row"]["doc_id"] for x in out.collect()]
+    assert out.select("row.*").columns == more.columns
+    assert all(kept.count(i) == 2 * (i in kept) for i in range(20)) and kept.count(None) == sum(250 <= i < 260 for i in kept if i is not None)
