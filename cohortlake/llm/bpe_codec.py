@@ -34,13 +34,13 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import Memo, text_of, written
+from cohortlake.llm.common import Memo, released, text_of, written
 
 # The pre-tokenizer's pattern.
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
 _word = regex.compile(WORD, regex.V0)
-REMEMBERED = 200_000  # words of 64 letters at most that a worker remembers, twice at most
+REMEMBERED = 100_000  # words of 64 letters at most that a worker remembers, twice at most
 LONG = 100  # bytes of a word from which a heap merges faster than a list
 
 
@@ -230,7 +230,7 @@ class Codec:
         return b" ".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def _count_batches(special: list[str], most: int = 400_000):
+def _count_batches(special: list[str], most: int = 200_000):
     cut = regex.compile("|".join(map(regex.escape, special))) if special else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,6 +246,7 @@ def _count_batches(special: list[str], most: int = 400_000):
                 if len(seen) > most:
                     yield flushed()
                     seen.clear()
+            released()
         yield flushed()
 
     return run
@@ -303,6 +304,7 @@ def _digest_batches(shared: Broadcast):
                 rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(codec.decode(ids)).hexdigest()))
             count, a, b = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(count, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            released()
 
     return run
 

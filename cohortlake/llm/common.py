@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +49,11 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col), text).alias("key"), text.alias("text"))
 
 
+def released() -> None:
+    """Give what Arrow's pool holds but doesn't use back to the system: workers are used again by later stages."""
+    pa.default_memory_pool().release_unused()
+
+
 class Memo(dict):
     """Remembers what ``make`` gave for a key, at most ``most`` of the newest keys and as many before them; keys longer than ``longest`` aren't kept."""
 

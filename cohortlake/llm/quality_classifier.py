@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import text_of, written
+from cohortlake.llm.common import released, text_of, written
 from cohortlake.llm.tokens import hashes_of, pieces, raw, word_places, words_of
 
 BITS = 22
@@ -262,6 +262,7 @@ def scored(spark: SparkSession, model: Model | None, text: Column) -> Column:
         row, feature, shares = features(texts, weight != 0)
         s = np.bincount(row, weight[feature], len(texts)) + shares @ weights[len(used) :]
         above = _sigmoid(s[:, None] - thresholds)  # P(grade > k)
+        released()
         return pa.StructArray.from_arrays([pa.array(above.sum(axis=1)), pa.array(above[:, 1])], ["expected_grade", "tail_probability"])
 
     return score(text)
