@@ -88,25 +88,39 @@ def copies(base: DataFrame) -> DataFrame:
     return written(digests.join(first, ["t1", "t2"]).select("doc_id", "key", (place() > F.col("first")).alias("later")).distinct(), "copies")
 
 
+# Anchors are the smallest hashes around, so their values crowd at the low end; times this they are even again.
+SPREAD = 0xD1342543DE82EF95
+HELD = 4_000_000  # hashes in memory at once
+
+
+def _at_most_twice(held: list[np.ndarray]) -> np.ndarray:
+    """Sorted; twice is as good as more."""
+    hashes = np.sort(np.concatenate(held)) if held else np.empty(0, np.uint64)
+    keep = np.ones(len(hashes), bool)
+    keep[2:] = hashes[2:] != hashes[:-2]
+    return hashes[keep]
+
+
 def _deal_batches(parts: int):
-    """The hashes of a task, sorted and dealt to ``parts`` by their value, as a few long rows instead of one for each."""
+    """The hashes of a task, spread, sorted and dealt to ``parts`` by their value, as a few long rows instead of one for each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
         def dealt() -> pa.RecordBatch:
-            hashes = np.sort(np.concatenate(held)) if held else np.empty(0, np.uint64)
+            hashes = _at_most_twice(held)
             held.clear()
-            keep = np.ones(len(hashes), bool)
-            keep[2:] = hashes[2:] != hashes[:-2]  # twice is as good as more
-            hashes = hashes[keep]
-            cuts = np.searchsorted(hashes, (np.arange(1, parts, dtype=object) * 2**64 // parts).astype(np.uint64))
-            some = [(k, x.tobytes()) for k, x in enumerate(np.split(hashes, cuts)) if len(x)]
-            return pa.RecordBatch.from_arrays([pa.array([k for k, _ in some], pa.int32()), pa.array([x for _, x in some], pa.binary())], ["part", "sorted"])
+            part = ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+            cuts = np.flatnonzero(np.diff(part)) + 1
+            some = [x.tobytes() for x in np.split(hashes, cuts)] if len(hashes) else []
+            return pa.RecordBatch.from_arrays([pa.array(part[np.r_[0, cuts]] if some else part), pa.array(some, pa.binary())], ["part", "sorted"])
 
         for batch in batches:
-            held.append(batch.column("hashes").flatten().to_numpy().view(np.uint64))
-            if sum(map(len, held)) > 4_000_000:
+            if "sorted" in batch.schema.names:  # dealt before, to fewer parts
+                held.append(np.frombuffer(b"".join(batch.column("sorted").to_pylist()), np.uint64))
+            else:
+                held.append(batch.column("hashes").flatten().to_numpy().view(np.uint64) * np.uint64(SPREAD))
+            if sum(map(len, held)) > HELD:
                 yield dealt()
         yield dealt()
 
@@ -115,25 +129,38 @@ def _deal_batches(parts: int):
 
 def _twice_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hashes that occur twice or more in a part; the rows of a part come together."""
-    once, twice, part = np.empty(0, np.uint64), np.empty(0, np.uint64), None
+    held: list[np.ndarray] = []
+    part, size = None, 0
+
+    def twice() -> pa.RecordBatch:
+        hashes = _at_most_twice(held)
+        held.clear()
+        hashes = hashes[1:][hashes[1:] == hashes[:-1]] * np.uint64(pow(SPREAD, -1, 2**64))
+        return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], ["hash"])
+
     for batch in batches:
         for k, raw in zip(batch.column("part").to_pylist(), batch.column("sorted").to_pylist(), strict=True):
             if k != part:
-                yield pa.RecordBatch.from_arrays([pa.array(twice.view(np.int64))], ["hash"])
-                once, twice, part = np.empty(0, np.uint64), np.empty(0, np.uint64), k
-            both = np.sort(np.concatenate([once, np.frombuffer(raw, np.uint64)]))
-            same = both[1:] == both[:-1]
-            twice = np.union1d(twice, both[1:][same])
-            once = both[np.r_[True, ~same]] if len(both) else both
-    yield pa.RecordBatch.from_arrays([pa.array(twice.view(np.int64))], ["hash"])
-
-
-def repeated_hashes(prints: DataFrame) -> DataFrame:
-    """hash: of the anchors' hashes those that occur twice or more."""
+                yield twice()
+                part, size = k, 0
+            held.append(np.frombuffer(raw, np.uint64))
+            size += len(held[-1])
+            if size > HELD:
+                held[:] = [_at_most_twice(held)]
+                size = 0  # at least as many new ones come before the next sort
+    yield twice()
+
+
+def repeated_hashes(prints: DataFrame, part_size: int = 500_000, fan: int = 1024) -> DataFrame:
+    """hash: of the anchors' hashes those that occur twice or more. A task deals to ``fan`` parts at most, which are dealt again where more are needed, so that its rows stay long at any size."""
     total = prints.agg(F.sum(F.size("hashes")).alias("n")).first()["n"] or 0
-    # Equal hashes sort together and collapse to one, so that a part holds about 500,000 different ones however common some are.
-    parts = max(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // 500_000))
-    dealt = prints.select("hashes").mapInArrow(_deal_batches(parts), "part int, sorted binary")
+    # Equal hashes sort together and collapse to two, so that a part holds about ``part_size`` different ones however common some are.
+    parts = max(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // part_size))
+    dealt, coarse = prints.select("hashes"), fan
+    while coarse < parts:
+        dealt = dealt.mapInArrow(_deal_batches(coarse), "part int, sorted binary").repartition(coarse, "part")
+        coarse *= fan
+    dealt = dealt.mapInArrow(_deal_batches(parts), "part int, sorted binary")
     return written(dealt.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_twice_batches, "hash long"), "repeated-hashes")
 
 
@@ -165,4 +192,6 @@ def repeated_anchors(prints: DataFrame) -> DataFrame:
     shared = prints.sparkSession.sparkContext.broadcast(packed.tobytes())
     # The filter spares the shuffle; the join is what decides, and splits where a hash is very common.
     some = prints.select("doc_id", "key", "hashes", "ats").mapInArrow(_seed_batches(shared, bits), "doc_id long, key long, hash long, at int")
-    return written(some.join(twice, "hash", "left_semi").groupBy("doc_id", "key").agg(F.collect_set("at").alias("seeds")), "seeds")
+    seeds = written(some.join(twice, "hash", "left_semi").groupBy("doc_id", "key").agg(F.collect_set("at").alias("seeds")), "seeds")
+    shared.unpersist()
+    return seeds

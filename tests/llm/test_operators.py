@@ -4,13 +4,14 @@ import hashlib
 import itertools
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from cohortlake.llm import bpe_codec, decontamination, exact_dedup, html_extract, line_dedup, quality_classifier, secret_scan, simhash_dedup, substring_dedup, suffix_dedup
+from cohortlake.llm import bpe_codec, decontamination, exact_dedup, html_extract, line_dedup, quality_classifier, secret_scan, sequences, simhash_dedup, substring_dedup, suffix_dedup
 from cohortlake.llm.sequences import anchors, window_hashes
 
 WORDS = ["the", "of", "and", "arsenic", "urine", "Blood", "café", "x", "naïve", "日本", "level", "mean"]
@@ -155,6 +156,16 @@ def test_equal_runs_share_an_anchor():
     assert set(hx[anchors(hx, 26)]) & set(hy[anchors(hy, 26)])
 
 
+def test_repeated_hashes_however_they_are_dealt(spark):
+    r = random.Random(11)
+    lists = [[r.randrange(2**40) if r.random() < 0.5 else r.randrange(-30, 30) for _ in range(r.randrange(40))] for _ in range(200)] + [[5] * 3000, [], [2**63 - 1, -(2**63), -(2**63)]]
+    prints = spark.createDataFrame([(x,) for x in lists], "hashes array<long>").repartition(7)
+    count = Counter(h for x in lists for h in x)
+    for part_size, fan in [(500_000, 1024), (20, 1024), (20, 8)]:
+        got = [x["hash"] for x in sequences.repeated_hashes(prints, part_size, fan).collect()]
+        assert sorted(got) == sorted(h for h, n in count.items() if n > 1)
+
+
 def test_simhash(docs, rows):
     def print_of(t):
         w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
