@@ -2,12 +2,13 @@
 
 A document's fingerprint has a bit for every bit that is set in over half of its shingle hashes. Two
 fingerprints link at ``radius`` differing bits or fewer. Fingerprints that link agree on at least one of
-``radius + 1`` blocks of bits, so each distinct fingerprint goes to one bucket for each block. In a bucket
+``radius + 1`` blocks of bits, so each distinct fingerprint goes to one bucket for each block. A bucket over
+``shard_size`` is split in the same way by ``radius + 1`` pieces of its other bits. In a bucket
 the fingerprints form a BK-tree: a node's children are keyed by their integer Hamming distance to it, and a
-search follows only the edges within the radius of the distance found. Buckets over ``shard_size`` are cut
-into shards, and a task takes two shards of a bucket and builds their trees, so that none holds more. The
-trees are not broadcast: together they hold all fingerprints, which grow with the input and would have to pass
-the driver. Copies collapse before this: the trees hold distinct fingerprints only, and a bucket gives
+search follows only the edges within the radius of the distance found. Split buckets that are still over
+``shard_size`` are cut into shards, and a task takes two shards of a bucket and builds their trees, so that none
+holds more. The trees are not broadcast: together they hold all fingerprints, which grow with the input and would
+have to pass the driver. Copies collapse before this: the trees hold distinct fingerprints only, and a bucket gives
 back a link from each fingerprint to the smallest one of its local group, never all pairs.
 
 Links join to components by star contraction over written tables. Fingerprints, links and components stay
@@ -124,9 +125,13 @@ def _link_batches(radius: int, most: int = 100_000):
         return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, prints = np.empty(0, np.int64), np.empty(0, np.uint64)
+        group, prints, last = np.empty(0, np.int64), np.empty(0, np.uint64), None
         for batch in batches:
-            group = np.r_[group, batch.column("bucket").to_numpy()]
+            bucket = np.column_stack([batch.column(c).to_numpy() for c in ("block", "piece", "pair")])
+            if not len(bucket):
+                continue
+            begins = (bucket != np.vstack([bucket[:1] if last is None else last, bucket[:-1]])).any(axis=1)
+            group, last = np.r_[group, (group[-1] if len(group) else 0) + np.cumsum(begins)], bucket[-1:]  # numbered in their order
             prints = np.r_[prints, batch.column("print").to_numpy().view(np.uint64)]
             whole = int(np.searchsorted(group, group[-1])) if len(group) else 0  # the last bucket may go on in the next batch
             if whole >= most or len(group) - whole > most and whole:
@@ -141,13 +146,24 @@ def _link_batches(radius: int, most: int = 100_000):
 def links(prints: DataFrame, radius: int = 3, shard_size: int = 50_000) -> DataFrame:
     """a, b with a > b: links between distinct fingerprints that join all that are within the radius. ``prints``: one column, distinct."""
     width = BITS // (radius + 1)
-    blocks = [f"{j} * {2**width}L + (shiftrightunsigned(print, {j * width}) & {2**width - 1}L)" for j in range(radius + 1)]
-    placed = prints.select("print", F.explode(F.expr(f"array({', '.join(blocks)})")).alias("block"))
+    fine = (BITS - width) // (radius + 1)
+    spots = []
+    for j in range(radius + 1):
+        block = f"{j} * {2**width}L + (shiftrightunsigned(print, {j * width}) & {2**width - 1}L)"
+        rest = f"shiftleft(shiftrightunsigned(shiftrightunsigned(print, {j * width}), {width}), {j * width}) | (print & {2 ** (j * width) - 1}L)"
+        spots.append(f"struct({block} AS block, {rest} AS rest)")
+    placed = prints.select("print", F.expr(f"inline(array({', '.join(spots)}))"))
     # At most (radius + 1) * 2**width rows, whatever the input: 262,144 for radius 3.
-    large = placed.groupBy("block").agg(F.count("*").alias("n")).where(F.col("n") > shard_size).select("block", F.ceil(F.col("n") / shard_size).cast("int").alias("shards"))
-    cut = placed.join(F.broadcast(large), "block", "left").withColumn("shards", F.coalesce("shards", F.lit(1))).withColumn("own", F.expr("cast(pmod(xxhash64(print), shards) as int)"))
-    sent = cut.select("print", F.expr("explode(transform(sequence(0, shards - 1), k -> block * 4294967296L + least(k, own) * 65536L + greatest(k, own)))").alias("bucket"))
-    return sent.repartition("bucket").sortWithinPartitions("bucket", "print").mapInArrow(_link_batches(radius), "a long, b long").distinct()
+    large = placed.groupBy("block").agg((F.count("*") > shard_size).alias("large")).where("large")
+    # Two fingerprints of one block differ at radius bits or fewer in the rest, so they agree on one of radius + 1 pieces of it.
+    pieces = ", ".join(f"{i} * {2**fine}L + (shiftrightunsigned(rest, {i * fine}) & {2**fine - 1}L)" for i in range(radius + 1))
+    split = placed.join(F.broadcast(large), "block", "left").select("print", "block", F.expr(f"explode(CASE WHEN large THEN array({pieces}) ELSE array(-1L) END)").alias("piece"))
+    # These grow with the input: no hint, adaptive execution broadcasts them where they are small.
+    sizes = split.where("piece >= 0").groupBy("block", "piece").agg(F.ceil(F.count("*") / shard_size).cast("int").alias("shards")).where("shards > 1")
+    cut = split.join(sizes, ["block", "piece"], "left").withColumn("shards", F.coalesce("shards", F.lit(1))).withColumn("own", F.expr("cast(pmod(xxhash64(print), shards) as int)"))
+    sent = cut.select("print", "block", "piece", F.expr("explode(transform(sequence(0, shards - 1), k -> least(k, own) * 4294967296L + greatest(k, own)))").alias("pair"))
+    bucket = ["block", "piece", "pair"]
+    return sent.repartition(*bucket).sortWithinPartitions(*bucket, "print").mapInArrow(_link_batches(radius), "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

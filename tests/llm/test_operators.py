@@ -211,6 +211,24 @@ def test_sharded_buckets_lose_no_link(spark):
     assert sizes[0] == sizes[1] == {prints[0]}
 
 
+@pytest.mark.parametrize("radius", [1, 2, 3])
+def test_split_buckets_equal_brute_force(spark, radius):
+    rng = np.random.default_rng(radius)
+    top = [int(x) for x in rng.integers(-(2**63), 2**63 - 1, 6)]
+    flipped = {t ^ sum(1 << int(b) for b in set(rng.integers(0, 63, int(k)))) for t in top for k in rng.integers(0, 9, 40)}
+    prints = sorted({*flipped, 0, -1, -(2**63)})
+    df = spark.createDataFrame([(p,) for p in prints], "print long")
+    label = list(range(len(prints)))
+    near = [(i, j) for i in range(len(prints)) for j in range(i) if ((prints[i] ^ prints[j]) & (2**64 - 1)).bit_count() <= radius]
+    for _ in prints:
+        for i, j in near:
+            label[i] = label[j] = min(label[i], label[j])
+    want = {prints[i]: prints[label[i]] for i in range(len(prints)) if label.count(label[i]) > 1}
+    for size in (1, 20):
+        found = {r["node"]: r["component"] for r in simhash_dedup.components(simhash_dedup.links(df, radius, size)).collect()}
+        assert found == want
+
+
 def test_codec_equals_the_library(docs, rows):
     import public_tokenizers
     from tokenizers import Tokenizer
