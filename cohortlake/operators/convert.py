@@ -38,7 +38,7 @@ def urine_group(population: Column, sex: Column, age: Column) -> Column:
 
 
 def convert_units(df: DataFrame, mode: str = "CC_direct", urine_target: str = "ug/g Cr", age: Column | None = None) -> DataFrame:
-    """Adds unit_status, unit_factor, unit_final, unit_path, unit_params and unit_group, and scales the reported statistics.
+    """Adds unit_status, unit_factor, unit_final, unit_path, unit_group and unit_params (what the factor was made with), and scales the reported statistics.
 
     Urine given by specific gravity keeps its unit; urine given per creatinine stays unless the target is
     ug/L; a matrix other than urine can't be given per creatinine; tissue units can't be converted.
@@ -76,6 +76,7 @@ def convert_units(df: DataFrame, mode: str = "CC_direct", urine_target: str = "u
             .when(to_creatinine, F.concat("unit_original", F.lit("→ICRP89_"), "_group", F.lit("→ug/g Cr")))
             .otherwise(F.concat("unit_original", F.lit("→ug/L"))),
             "unit_group": F.when(ok & urine & ~kept & ~(reported & ~reverse), F.col("_group")),
+            "unit_params": F.when(ok & ~kept, F.concat_ws("; ", F.concat(F.lit("factor="), F.col("unit_factor").cast("string")), F.when(urine & ~(reported & ~reverse), F.concat(F.lit(f"mode={mode}; group="), F.col("_group"))), F.when(F.col("_kind") == "molar", F.concat(F.lit("molar_mass="), molar.cast("string"))))),
             **{c: F.col(c) * F.coalesce("unit_factor", F.lit(1.0)) for c in SCALED},
         },
     )

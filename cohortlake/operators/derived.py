@@ -17,6 +17,11 @@ def split_provinces(regions: DataFrame) -> DataFrame:
     return regions.groupBy("province").agg(F.countDistinct("region").alias("n_regions")).where("n_regions > 1")
 
 
+def unlisted(df: DataFrame, column: str, dimension: DataFrame) -> DataFrame:
+    """Values of a column that the dimension of the same column lacks, with their rows' number."""
+    return df.groupBy(column).agg(F.count("*").alias("n")).join(dimension.select(column).distinct(), column, "left_anti").where(F.col(column).isNotNull())
+
+
 def overlapping_periods(periods: DataFrame) -> DataFrame:
     """Periods that begin before the one in front of them has ended, or end before they begin. A dimension of a few rows."""
     before = F.lag("end").over(Window.orderBy("start"))
@@ -32,9 +37,9 @@ def representative_year(df: DataFrame, rule: str) -> DataFrame:
 
 
 def title_flags(df: DataFrame) -> DataFrame:
-    """Adds what a title tells of a population: occupational (unless it says non-occupational), disease, endemic area."""
+    """Adds what a title tells of a population: occupational (unless it says non-occupational), disease, endemic area, occupational and other people together, and parts of blood."""
     low = F.lower("title")
-    return df.withColumns({"title_occupational": low.rlike("occupational|workers|smelter") & ~low.rlike("non-?occupational"), "title_disease": low.rlike("patients|disease|poisoning"), "title_endemic": low.rlike("endemic")})
+    return df.withColumns({"title_occupational": low.rlike("occupational|workers|smelter") & ~low.rlike("non-?occupational"), "title_disease": low.rlike("patients|disease|poisoning"), "title_endemic": low.rlike("endemic"), "title_mixed_occupational": F.regexp_replace(low, "non-?occupational", "").rlike("occupational|workers|smelter") & low.rlike("non-?occupational"), "title_blood_matrix": low.rlike("serum|plasma|血清|血浆")})
 
 
 def prefer_basis(df: DataFrame) -> DataFrame:

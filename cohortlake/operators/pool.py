@@ -165,3 +165,8 @@ def period_change(pooled: DataFrame, keys: list[str], periods=PERIODS) -> DataFr
 def ranked(pooled: DataFrame, within: list[str], by: Column | str = "gm") -> DataFrame:
     """Adds place: rank by descending mean."""
     return pooled.withColumn("place", F.rank().over(Window.partitionBy(*within).orderBy(F.desc(by))))
+
+
+def in_order(pooled: DataFrame, dims: list[str]) -> DataFrame:
+    """Strata sorted by their dimensions, unknown ones last."""
+    return pooled.orderBy(*[F.col(d).asc_nulls_last() for d in dims])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlake.functions.text import norm_text, row_hash
+from cohortlake.functions.text import any_of, norm_text, row_hash
 from cohortlake.plans.dims import lookup
 
 # Sources, the names they go by (lower case), and the note of a source that the search log lacks.
@@ -56,6 +56,19 @@ def raw_findings(raw: DataFrame) -> DataFrame:
     return named.unionByName(unnamed).select("record_id", F.explode(found).alias("rule"))
 
 
+def source_summary(df: DataFrame, source: str, text: str) -> DataFrame:
+    """The source column, exported_count and n_blank, the records without text."""
+    return df.groupBy(source).agg(F.count("*").alias("exported_count"), F.count_if(F.trim(F.coalesce(F.col(text), F.lit(""))) == "").alias("n_blank"))
+
+
+def exclusion_groups(df: DataFrame, text: Column, groups: dict[str, list[str]], fewest: int = 30, most: int = 50_000) -> DataFrame:
+    """name, n_all, n_lost, n_left, size: what each group of words would exclude, in one pass; ``size`` tells of too few or too many left."""
+    counts = df.agg(F.count("*").alias("n_all"), *[F.count_if(any_of(F.coalesce(text, F.lit("")), terms)).alias(f"lost_{i}") for i, terms in enumerate(groups.values())])
+    each = F.inline(F.array(*[F.struct(F.lit(name).alias("name"), F.col(f"lost_{i}").alias("n_lost")) for i, name in enumerate(groups)]))
+    left = F.col("n_all") - F.col("n_lost")
+    return counts.select("n_all", each).select("name", "n_all", "n_lost", left.alias("n_left"), F.when(left < fewest, "few").when(left > most, "many").otherwise("fine").alias("size"))
+
+
 def reconcile(raw: DataFrame, log: DataFrame) -> DataFrame:
     """source_database, search_string, search_date, hit_count, exported_count, not_exported, note: exported records against the search log (one row for each source)."""
     counts = raw.groupBy("source_database").agg(F.count("*").alias("exported_count"))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlake.functions.text import journals_match, normalize_doi, titles_match, valid_doi
+from cohortlake.functions.text import institution, journals_match, normalize_doi, titles_match, valid_doi
 
 
 def suffixed(library: DataFrame, order: str = "record_id") -> DataFrame:
@@ -18,20 +18,34 @@ def suffixed(library: DataFrame, order: str = "record_id") -> DataFrame:
     return out.withColumn("suffix", suffix).drop("_n", "_rn")
 
 
+def _sought(key: Column) -> Column:
+    """The key under which the library has a cited one: an institution's full name instead of its abbreviation."""
+    return F.coalesce(F.concat(institution(F.substring_index(key, "|", 1)), F.lit("|"), F.substring_index(key, "|", -1)), key)
+
+
+def _institution_key() -> Column:
+    return F.concat(institution(F.split("authors", "[;；]")[0]), F.lit("|"), F.col("year").cast("string"))
+
+
+def _entries(library: DataFrame) -> DataFrame:
+    """record_id, key: every key of each entry, with its suffix and without, and its institution's."""
+    return suffixed(library).select("record_id", F.explode(F.array_distinct(F.array_compact(F.array("key", F.concat("key", "suffix"), _institution_key())))).alias("key"))
+
+
 def crosswalk(cited: DataFrame, library: DataFrame) -> DataFrame:
     """doc_id, key, status, n_matches: MATCHED, AMBIGUOUS or MISSING; a suffixed key falls back to its base."""
-    lib = suffixed(library)
-    keys = lib.select(F.explode(F.array_distinct(F.array("key", F.concat("key", "suffix")))).alias("key")).groupBy("key").agg(F.count("*").alias("n"))
-    base = keys.withColumnsRenamed({"key": "base", "n": "base_n"})
-    out = cited.join(keys, "key", "left").withColumn("base", F.regexp_replace("key", "[a-z]$", "")).join(base, "base", "left")
+    keys = _entries(library).groupBy("key").agg(F.count("*").alias("n")).withColumnRenamed("key", "sought")
+    base = keys.withColumnsRenamed({"sought": "base", "n": "base_n"})
+    out = cited.withColumn("sought", _sought(F.col("key"))).join(keys, "sought", "left").withColumn("base", F.regexp_replace("sought", "[a-z]$", "")).join(base, "base", "left")
     n = F.coalesce("n", "base_n", F.lit(0))
     return out.select("doc_id", "key", F.when(n == 0, "MISSING").when(n == 1, "MATCHED").otherwise("AMBIGUOUS").alias("status"), n.alias("n_matches"))
 
 
 def unused(cited: DataFrame, library: DataFrame) -> DataFrame:
     """Library rows that no citation names."""
-    bases = cited.select(F.regexp_replace("key", "[a-z]$", "").alias("key")).distinct()
-    return suffixed(library).join(bases, "key", "left_anti")
+    bases = cited.select(F.regexp_replace(_sought(F.col("key")), "[a-z]$", "").alias("key")).distinct()
+    left = suffixed(library).join(bases, "key", "left_anti").withColumn("_body", _institution_key())
+    return left.join(bases.withColumnRenamed("key", "_body"), "_body", "left_anti").drop("_body")
 
 
 def verify_references(references: DataFrame, metadata: DataFrame) -> DataFrame:
@@ -59,12 +73,11 @@ def crosswalk_actions(found: DataFrame) -> DataFrame:
 
 def insert_table(found: DataFrame, library: DataFrame) -> DataFrame:
     """doc_id, key, record_id, place: the library's entries of each matched citation, numbered by document in the order of keys."""
-    lib = suffixed(library)
-    keys = lib.select("record_id", F.explode(F.array_distinct(F.array("key", F.concat("key", "suffix")))).alias("lib_key"))
-    wanted = found.where("status = 'MATCHED'").select("doc_id", "key")
-    direct = wanted.join(keys, wanted["key"] == keys["lib_key"], "left").drop("lib_key")
-    base = direct.where("record_id IS NULL").select("doc_id", "key", F.regexp_replace("key", "[a-z]$", "").alias("lib_key")).join(keys, "lib_key").select("doc_id", "key", "record_id")
-    out = direct.where("record_id IS NOT NULL").unionByName(base)
+    keys = _entries(library).withColumnRenamed("key", "lib_key")
+    wanted = found.where("status = 'MATCHED'").select("doc_id", "key", _sought(F.col("key")).alias("sought"))
+    direct = wanted.join(keys, wanted["sought"] == keys["lib_key"], "left").drop("lib_key")
+    base = direct.where("record_id IS NULL").select("doc_id", "key", F.regexp_replace("sought", "[a-z]$", "").alias("lib_key")).join(keys, "lib_key").select("doc_id", "key", "record_id")
+    out = direct.where("record_id IS NOT NULL").drop("sought").unionByName(base)
     return out.withColumn("place", F.row_number().over(Window.partitionBy("doc_id").orderBy("key", "record_id")))
 
 

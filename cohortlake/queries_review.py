@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlake.functions.text import CHANGE_WORDS, citations, norm_text, normalize_doi, row_hash, search_match, tells_change, valid_doi
-from cohortlake.operators import audit, dedup, pool, quality, references
+from cohortlake.operators import audit, dedup, pool, quality, raw_records, references
 from cohortlake.operators import sensitivity as analyses
 from cohortlake.plans.dims import records
 from cohortlake.queries import PERIOD_SQL, query, rounded, standard
@@ -165,7 +165,7 @@ def suspect_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT source, count(*) AS exported_count, count(*) FILTER (text IS NULL OR trim(text) = '') AS n_blank FROM documents GROUP BY source")
 def source_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "documents").groupBy("source").agg(F.count("*").alias("exported_count"), F.count_if(F.col("text").isNull() | (F.trim("text") == "")).alias("n_blank"))
+    return raw_records.source_summary(_table(spark, sf_dir, "documents"), "source", "text")
 
 
 @query("SELECT record_id FROM rec WHERE regexp_matches(title, '(?i)widget|bolt') AND regexp_matches(sample_type, '(?i)urine|blood') AND NOT regexp_matches(title, '(?i)birth cohort') AND sampling_year BETWEEN 1996 AND 1999")

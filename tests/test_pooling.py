@@ -10,6 +10,8 @@ from cohortlake.functions.stats import norm_ppf_sql, trend, with_quantile
 from cohortlake.functions.text import citations, journals_match, normalize_doi, numbers, placeholders, sentences, titles_match
 from cohortlake.operators import convert, intake, pool
 from cohortlake.operators.audit import audit_numbers
+from cohortlake.operators.convert import SCALED, convert_units
+from cohortlake.operators.references import crosswalk, insert_table, unused
 from cohortlake.operators.statistics import derive_flags, to_gm
 from cohortlake.plans.dims import period_of
 
@@ -112,3 +114,22 @@ def test_audit(spark):
     strata = spark.createDataFrame([("Urine", "period", "1995-1996", 10.0), ("Blood", "region", "Northeast", 9.0)], "matrix string, dim string, stratum string, gm double")
     out = {r["stratum"]: r["status"] for r in audit_numbers(docs, strata, {"northeast": "Northeast", "east": "East"}).collect()}
     assert out == {"1995-1996": "OK", "Northeast": "MISMATCH"}
+
+
+def test_institutions_match_by_name_and_abbreviation(spark):
+    docs = spark.createDataFrame([(1, "As told (WHO, 2010; US EPA 2001a; those who 2010; Li et al., 1999)."), (2, "(United States Environmental Protection Agency, 2001)")], "doc_id long, text string")
+    library = spark.createDataFrame([("L1", "World Health Organization", 2010), ("L2", "USEPA", 2001), ("L3", "Li, X.; Who, Y.", 1999), ("L4", "IARC", 2012), ("L5", None, 2000)], "record_id string, authors string, year int").withColumn("title", F.lit("t"))
+    cited = citations(docs)
+    found = {(r["doc_id"], r["key"]): r["status"] for r in crosswalk(cited, library).collect()}
+    assert found == dict.fromkeys([(1, "who|2010"), (1, "us epa|2001a"), (1, "li|1999"), (2, "united states environmental protection agency|2001")], "MATCHED")
+    assert {r["record_id"] for r in unused(cited, library).collect()} == {"L4", "L5"}
+    placed = insert_table(crosswalk(cited, library), library).collect()
+    assert sorted((r["doc_id"], r["key"], r["record_id"]) for r in placed) == [(1, "li|1999", "L3"), (1, "us epa|2001a", "L2"), (1, "who|2010", "L1"), (2, "united states environmental protection agency|2001", "L2")]
+
+
+def test_unit_parameters(spark):
+    names = "record_id string, sample_type string, adjusted string, population_group string, gender string, analyte string, analyte_species string, unit_original string, " + ", ".join(f"{c} double" for c in SCALED)
+    rows = [("a", "Urine", "No", "Adults", "Male", "As", "Total", "nmol/L", *[1.0] * 8), ("b", "Blood", "NotApplicable", "Adults", "Male", "As", "Total", "ug/L", *[1.0] * 8), ("c", "Blood", "NotApplicable", "Adults", "Male", "As", "Total", "ug/g", *[1.0] * 8)]
+    out = {r["record_id"]: r for r in convert_units(spark.createDataFrame(rows, names)).collect()}
+    assert "mode=CC_direct; group=Adult_Male; molar_mass=" in out["a"]["unit_params"]
+    assert out["b"]["unit_params"] == "factor=1.0" and out["c"]["unit_params"] is None
