@@ -11,6 +11,7 @@ from cohortlake.llm.decontamination import contaminated
 from cohortlake.llm.exact_dedup import exact_dedup
 from cohortlake.llm.html_extract import extract_text
 from cohortlake.llm.line_dedup import line_dedup
+from cohortlake.llm.merkle_manifest import verified_manifest
 from cohortlake.llm.quality_classifier import select_quality
 from cohortlake.llm.secret_scan import secret_scan, spans_string
 from cohortlake.llm.simhash_dedup import simhash_groups
@@ -63,7 +64,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_simhash_near_dedup, op3_bpe_encoding_and_decoding, op4_benchmark_decontamination, op5_quality_classifier, op6_substring_dedup, op7_exact_dedup, op8_suffix_array_dedup, op9_secret_scans, op10_line_dedup)}
+def op12_merkle_dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verified_manifest(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_simhash_near_dedup, op3_bpe_encoding_and_decoding, op4_benchmark_decontamination, op5_quality_classifier, op6_substring_dedup, op7_exact_dedup, op8_suffix_array_dedup, op9_secret_scans, op10_line_dedup, op12_merkle_dataset_manifest)}
 
 ORACLES = {
     "op7_exact_dedup": r"""
@@ -87,5 +92,35 @@ g AS (SELECT doc_id, list(i) AS gone FROM r GROUP BY doc_id)
 SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
   sha256(coalesce(array_to_string(list_transform(list_filter(range(1, len(lines) + 1), lambda i: NOT coalesce(list_contains(gone, i), false)), lambda i: lines[i]), chr(10)), '')) AS kept_sha256
 FROM d LEFT JOIN g USING (doc_id)
+""",
+    "op12_merkle_dataset_manifest": r"""
+WITH RECURSIVE v AS (SELECT doc_id, lang, text,
+    concat(coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-')) AS head,
+    -- crc32 of the decimal id: each letter, then eight steps of a bit (-1)
+    list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) AS crc
+  FROM documents),
+h AS (SELECT doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) AS low, xor(crc, 4294967295) % 3 = 0 AS tampered FROM v),
+p AS (SELECT *, row_number() OVER w - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM h WINDOW w AS (PARTITION BY lang ORDER BY doc_id NULLS LAST, leaf)),
+nodes AS (SELECT 0 AS lvl, lang, pos, n, leaf AS digest FROM p
+  UNION ALL SELECT lvl + 1, lang, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos)) FROM nodes WHERE n > 1 GROUP BY lvl, lang, pos // 8, n),
+subs AS (SELECT lang, digest, lvl AS height, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (SELECT 0 AS lvl, pos, n, digest FROM subs
+  UNION ALL SELECT lvl + 1, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY lvl, pos // 8, n),
+root AS (SELECT digest AS root FROM tops WHERE n = 1),
+runs AS (SELECT lvl, lang, pos // 8 AS run, false AS top, list(digest ORDER BY pos) AS d FROM nodes WHERE n > 1 GROUP BY ALL
+  UNION ALL SELECT lvl, NULL, pos // 8, true, list(digest ORDER BY pos) FROM tops WHERE n > 1 GROUP BY ALL),
+up AS (SELECT p.doc_id, p.leaf, p.lang, p.pos, false AS top, 0 AS lvl, CASE WHEN tampered THEN low ELSE leaf END AS fold, '' AS proof, s.digest AS subroot, s.height, s.pos AS place
+    FROM p JOIN subs s ON p.lang IS NOT DISTINCT FROM s.lang
+  UNION ALL
+  SELECT u.doc_id, u.leaf, u.lang, CASE WHEN u.turn THEN u.place ELSE u.pos // 8 END, u.top OR u.turn, CASE WHEN u.turn THEN 0 ELSE u.lvl + 1 END,
+    CASE WHEN u.turn THEN u.fold ELSE sha256(array_to_string(r.d[:u.pos % 8], '') || u.fold || array_to_string(r.d[u.pos % 8 + 2:], '')) END,
+    CASE WHEN u.turn THEN u.proof ELSE u.proof || array_to_string(r.d[:u.pos % 8], '') || array_to_string(r.d[u.pos % 8 + 2:], '') END, u.subroot, u.height, u.place
+  FROM (SELECT *, NOT top AND lvl = height AS turn FROM up) u
+    LEFT JOIN runs r ON NOT u.turn AND r.top = u.top AND r.lvl = u.lvl AND r.run = u.pos // 8 AND (u.top OR r.lang IS NOT DISTINCT FROM u.lang)
+  WHERE u.turn OR r.d IS NOT NULL)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = root AS verified
+FROM up, root WHERE top AND lvl = (SELECT max(lvl) FROM tops)
 """,
 }
