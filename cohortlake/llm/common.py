@@ -64,11 +64,14 @@ class Memo(dict):
     def __missing__(self, key):
         if len(key) > self.longest:
             return self.make(key)
+        found = self.before.get(key)
+        return self.keep(key, self.make(key) if found is None else found)
+
+    def keep(self, key, found):
         if len(self) >= self.most:
             self.before = dict(self)
             self.clear()
-        found = self.before.get(key)
-        self[key] = found = self.make(key) if found is None else found
+        self[key] = found
         return found
 
 

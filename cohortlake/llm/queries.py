@@ -17,6 +17,7 @@ from cohortlake.llm.secret_scan import secret_scan, spans_string
 from cohortlake.llm.simhash_dedup import simhash_groups
 from cohortlake.llm.substring_dedup import substring_dedup
 from cohortlake.llm.suffix_dedup import suffix_dedup
+from cohortlake.llm.token_alignment import align_documents
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +69,11 @@ def op12_merkle_dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verified_manifest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_simhash_near_dedup, op3_bpe_encoding_and_decoding, op4_benchmark_decontamination, op5_quality_classifier, op6_substring_dedup, op7_exact_dedup, op8_suffix_array_dedup, op9_secret_scans, op10_line_dedup, op12_merkle_dataset_manifest)}
+def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_simhash_near_dedup, op3_bpe_encoding_and_decoding, op4_benchmark_decontamination, op5_quality_classifier, op6_substring_dedup, op7_exact_dedup, op8_suffix_array_dedup, op9_secret_scans, op10_line_dedup, op12_merkle_dataset_manifest, op13_cross_tokenizer_alignment)}
 
 ORACLES = {
     "op7_exact_dedup": r"""
