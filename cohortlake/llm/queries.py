@@ -18,6 +18,7 @@ from cohortlake.llm.simhash_dedup import simhash_groups
 from cohortlake.llm.substring_dedup import substring_dedup
 from cohortlake.llm.suffix_dedup import suffix_dedup
 from cohortlake.llm.token_alignment import align_documents
+from cohortlake.llm.topk_search import top_k
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +66,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_exact_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op12_merkle_dataset_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verified_manifest(table(spark, sf_dir, "documents"))
 
@@ -73,7 +78,7 @@ def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFram
     return align_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_simhash_near_dedup, op3_bpe_encoding_and_decoding, op4_benchmark_decontamination, op5_quality_classifier, op6_substring_dedup, op7_exact_dedup, op8_suffix_array_dedup, op9_secret_scans, op10_line_dedup, op12_merkle_dataset_manifest, op13_cross_tokenizer_alignment)}
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_simhash_near_dedup, op3_bpe_encoding_and_decoding, op4_benchmark_decontamination, op5_quality_classifier, op6_substring_dedup, op7_exact_dedup, op8_suffix_array_dedup, op9_secret_scans, op10_line_dedup, op11_exact_top_k_search, op12_merkle_dataset_manifest, op13_cross_tokenizer_alignment)}
 
 ORACLES = {
     "op7_exact_dedup": r"""
@@ -97,6 +102,14 @@ g AS (SELECT doc_id, list(i) AS gone FROM r GROUP BY doc_id)
 SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
   sha256(coalesce(array_to_string(list_transform(list_filter(range(1, len(lines) + 1), lambda i: NOT coalesce(list_contains(gone, i), false)), lambda i: lines[i]), chr(10)), '')) AS kept_sha256
 FROM d LEFT JOIN g USING (doc_id)
+""",
+    "op11_exact_top_k_search": r"""
+WITH f AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, q.v, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM f q JOIN f c ON len(q.v) = len(c.v) AND NOT (q.vec_id IS NOT DISTINCT FROM c.vec_id AND q.v = c.v) WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM s
+WINDOW w AS (PARTITION BY query_id, v ORDER BY score DESC, vec_id NULLS LAST) QUALIFY row_number() OVER w <= 5
 """,
     "op12_merkle_dataset_manifest": r"""
 WITH RECURSIVE v AS (SELECT doc_id, lang, text,
