@@ -93,7 +93,7 @@ def _handed(level: DataFrame, state: DataFrame, fanout: int, *keep: str) -> Data
     return met.select("tree", F.expr(f"to * {fanout} + slot").alias("at"), steps.alias("steps"), *keep, "child")
 
 
-NO_STEPS = F.expr("cast(array() AS array<struct<left: string, right: string>>)")
+NO_STEPS = "cast(array() AS array<struct<left: string, right: string>>)"
 
 
 def manifest(docs: DataFrame, tampered: Column | None = None, changed: Column | None = None, fanout: int = FANOUT) -> DataFrame:
@@ -108,7 +108,7 @@ def manifest(docs: DataFrame, tampered: Column | None = None, changed: Column |
     count = trees.count()
     above, roots = climb(subroots.select(F.lit(0).alias("tree"), F.col("tree").alias("at"), F.lit(count).cast("long").alias("n"), F.struct("digest").alias("child")), fanout)
     # The reversed sweep, first through the tree of languages, then through the languages' trees of the heights they have.
-    state = roots.select("tree", F.lit(0).cast("long").alias("at"), NO_STEPS.alias("steps"), F.col("digest").alias("root"))
+    state = roots.select("tree", F.lit(0).cast("long").alias("at"), F.expr(NO_STEPS).alias("steps"), F.col("digest").alias("root"))
     for level in reversed(above):
         state = _handed(level, state, fanout, "root")
     tops = state.select(F.col("at").alias("tree"), "steps", "root", F.col("child.digest").alias("subroot")).join(subroots.select("tree", "height"), "tree")
