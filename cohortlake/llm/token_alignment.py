@@ -28,6 +28,7 @@ import os
 import re
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -73,7 +74,7 @@ class Numbers(dict):
 
     def of(self, part: str) -> np.ndarray:
         found = np.array(list(map(self.__getitem__, part.split(" "))), np.int32)
-        if np.frombuffer(bytes(self.rough), np.uint8)[found].any():
+        if np.frombuffer(self.rough, np.uint8)[found].any():
             found = np.array(list(map(self.__getitem__, _between.split(part))), np.int32)
         return found
 
@@ -94,7 +95,7 @@ class Aligner:
         self.a_bytes = [bytes(byte_of[c] for c in e) if all(c in byte_of for c in e) else e.encode() for e in entry]
         piece = ((i, self.b.id_to_piece(i)) for i in range(b_size))
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(PIECE_SPACE, " ").encode() for i, p in piece]
-        self.a_length, self.b_length = (np.array([len(x) for x in table], np.int64) for table in (self.a_bytes, self.b_bytes))
+        self.a_length, self.b_length = ([len(x) for x in table] for table in (self.a_bytes, self.b_bytes))
         # An id with the sign behind it: within its group, and last of its group.
         self.said = np.array([f"{i}{sign}" for size, signs in ((a_size, ",|"), (b_size, ",;")) for sign in signs for i in range(size)], object)
         self.starts = np.cumsum([0, a_size, a_size, b_size])
@@ -114,15 +115,18 @@ class Aligner:
 
     def align(self, units: list[str]) -> list[tuple | None]:
         """n_a, n_b, n_groups, the groups' string and the links (b << 32 | a, in order) of each unit; None where the tokens give other bytes."""
-        a = [e.ids for e in self.a.encode_batch([" " + u for u in units], add_special_tokens=False)]
+        a = [e.ids for e in self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)]
         b = self.b.encode(units, num_threads=1)
         whole = [f" {u}".encode("utf-8", "surrogatepass") for u in units]
-        fine = [i for i, w in enumerate(whole) if b"".join(map(self.a_bytes.__getitem__, a[i])) == w == b"".join(map(self.b_bytes.__getitem__, b[i]))]
+        fine = [i for i, w in enumerate(whole) if sum(map(self.a_length.__getitem__, a[i])) == len(w) == sum(map(self.b_length.__getitem__, b[i]))]
+        # Of equal length unit by unit, so that all are given back if all together are.
+        if any(b"".join(map(table.__getitem__, chain.from_iterable(ids[i] for i in fine))) != b"".join(whole[i] for i in fine) for table, ids in ((self.a_bytes, a), (self.b_bytes, b))):
+            fine = [i for i in fine if b"".join(map(self.a_bytes.__getitem__, a[i])) == whole[i] == b"".join(map(self.b_bytes.__getitem__, b[i]))]
         out: list[tuple | None] = [None] * len(units)
         if not fine:
             return out
-        a_ids, b_ids = (np.concatenate([np.array(x[i], np.int64) for i in fine]) for x in (a, b))
-        a_ends, b_ends = np.cumsum(self.a_length[a_ids]), np.cumsum(self.b_length[b_ids])
+        a_ids, b_ids = (np.fromiter(chain.from_iterable(ids[i] for i in fine), np.int64) for ids in (a, b))
+        a_ends, b_ends = np.cumsum(np.array(self.a_length)[a_ids]), np.cumsum(np.array(self.b_length)[b_ids])
         size = int(a_ends[-1])
         a_mark, b_mark = np.zeros(size, bool), np.zeros(size, bool)
         a_mark[a_ends - 1], b_mark[b_ends - 1] = True, True
@@ -137,11 +141,11 @@ class Aligner:
         said[np.arange(len(b_ids)) + np.searchsorted(a_group, b_group, "right")] = b_ids + self.starts[2 + both[b_ends - 1]]
         words = self.said[said].tolist()
         stops = np.cumsum([len(whole[i]) for i in fine])
-        a_at, b_at, link_at = np.r_[0, np.searchsorted(a_ends, stops, "right")], np.r_[0, np.searchsorted(b_ends, stops, "right")], np.r_[0, np.searchsorted(either, stops)]
-        group_at = np.r_[0, np.cumsum(both)[stops - 1]]
+        a_at, b_at, link_at = (np.r_[0, at].tolist() for at in (np.searchsorted(a_ends, stops, "right"), np.searchsorted(b_ends, stops, "right"), np.searchsorted(either, stops)))
+        group_at, links = np.r_[0, np.cumsum(both)[stops - 1]].tolist(), link.tobytes()
         for k, i in enumerate(fine):
             text = "".join(words[a_at[k] + b_at[k] : a_at[k + 1] + b_at[k + 1]])[:-1]
-            out[i] = (int(a_at[k + 1] - a_at[k]), int(b_at[k + 1] - b_at[k]), int(group_at[k + 1] - group_at[k]), text, link[link_at[k] : link_at[k + 1]].tobytes())
+            out[i] = (a_at[k + 1] - a_at[k], b_at[k + 1] - b_at[k], group_at[k + 1] - group_at[k], text, links[8 * link_at[k] : 8 * link_at[k + 1]])
         return out
 
 
