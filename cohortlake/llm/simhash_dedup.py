@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import keyed, light_join, place, text_of, written
+from cohortlake.llm.common import dropped, join_rows, keyed, light_split, place, text_of, written
 
 SEED = 42
 BITS = 64
@@ -180,7 +180,8 @@ def components(edges: DataFrame) -> DataFrame:
         smallest = large.groupBy("a").agg(F.min("b").alias("least"))
         small = large.join(smallest, "a")
         small = small.where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b")).unionByName(smallest.select("a", F.col("least").alias("b")))
-        edges = written(small.distinct(), "links")
+        old, edges = edges, written(small.distinct(), "links")
+        dropped(old)
 
 
 def _groups(docs: DataFrame, radius: int, id_col: str, text_col: str) -> DataFrame:
@@ -203,9 +204,11 @@ def simhash_groups(docs: DataFrame, radius: int = 3, id_col: str = "doc_id", tex
 def simhash_dedup(docs: DataFrame, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that stay: of each component the one with the smallest id, and of several with this id one."""
     groups = written(_groups(docs, radius, id_col, text_col).select("doc_id", "key", (place("key") == F.col("least")).alias("stays")), "simhash-groups")
-    goes = written(groups.where("NOT stays").select("doc_id", "key").distinct(), "near-copies")
-    many = written(groups.where("stays").groupBy("doc_id", "key").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "repeated-rows")
+    # What is to do with a row: ``once`` rows stay once, others go; all without a mark stay.
+    marks = groups.groupBy("doc_id", "key").agg(F.max("stays").alias("once"), F.count("*").alias("n")).where("NOT once OR n > 1").drop("n")
     packed = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col), text_of(text_col)).alias("key"))
-    left = light_join(packed, goes, "left_anti")
-    once = light_join(left, many, "left_anti")
-    return once.unionByName(light_join(left, many, "inner").dropDuplicates(["doc_id", "key"])).select("row.*")
+    there, apart = light_split(packed, marks := written(marks, "near-copies"))
+    met = join_rows(there, marks, "left").where("once IS NULL OR once")
+    # Rows without a mark get a number of their own; copies of a marked one collapse before they shuffle.
+    met = met.withColumn("tie", F.when(F.col("once"), 0).otherwise(F.monotonically_increasing_id() + 1)).dropDuplicates(["doc_id", "key", "tie"])
+    return met.select("row").unionByName(apart.select("row")).select("row.*")

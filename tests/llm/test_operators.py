@@ -466,3 +466,45 @@ def test_quality(spark):
     kept = [x["row"]["doc_id"] for x in out.collect()]
     assert out.select("row.*").columns == more.columns
     assert all(kept.count(i) == 2 * (i in kept) for i in range(20)) and kept.count(None) == sum(250 <= i < 260 for i in kept if i is not None)
+
+
+def test_near_dedup_reads_documents_twice(spark, docs, rows, tmp_path):
+    path = str(tmp_path / "docs")
+    docs.write.parquet(path)
+    out = simhash_dedup.simhash_dedup(spark.read.parquet(path))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lang#") and plan.count("n_chars#") and len(re.findall(r"Relation \[doc_id#\d+L?,text#", plan)) == 2
+    assert out.columns == docs.columns and out.count() <= len(rows)
+
+
+def test_intermediate_tables_go(spark, docs):
+    import os
+
+    from cohortlake.llm import common
+
+    folder = common.shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    with common.intermediate(spark) as keep:
+        keep.append(common.written(simhash_dedup.simhash_dedup(docs), "result"))
+    left = set(os.listdir(folder)) - before
+    assert len(left) == 1 and keep[0].count() > 0
+    common.dropped(keep[0])
+    assert set(os.listdir(folder)) == before
+
+
+def test_a_session_without_a_shared_folder(tmp_path):
+    """Spark's own settings on a machine alone: the folder is ours, on a cluster it must be named."""
+    import os
+    import subprocess
+    import sys
+
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "from cohortlake.llm.common import shared_folder, written\n"
+        "a, b = written(spark.range(5), 'x'), written(spark.range(3), 'x')\n"
+        "print('rows', a.count() + b.count(), shared_folder(spark) == shared_folder(spark))"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYSPARK_SUBMIT_ARGS"} | {"SPARK_CONF_DIR": str(tmp_path)}
+    said = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120, cwd=os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+    assert "rows 8 True" in said.stdout, said.stderr[-2000:]
