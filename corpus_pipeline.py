@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlake.llm.bpe_codec import round_trip
-from cohortlake.llm.common import light_join, table, text_of, written
+from cohortlake.llm.common import dropped, intermediate, light_join, table, text_of, written
 from cohortlake.llm.decontamination import decontaminate
 from cohortlake.llm.line_dedup import repeated_lines
 from cohortlake.llm.quality_classifier import select_quality
@@ -65,5 +65,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), "stage-" + name.lower().replace(" ", "-"))
+        with intermediate(spark) as keep:
+            before, docs = docs, written(stage(spark, docs, sf_dir), "stage-" + name.lower().replace(" ", "-"))
+            keep.append(docs)
+        dropped(before)
     return docs
