@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortlake.operators.selection import select_values
 from cohortlake.plans.dims import PERIODS, period_of
+from cohortlake.tables import written
 
 COUNT_NOTE = "record-level sums"
 
@@ -24,12 +26,12 @@ def poolable(df: DataFrame, dims: list[str], value: str, weight: str, periods=PE
 BIN = 0.25  # of the logarithm
 
 
-def binned(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Sums of v and w by key and bin of ln v, around the bin's lower edge: small numbers, so that nothing cancels when spreads are taken from them."""
+def binned(rows: DataFrame, keys: list[str], count: Column | None = None) -> DataFrame:
+    """Sums of v and w by key and bin of ln v (rows may stand for ``count`` values each), around the bin's lower edge: small numbers, so that nothing cancels when spreads are taken from them."""
     bin_ = F.floor(F.ln("v") / BIN)
     rows = rows.withColumns({"_bin": bin_, "_d": F.ln("v") - bin_ * BIN})
     d, w = F.col("_d"), F.col("w")
-    sums = rows.groupBy(*keys, "_bin").agg(F.sum(w).alias("sw"), F.sum(w * d).alias("sd"), F.sum(w * d * d).alias("sdd"), F.count("*").alias("k"), F.max("w").alias("max_w"), F.min("v").alias("low"), F.max("v").alias("high"))
+    sums = rows.groupBy(*keys, "_bin").agg(F.sum(w).alias("sw"), F.sum(w * d).alias("sd"), F.sum(w * d * d).alias("sdd"), (F.count("*") if count is None else F.sum(count)).alias("k"), F.max("w").alias("max_w"), F.min("v").alias("low"), F.max("v").alias("high"))
     return sums.withColumns({"mean": F.col("_bin") * BIN + F.col("sd") / F.col("sw"), "within": F.greatest(F.col("sdd") - F.col("sd") * F.col("sd") / F.col("sw"), F.lit(0.0))})
 
 
@@ -93,39 +95,32 @@ def pool_sets(df: DataFrame, fixed: str, sets: list[list[str]], value: str = "gm
     return sums.select("stratum", fixed, *dims, "gm", "record_count", "total_sample_size")
 
 
-def weighted_quantiles(df: DataFrame, dims: list[str], probs: list[float], value: str = "gm_summary", weight: str = "sample_size") -> DataFrame:
-    """Per stratum and probability the smallest value whose cumulative weight reaches it (no interpolation).
+def _named(p: float) -> str:
+    return f"p{round(100 * p):02d}"
 
-    Weights are summed by distinct value first, so that the window sorts distinct values only.
-    """
-    rows = poolable(df, dims, value, weight).groupBy(*dims, "v").agg(F.sum("w").alias("w"))
-    w = Window.partitionBy(*dims)
-    run = rows.withColumns({"cum": F.sum("w").over(w.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)), "total": F.sum("w").over(w)})
-    names = [f"p{round(100 * p):02d}" for p in probs]
-    return run.groupBy(*dims).agg(*[F.min(F.when(F.col("cum") >= p * F.col("total"), F.col("v"))).alias(name) for p, name in zip(probs, names, strict=True)])
 
-
-def value_summary(df: DataFrame, dims: list[str], value: str, probs: list[float], weight: str = "sample_size") -> DataFrame:
-    """Per stratum gm, gsd, n, weighted quantiles and the upper unweighted median, from one pass that sums by distinct value."""
+def weighted_quantiles(df: DataFrame, dims: list[str], probs: list[float], value: str = "gm_summary", weight: str = "sample_size", **limits) -> DataFrame:
+    """Per stratum and probability the smallest value whose cumulative weight reaches it (no interpolation), by histograms in rounds."""
     rows = poolable(df, dims, value, weight).groupBy(*dims, "v").agg(F.sum("w").alias("w"), F.count("*").alias("k"))
-    over = Window.partitionBy(*dims)
-    run = over.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    log = F.ln("v")
-    each = rows.withColumns({"cum": F.sum("w").over(run), "total": F.sum("w").over(over), "seen": F.sum("k").over(run), "n": F.sum("k").over(over), "mu": F.sum(F.col("w") * log).over(over) / F.sum("w").over(over)})
-    quantiles = [F.min(F.when(F.col("cum") >= p * F.col("total"), F.col("v"))).alias(f"p{round(100 * p):02d}") for p in probs]
-    apart = log - F.col("mu")
-    return each.groupBy(*dims).agg(
-        F.exp(F.first("mu")).alias("gm"), F.exp(F.sqrt(F.sum(F.col("w") * apart * apart) / F.first("total"))).alias("gsd"), F.first("n").alias("n"), F.first("total").alias("total_sample_size"),
-        *quantiles, F.min(F.when(F.col("seen") > F.floor(F.col("n") / 2), F.col("v"))).alias("median"),
-    )
-
-
-def upper_median(df: DataFrame, dims: list[str], value: str) -> DataFrame:
-    """The element n div 2 (from 0) of the sorted values; counts by distinct value first."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*dims, F.col(value).alias("v")).agg(F.count("*").alias("k"))
-    w = Window.partitionBy(*dims)
-    run = counts.withColumns({"cum": F.sum("k").over(w.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)), "n": F.sum("k").over(w)})
-    return run.groupBy(*dims).agg(F.min(F.when(F.col("cum") > F.floor(F.col("n") / 2), F.col("v"))).alias("median"), F.max("n").alias("n"))
+    return select_values(rows, dims, {_named(p): p * F.col("w") for p in probs}, **limits)
+
+
+def value_summary(df: DataFrame, dims: list[str], value: str, probs: list[float], weight: str = "sample_size", **limits) -> DataFrame:
+    """Per stratum gm, gsd, n, weighted quantiles and the upper unweighted median. The values are summed by distinct value once, for the sums and for all rounds."""
+    rows = written(poolable(df, dims, value, weight).groupBy(*dims, "v").agg(F.sum("w").alias("w"), F.count("*").alias("k")), "distinct-values")
+    values = select_values(rows, dims, {_named(p): p * F.col("w") for p in probs}, {"median": F.floor(F.col("k") / 2) + 1}, **limits)
+    bins = spreads(binned(rows, dims, F.col("k")), dims)
+    sums = bins.groupBy(*dims).agg(F.exp(F.first("mu")).alias("gm"), F.exp(F.sqrt(swd() / F.sum("sw"))).alias("gsd"), F.sum("k").alias("n"), F.sum("sw").alias("total_sample_size"))
+    return sums.join(values, dims)
+
+
+def upper_median(df: DataFrame, dims: list[str], value: str, **limits) -> DataFrame:
+    """The element n div 2 (from 0) of the sorted values, and n."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(*dims, F.col(value).cast("double").alias("v")).agg(F.count("*").alias("k"), F.lit(0.0).alias("w"))
+    counts = written(counts, "distinct-values")
+    medians = select_values(counts, dims, {}, {"median": F.floor(F.col("k") / 2) + 1}, **limits)
+    same = [F.col(d).eqNullSafe(F.col(f"_{d}")) for d in dims]
+    return medians.join(counts.groupBy(*[F.col(d).alias(f"_{d}") for d in dims]).agg(F.sum("k").alias("n")), same).select(*dims, "median", "n")
 
 
 def leave_one_out(df: DataFrame, dims: list[str], value: str = "gm_summary", weight: str = "sample_size") -> DataFrame:
