@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cohortlake.functions.text import norm_text, record_id, row_hash
 from cohortlake.operators.raw_records import check_header
 from cohortlake.plans.dims import lookup
+from cohortlake.sources.split_tables import numbered_across, read_split_table
 
 COLUMNS = ["record_id", "source_database", "title", "abstract", "authors", "year", "doi", "pmid", "journal", "keywords", "raw_row_hash"]
 # The tags of each field, best first; table headers of each field, and headers known to be of no use; month macros.
@@ -41,7 +42,7 @@ def finish(df: DataFrame, source: str) -> DataFrame:
     """Adds ids in the order of the export, and hashes."""
     out = df.withColumn("year", F.regexp_extract(F.coalesce("year", F.lit("")), r"\d{4}", 0))
     out = out.withColumns({c: norm_text(F.col(c)) for c in ("title", "abstract", "authors", "doi", "pmid", "journal", "keywords")})
-    out = numbered(out).withColumn("source_database", F.lit(source)).withColumn("record_id", record_id(F.lit(source), F.col("number")))
+    out = (numbered_across(out) if "_number" in out.columns else numbered(out)).withColumn("source_database", F.lit(source)).withColumn("record_id", record_id(F.lit(source), F.col("number")))
     return out.withColumn("raw_row_hash", row_hash(F.col("title"), F.col("abstract"))).select(*COLUMNS)
 
 
@@ -120,9 +121,9 @@ def table_header(names: list[str]) -> tuple[dict[str, str], list[str]]:
 
 def read_table(spark: SparkSession, paths: str, source: str, sep: str = ",") -> DataFrame:
     """Exports with one of the known headers for each field (``table_header`` tells what else they have); a missing title column is an error."""
-    raw = spark.read.option("header", True).option("sep", sep).option("multiLine", True).option("escape", '"').csv(paths)
-    found, _ = table_header(raw.columns)
-    out = raw.select(*[F.col(f"`{found[f]}`").alias(f) if f in found else F.lit(None).cast("string").alias(f) for f in TABLE_ALIASES], *place())
+    raw = read_split_table(spark, paths, sep)
+    found, _ = table_header(raw.columns[:-2])
+    out = raw.select(*[F.col(f"`{found[f]}`").alias(f) if f in found else F.lit(None).cast("string").alias(f) for f in TABLE_ALIASES], "_file", "_number")
     joined = {"authors": r"\s*;\s*|\s+and\s+", "keywords": r"\s*;\s*"}
     out = out.withColumns({c: F.array_join(F.filter(F.split(F.col(c), sep_), lambda x: x != ""), "; ") for c, sep_ in joined.items()})
     return finish(out.withColumn("pmid", F.when(F.trim("pmid").rlike(r"^\d+$"), F.col("pmid"))), source)

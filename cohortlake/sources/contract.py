@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortlake.sources.split_tables import read_split_table
+
 # What stands for a missing value (lower case), and the columns of the contract by type.
 MISSING = ["", "na", "n/a", "nan", "none", "null", "-", "—", "未报告"]
 NUMBERS = "time time_start time_end latitude longitude age_mean height weight bmi initial_gm initial_mean initial_sd initial_median initial_p25 initial_p75 initial_p05 initial_p95 initial_min initial_max initial_gsd gm_summary gsd_summary".split()
@@ -43,7 +45,7 @@ def read_records(spark: SparkSession, paths: str | list[str], kind: str = "csv")
     """The record table by its header: a byte order mark, blanks around names and missing tokens are taken off, rows without any value skipped."""
     if kind not in ("csv", "parquet"):
         raise ValueError(f"unknown kind {kind}")
-    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(paths) if kind == "csv" else spark.read.parquet(*([paths] if isinstance(paths, str) else paths))
+    raw = read_split_table(spark, paths).drop("_file", "_number") if kind == "csv" else spark.read.parquet(*([paths] if isinstance(paths, str) else paths))
     raw = raw.toDF(*[c.lstrip("﻿").strip() for c in raw.columns])
     clean = clean_missing(raw)
     return typed(clean.where(F.coalesce(*[F.col(f"`{c}`").cast("string") for c in clean.columns]).isNotNull()))
@@ -51,7 +53,7 @@ def read_records(spark: SparkSession, paths: str | list[str], kind: str = "csv")
 
 def read_library(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """The citation library; a blank record_id becomes a hash of the row, the same in every run."""
-    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(paths)
+    raw = read_split_table(spark, paths).drop("_file", "_number")
     raw = clean_missing(raw.toDF(*[c.lstrip("﻿").strip().lower() for c in raw.columns]))
     if "title" not in raw.columns or "authors" not in raw.columns:
         raise ValueError(f"a library has authors and title, not {raw.columns}")
