@@ -35,15 +35,27 @@ def build_studies(df: DataFrame) -> DataFrame:
     return out.select("study_no", first_author(F.col("f.author")).alias("first_author"), clean_city(F.col("f.city")).alias("city"), "f.sample_type", F.lower(cohort_hint(F.col("f.title"))).alias("cohort"), "total_n", "n_records")
 
 
-def clusters(studies: DataFrame, city_least: int = 4, author_least: int = 3, cohort_least: int = 2) -> DataFrame:
-    """kind, name, n_studies, n_records: by city and matrix, by author and matrix, by cohort."""
+def _memberships(studies: DataFrame, city_least: int = 4, author_least: int = 3, cohort_least: int = 2) -> DataFrame:
+    """kind, name, least, study_no, n_records: by city and matrix, by author and matrix, by cohort."""
     kinds = F.array(
         F.struct(F.lit("city").alias("kind"), F.when(F.col("city") != "", F.concat_ws("|", "city", "sample_type")).alias("name"), F.lit(city_least).alias("least")),
         F.struct(F.lit("author").alias("kind"), F.when(F.col("first_author") != "", F.concat_ws("|", "first_author", "sample_type")).alias("name"), F.lit(author_least).alias("least")),
         F.struct(F.lit("cohort").alias("kind"), F.when(F.col("cohort") != "", F.concat_ws("|", "cohort", "city")).alias("name"), F.lit(cohort_least).alias("least")),
     )
-    each = studies.select(F.explode(kinds).alias("k"), "n_records").where("k.name IS NOT NULL")
-    return each.groupBy("k.kind", "k.name", "k.least").agg(F.count("*").alias("n_studies"), F.sum("n_records").alias("n_records")).where("n_studies >= least").drop("least")
+    return studies.select(F.explode(kinds).alias("k"), "study_no", "n_records").where("k.name IS NOT NULL").select("k.*", "study_no", "n_records")
+
+
+def clusters(studies: DataFrame, city_least: int = 4, author_least: int = 3, cohort_least: int = 2) -> DataFrame:
+    """kind, name, n_studies, n_records: by city and matrix, by author and matrix, by cohort."""
+    each = _memberships(studies, city_least, author_least, cohort_least)
+    return each.groupBy("kind", "name", "least").agg(F.count("*").alias("n_studies"), F.sum("n_records").alias("n_records")).where("n_studies >= least").drop("least")
+
+
+def cluster_members(studies: DataFrame, **least: int) -> DataFrame:
+    """kind, name, study_no: the studies of every cluster that is large enough."""
+    large = clusters(studies, **least).select(F.col("kind").alias("_k"), F.col("name").alias("_n"))
+    each = _memberships(studies, **least)
+    return each.join(large, (F.col("kind") == F.col("_k")) & (F.col("name") == F.col("_n"))).select("kind", "name", "study_no")
 
 
 def keep_largest(df: DataFrame, periods=PERIODS) -> DataFrame:

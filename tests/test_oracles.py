@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from cohortlake import queries, queries_contract, queries_derived, queries_review  # noqa: F401  the others register their queries
+from cohortlake import queries, queries_contract, queries_derived, queries_distributed, queries_review  # noqa: F401  the others register their queries
 
 DATA = "/root/testdata/sf0.001"
 
