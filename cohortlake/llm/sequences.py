@@ -6,16 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import PAGE_BITS, Memo, filter_bits, hash_filter, place, written
+from cohortlake.llm.common import PAGE_BITS, dropped, filter_bits, hash_filter, place, written
 
 # Odd multipliers of the two rolling hashes, and their inverses.
 BASES = [0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93]
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-_words = Memo(xxhash.xxh64_intdigest, 400_000)
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -31,10 +29,6 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
-
-
 def window_hashes(units: np.ndarray, width: int, base: int = BASES[0]) -> np.ndarray:
     """The hash of each run of ``width`` units; empty if there is none."""
     n = len(units)
@@ -85,7 +79,9 @@ def copies(base: DataFrame) -> DataFrame:
     """doc_id, key, later of the documents whose whole text another one has; ``later`` where one of these has a smaller id. Reads digests only, and makes no pairs."""
     digests = written(base.select("doc_id", "key", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2")), "text-digests")
     first = written(digests.groupBy("t1", "t2").agg(F.min(place()).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "first-copies")
-    return written(digests.join(first, ["t1", "t2"]).select("doc_id", "key", (place() > F.col("first")).alias("later")).distinct(), "copies")
+    out = written(digests.join(first, ["t1", "t2"]).select("doc_id", "key", (place() > F.col("first")).alias("later")).distinct(), "copies")
+    dropped(digests, first)
+    return out
 
 
 # Anchors are the smallest hashes around, so their values crowd at the low end; times this they are even again.
@@ -194,4 +190,5 @@ def repeated_anchors(prints: DataFrame) -> DataFrame:
     some = prints.select("doc_id", "key", "hashes", "ats").mapInArrow(_seed_batches(shared, bits), "doc_id long, key long, hash long, at int")
     seeds = written(some.join(twice, "hash", "left_semi").groupBy("doc_id", "key").agg(F.collect_set("at").alias("seeds")), "seeds")
     shared.unpersist()
+    dropped(twice)
     return seeds
