@@ -5,8 +5,9 @@ ordered by host and URL path; a page's partner is the neighbour of the same host
 piece of its path, or both neighbours where they share as much. The longest common subsequence of the two
 pages' lines is what their site repeats, and these shared lines are deleted. Markup then corrects the differencing where it is explicit: lines in menus,
 headers, footers, sidebars, notices, adverts, forms and comments go even if no neighbour shares them, and
-where a page marks its article (``article`` or ``main``), its lines stay even if a neighbour repeats them,
-and what lies outside goes.
+where a page marks its article (``main``, else ``article`` outside of menus and sidebars), its lines stay even if a neighbour repeats them,
+and what lies outside goes. A name that only has a word of these in it (``share-price``, ``related-none``) leaves its element's
+lines to the differencing. What holds the article, or most of a page without one, is never side, whatever its names say.
 
 Only lines that may stay travel, compressed, with the hashes of all lines, in one shuffle. A host may hold
 any share of the pages: the order of all URLs is cut into blocks at sampled keys (at most 2**16, chosen by
@@ -40,48 +41,94 @@ BLOCKS = frozenset("address article aside blockquote body center dd details dial
 CLOSES_P = BLOCKS - {"body", "head", "html", "title", "option", "legend"}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea iframe svg math object select title".split())
-SIDE = frozenset("nav aside footer header form button dialog menu head label fieldset".split())
+SIDE = frozenset("nav aside footer header form button dialog menu head".split())
 SIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login sidebar aside menu nav navbar navigation breadcrumb breadcrumbs toc comment comments disqus reply replies share sharing social related recommended footer header masthead toolbar pagination pager widget search form copyright legal disclaimer complementary contentinfo hidden".split()
 )
 _piece = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)|[^<]+|<""", re.S)
 _attribute = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 _space = re.compile(r"\s+")
-MAIN, SIDE_LINE = 1, 2
+# Words that say where a part stands or what it is made of, not what it is.
+NEUTRAL_WORDS = frozenset("site page top bottom left right primary secondary main global inner outer box block bar area wrap wrapper container section list item items link links panel content body text title head post entry slot unit module component group row column col sm md lg xl 1 2 3 4 5 6".split())
+MAIN, SIDE_LINE, DOUBTFUL = 1, 2, 4
+WEAK, STRONG = 1, 2
 
 
-def _is_side(tag: str, attributes: str, in_main: bool) -> bool:
-    if tag in SIDE and not (tag == "header" and in_main):
-        return True
-    if not attributes:
-        return False
-    for m in _attribute.finditer(attributes):
+def _level(tag: str, attributes: str, in_main: bool) -> int:
+    """STRONG where tag or attributes say that an element isn't main text, WEAK where a name only has such a word in it (``share-price``), else 0."""
+    level = STRONG * (tag in SIDE and not (tag == "header" and in_main))
+    for m in _attribute.finditer(attributes) if attributes and not level else ():
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-        if name in ("class", "id", "role") and not SIDE_WORDS.isdisjoint(re.split(r"[\s_-]+", value)):
-            return True
-    return False
+            return STRONG
+        if name in ("class", "id", "role"):
+            for token in value.split():
+                words = {w for w in re.split("[_-]+", token) if w}
+                if words & SIDE_WORDS:
+                    level = max(level, STRONG if words <= SIDE_WORDS | NEUTRAL_WORDS else WEAK)
+    return level
+
+
+class Page:
+    """Elements and lines as they are parsed; what an element means is settled once all are known."""
+
+    def __init__(self):
+        self.parent, self.tag, self.own, self.letters = [-1], [""], [0], [0]
+        self.lines: list[tuple[str, int]] = []  # with the element
+
+    def opened(self, parent: int, tag: str, level: int) -> int:
+        for column, value in ((self.parent, parent), (self.tag, tag), (self.own, level), (self.letters, 0)):
+            column.append(value)
+        return len(self.tag) - 1
+
+    def above(self, element: int) -> Iterator[int]:
+        while element >= 0:
+            yield element
+            element = self.parent[element]
+
+    def marked(self) -> list[tuple[str, int]]:
+        """The lines with their marks: MAIN in the page's main element, else in its articles outside of menus and the like; SIDE_LINE and DOUBTFUL by the elements around.
+
+        What holds the main text isn't side whatever its names say, nor is, on a page without such an element, one that holds most of the page's letters.
+        """
+        count = range(1, len(self.tag))
+        inside = [False]  # of an element that is side by its tag
+        for e in count:
+            inside.append(inside[self.parent[e]] or self.tag[e] in SIDE - {"form", "header"})
+        found = [e for e in count if self.tag[e] == "main"] or [e for e in count if self.tag[e] == "article" and not inside[e]] or [e for e in count if self.tag[e] == "article"]
+        spared = {0} | {e for e in count if self.tag[e] in ("html", "body")}
+        for e in found:
+            spared.update(self.above(e))
+        if not found:
+            for text, element in self.lines:
+                for e in self.above(element):
+                    self.letters[e] += len(text)
+            spared |= {e for e in count if 2 * self.letters[e] > self.letters[0]}
+        main, level, regions = [False], [0], set(found)
+        for e in count:
+            main.append(main[self.parent[e]] or e in regions)
+            level.append(max(level[self.parent[e]], 0 if e in spared else self.own[e]))
+        return [(text, MAIN * main[e] | SIDE_LINE * (level[e] == STRONG) | DOUBTFUL * (level[e] == WEAK)) for text, e in self.lines]
 
 
 def lines(html: str) -> list[tuple[str, int]]:
     """The page's lines with their marks."""
-    out: list[tuple[str, int]] = []
-    open_: list[tuple[str, bool, bool]] = []  # tag, in main text's element, in a side element
+    page = Page()
+    open_: list[tuple[str, bool, int, int]] = []  # tag, in main text's element, element, level
     text: list[str] = []
-    main = side = False
+    main, element = False, 0
 
     def end_line() -> None:
         line = _space.sub(" ", unescape("".join(text))).strip()
         text.clear()
         if line:
-            out.append((line, MAIN * main | SIDE_LINE * side))
+            page.lines.append((line, element))
 
     def close(depth: int) -> None:
-        nonlocal main, side
+        nonlocal main, element
         end_line()
         del open_[depth:]
-        main, side = open_[-1][1:] if open_ else (False, False)
+        main, element = open_[-1][1:3] if open_ else (False, 0)
 
     at, size = 0, len(html)
     while at < size:
@@ -94,10 +141,11 @@ def lines(html: str) -> list[tuple[str, int]]:
             continue
         if m[1] or m[4]:
             depth = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == tag), None)
-            if depth is not None and (tag in BLOCKS or any(x[0] in BLOCKS for x in open_[depth:]) or open_[depth][2] != (depth > 0 and open_[depth - 1][2])):
+            if depth is not None and (tag in BLOCKS or any(x[0] in BLOCKS or x[3] for x in open_[depth:])):
                 close(depth)
             elif depth is not None:
                 del open_[depth:]
+                main, element = open_[-1][1:3] if open_ else (False, 0)
             elif tag in BLOCKS:
                 end_line()
             continue
@@ -121,15 +169,16 @@ def lines(html: str) -> list[tuple[str, int]]:
                     break
                 if open_[i][0] in BLOCKS:
                     break
-        is_side = side or _is_side(tag, m[3] or m[6] or "", main)
-        if tag in BLOCKS or is_side != side:
+        level = _level(tag, m[3] or m[6] or "", main)
+        if tag in BLOCKS or level:
             end_line()
         elif tag in ("td", "th"):
             text.append(" ")
-        main, side = main or tag in ("article", "main"), is_side
-        open_.append((tag, main, side))
+        # An inline element without such names is where its line stands.
+        main, element = main or tag in ("article", "main"), page.opened(element, tag, level) if tag in BLOCKS or tag in SIDE or level else element
+        open_.append((tag, main, element, level))
     end_line()
-    return out
+    return page.marked()
 
 
 def split_url(url: str | None) -> tuple[str, str]:
@@ -236,13 +285,14 @@ def _line_batches(cuts: list[tuple], lasts: set[tuple]):
                 place = _place(url, page_id)
                 host, path = place[:2]
                 found = lines(html or "")
-                marked = any(mark == MAIN for _, mark in found)
-                stays = [i for i, (_, mark) in enumerate(found) if mark == (MAIN if marked else 0)]
+                marked = any(mark & MAIN and not mark & SIDE_LINE for _, mark in found)
+                stays = [i for i, (_, mark) in enumerate(found) if not mark & SIDE_LINE and bool(mark & MAIN) == marked]
+                doubtful = [not marked or found[i][1] & DOUBTFUL > 0 for i in stays]
                 block = bisect_right(cuts, place)
                 hashes = [xxhash.xxh64_intdigest(line) - 2**63 for line, _ in found]
                 texts = zlib.compress("\n".join(found[i][0] for i in stays).encode("utf-8", "surrogatepass"), 1)
-                # The sign of the last number tells whether markup names the main text.
-                row = (host, path, page_id, url, hashes, [*stays, -1 if marked else -2], texts)
+                # Odd for a line that goes if a neighbour shares it.
+                row = (host, path, page_id, url, hashes, [2 * i + d for i, d in zip(stays, doubtful, strict=True)], texts)
                 rows.append((block, False, *row))
                 others = [block - 1] * (block > 0 and cuts[block - 1] == place) + [block + 1] * (place in lasts)
                 rows += [(other, True, host, path, page_id, None, hashes, [], b"") for other in others]
@@ -257,7 +307,7 @@ def _common_prefix(a: str, b: str) -> int:
 
 def _pair_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def decided(before: dict | None, row: dict, after: dict | None) -> tuple:
-        *stays, marked = row["stays"]
+        stays = [s >> 1 for s in row["stays"]]
         found = []
         near = [x for x in (before, after) if x and x["block"] == row["block"] and x["host"] == row["host"]]
         for x in sorted(near, key=lambda x: -_common_prefix(x["path"], row["path"])):
@@ -268,7 +318,7 @@ def _pair_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 found.append(same)
         deleted = [any(f) for f in zip(*found, strict=True)] if found else [False] * len(row["hashes"])
         texts = zlib.decompress(row["texts"]).decode("utf-8", "surrogatepass").split("\n") if stays else []
-        text = "\n\n".join(t for i, t in zip(stays, texts, strict=True) if marked == -1 or not deleted[i])
+        text = "\n\n".join(t for s, t in zip(row["stays"], texts, strict=True) if not (s & 1 and deleted[s >> 1]))
         return row["page_id"], row["url"], text, len(text), sum(deleted)
 
     def made(rows: list[tuple]) -> pa.RecordBatch:
