@@ -6,18 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlake.functions.stats import settled
+from cohortlake.functions.text import normalize_unit
 from cohortlake.plans.dims import CREATININE_FACTORS, MASS_FACTORS, MOLAR_MASS, TISSUE_UNITS, URINE_REFERENCE, lookup
 
 SCALED = ["initial_gm", "initial_mean", "initial_sd", "initial_median", "initial_p25", "initial_p75", "initial_min", "initial_max"]
 
 
-def normalize_unit(c: Column) -> Column:
-    s = F.translate(F.trim(c), "μµ", "uu")
-    s = F.replace(s, F.lit("per "), F.lit("/"))
-    s = F.lower(F.replace(s, F.lit("ug/creatinine"), F.lit("ug/g cr")))
-    return F.coalesce(F.trim(F.regexp_replace(s, r"(?U)\s+", " ")), F.lit(""))
-
-
 def classify_unit(unit: Column) -> Column:
     """mass_volume, creatinine, molar, tissue or unknown; ``unit`` is normalised."""
     return (

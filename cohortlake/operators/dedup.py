@@ -10,7 +10,7 @@ from cohortlake.plans.dims import PERIODS, period_of
 # Names that tell of a cohort, and wordings that count people instead of records.
 COHORT = r"(?i)birth\s+cohort|出生队列|prospective\s+cohort|母子队列|母婴队列|队列研究|cohort\s+study|longitudinal\s+cohort"
 WORDING = r"(?i)\d[\d,]*\s+(?:participants|individuals|subjects)\b"
-GOOD_WORDING = r"(?i)record[- ]level|summed across records|记录级"
+GOOD_WORDING = r"(?i)participant\s+records"
 
 
 def first_author(c: Column) -> Column:
@@ -89,7 +89,7 @@ def wording_hits(docs: DataFrame, around: int = 60) -> DataFrame:
 
 
 def good_wording(text: Column) -> Column:
-    """Whether a text says that sums are of records."""
+    """Whether a text speaks of participant records, as it should where sums are of records."""
     return text.rlike(GOOD_WORDING)
 
 

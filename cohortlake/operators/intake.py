@@ -11,26 +11,32 @@ from cohortlake.plans.dims import ABSORPTION, INTAKE, TURNOVER, VOLUME, lookup
 NOT_CLOSED = 0.03
 
 
-def daily_intake(df: DataFrame, value: str = "gm_summary", absorption: float = ABSORPTION, volume: float = VOLUME, turnover: float = TURNOVER) -> DataFrame:
+# Populations without parameters of their own.
+NO_PARAMETERS = ["Mixed", "Unknown", ""]
+
+
+def daily_intake(df: DataFrame, value: str = "gm_summary", absorption: float = ABSORPTION, volume: float = VOLUME, turnover: float = TURNOVER, parameters: dict[str, tuple] = INTAKE) -> DataFrame:
     """Adds route, edi_primary, edi_secondary, cross_check_rel_diff, edi_status and edi_flags.
 
     Urine has two ways, by creatinine excretion and by volume; blood is exploratory and never divided by
-    body weight, as the distribution volume already is; cord blood is skipped.
+    body weight, as the distribution volume already is (``bw_unused`` tells where there is none); cord blood and
+    populations without parameters are skipped. ``parameters``: CE, V, CC and body weight by population, any of which may be None.
     """
     if absorption <= 0 or turnover <= 0:
         raise ValueError("absorption and turnover must be positive")
-    ce, v, cc, weight = (lookup(F.col("population_group"), {k: x[i] for k, x in INTAKE.items()}) for i in range(4))
+    ce, v, cc, weight = (lookup(F.col("population_group"), {k: x[i] for k, x in parameters.items()}).cast("double") for i in range(4))
     x = F.when(F.col(value) > 0, F.col(value))
     urine, blood, cord = (F.col("sample_type") == s for s in ("Urine", "Blood", "CordBlood"))
-    primary = F.when(urine, x * ce / (weight * absorption)).when(blood, x * volume / (absorption * turnover))
+    none = F.trim(F.coalesce("population_group", F.lit(""))).isin(*NO_PARAMETERS)
+    primary = F.when(urine, x * ce / (weight * absorption)).when(blood & ~none, x * volume / (absorption * turnover))
     secondary = F.when(urine, x * cc * v / (weight * absorption))
     out = df.withColumns({"route": F.when(urine, "urine").when(blood, "blood").when(cord, "cord"), "edi_primary": primary, "edi_secondary": secondary})
     diff = F.abs(F.col("edi_primary") - F.col("edi_secondary")) / F.col("edi_primary")
     out = out.withColumn("cross_check_rel_diff", F.when(urine, diff))
     apart = F.coalesce(F.col("cross_check_rel_diff") > NOT_CLOSED, F.lit(False))
     coarse = F.col("population_group").isin("Elderly", "Minors")
-    status = F.when(cord | F.col("route").isNull(), "SKIP").when(urine & ce.isNull(), "SKIP").when(F.col("edi_primary").isNull(), "FAILED").when(blood | apart, "WARN").otherwise("OK")
-    flags = F.concat_ws(";", F.when(urine & apart, "inconsistent_param"), F.when(urine & coarse & ce.isNotNull(), "coarse_age"), F.when(blood, "exploratory_reconstruction"), F.when(cord, "cordblood_edi_skipped"))
+    status = F.when(cord | F.col("route").isNull(), "SKIP").when(urine & ce.isNull() | blood & none, "SKIP").when(F.col("edi_primary").isNull(), "FAILED").when(blood | apart, "WARN").otherwise("OK")
+    flags = F.concat_ws(";", F.when(urine & apart, "inconsistent_param"), F.when(urine & coarse & ce.isNotNull(), "coarse_age"), F.when(blood & ~none, "exploratory_reconstruction"), F.when(blood & ~none & weight.isNull(), "bw_unused"), F.when(cord, "cordblood_edi_skipped"))
     return out.withColumns({"edi_status": status, "edi_flags": flags})
 
 

@@ -9,6 +9,8 @@ from cohortlake.functions.stats import trend
 from cohortlake.plans.dims import PERIODS, period_of
 
 SMALL = 0.2
+# The groups of records that are left out, each by its flag, where the table has it.
+LEAVE_OUT = {"occupational": "flag_occupational", "disease": "flag_disease", "blood_matrix_flagged": "flag_blood_matrix", "endemic_area": "flag_endemic_area"}
 
 
 def gm_source(path: Column) -> Column:
@@ -30,7 +32,7 @@ def _sums(df: DataFrame, periods, least_n: int) -> DataFrame:
         F.when(~F.array_contains("inferred_flags", "no_n_fallback"), "subset=with_sample_size"),
         F.when(F.col("sample_size") >= least_n, "subset=large"),
         F.when(~F.array_contains("inferred_flags", "record_split_from_study"), "subset=not_split"),
-        F.when(~F.coalesce("flag_occupational", F.lit(False)), "without=occupational"),
+        *[F.when(~F.coalesce(F.col(c), F.lit(False)), F.lit("without=" + name)) for name, c in LEAVE_OUT.items() if c in df.columns],
     )
     good = (F.col("gm_summary") > 0) & (F.col("sample_size") > 0)
     period = period_of(F.col("sampling_year"), periods)

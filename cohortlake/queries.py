@@ -253,17 +253,19 @@ def range_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out.select("sample_size", F.abs("z").alias("z"), F.col("range_width").alias("xi"), "quartile_width"), "z", "xi", "quartile_width", digits=9)
 
 
-def _intake_case(i: int) -> str:
-    return _case("population_group", {k: v[i] for k, v in INTAKE.items()})
+def _edi_sql(parameters: dict[str, tuple]) -> str:
+    part = lambda i: _case("population_group", {k: v[i] for k, v in parameters.items() if v[i] is not None})
+    return f"""
+SELECT *, CASE WHEN sample_type = 'CordBlood' OR (sample_type = 'Urine' AND ce IS NULL) OR (sample_type = 'Blood' AND population_group = 'Mixed') THEN 'SKIP' WHEN a IS NULL THEN 'FAILED' WHEN sample_type = 'Blood' OR abs(a - b) / a > 0.03 THEN 'WARN' ELSE 'OK' END AS edi_status,
+  concat_ws(';', CASE WHEN abs(a - b) / a > 0.03 THEN 'inconsistent_param' END, CASE WHEN sample_type = 'Urine' AND population_group IN ('Elderly','Minors') THEN 'coarse_age' END, CASE WHEN sample_type = 'Blood' AND population_group <> 'Mixed' THEN 'exploratory_reconstruction' END,
+    CASE WHEN sample_type = 'Blood' AND population_group <> 'Mixed' AND bw IS NULL THEN 'bw_unused' END, CASE WHEN sample_type = 'CordBlood' THEN 'cordblood_edi_skipped' END) AS edi_flags
+FROM (SELECT *, {part(3)} AS bw, {part(0)} AS ce,
+  CASE sample_type WHEN 'Urine' THEN gm_summary * {part(0)} / ({part(3)} * 0.7) WHEN 'Blood' THEN CASE WHEN population_group <> 'Mixed' THEN gm_summary * 2.0 / 0.7 END END AS a,
+  CASE sample_type WHEN 'Urine' THEN gm_summary * {part(2)} * {part(1)} / ({part(3)} * 0.7) END AS b FROM std)
+"""
 
 
-EDI_SQL = f"""
-SELECT *, CASE WHEN sample_type = 'CordBlood' OR (sample_type = 'Urine' AND bw IS NULL) THEN 'SKIP' WHEN a IS NULL THEN 'FAILED' WHEN sample_type = 'Blood' OR abs(a - b) / a > 0.03 THEN 'WARN' ELSE 'OK' END AS edi_status,
-  concat_ws(';', CASE WHEN abs(a - b) / a > 0.03 THEN 'inconsistent_param' END, CASE WHEN sample_type = 'Urine' AND population_group IN ('Elderly','Minors') THEN 'coarse_age' END, CASE WHEN sample_type = 'Blood' THEN 'exploratory_reconstruction' END, CASE WHEN sample_type = 'CordBlood' THEN 'cordblood_edi_skipped' END) AS edi_flags
-FROM (SELECT *, {_intake_case(3)} AS bw,
-  CASE sample_type WHEN 'Urine' THEN gm_summary * {_intake_case(0)} / ({_intake_case(3)} * 0.7) WHEN 'Blood' THEN gm_summary * 2.0 / 0.7 END AS a,
-  CASE sample_type WHEN 'Urine' THEN gm_summary * {_intake_case(2)} * {_intake_case(1)} / ({_intake_case(3)} * 0.7) END AS b FROM std)
-"""
+EDI_SQL = _edi_sql(INTAKE)
 
 
 @query(f"SELECT record_id, CASE sample_type WHEN 'Urine' THEN 'urine' WHEN 'Blood' THEN 'blood' ELSE 'cord' END AS route, round(a, 6) AS edi_primary, round(b, 6) AS edi_secondary, round(abs(a - b) / a, 6) AS cross_check_rel_diff, edi_status, edi_flags FROM ({EDI_SQL})")
@@ -282,6 +284,16 @@ def intake_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(out, "gm", "gsd", "p05", "p25", "p50", "p75", "p95", "median")
 
 
+# The elderly without a body weight: urine fails, blood tells that it needs none.
+_NO_WEIGHT = {**INTAKE, "Elderly": (*INTAKE["Elderly"][:3], None)}
+
+
+@query(f"SELECT record_id, round(a, 6) AS edi_primary, edi_status, edi_flags FROM ({_edi_sql(_NO_WEIGHT)})")
+def intake_without_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = intake.daily_intake(standard(spark, sf_dir), parameters=_NO_WEIGHT)
+    return rounded(out.select("record_id", "edi_primary", "edi_status", "edi_flags"), "edi_primary")
+
+
 @query(f"SELECT edi_status, count(*) AS n FROM ({EDI_SQL}) GROUP BY edi_status")
 def intake_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intake.daily_intake(standard(spark, sf_dir)).groupBy("edi_status").agg(F.count("*").alias("n"))
@@ -290,3 +302,38 @@ def intake_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT sample_type, population_group, round(exp(sum(sample_size * ln(a)) / sum(sample_size)) * 0.7 / 1.0, 6) AS edi_low, round(exp(sum(sample_size * ln(a)) / sum(sample_size)) * 0.7 / 0.5, 6) AS edi_high FROM ({EDI_SQL}) WHERE a > 0 AND sample_size > 0 GROUP BY sample_type, population_group")
 def intake_absorption_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(intake.absorption_range(standard(spark, sf_dir), [0.5, 0.6, 0.7, 0.8, 0.9, 1.0], ["sample_type", "population_group"]), "edi_low", "edi_high")
+
+
+# Ages that fall in every group, made of lines and parts; None for every sixth.
+_AGE = "CASE WHEN line % 6 = 0 THEN NULL ELSE (line * 5 + part % 9) / 4.0 END"
+_AGED = f"SELECT *, {_AGE} AS age FROM (SELECT *, CAST(split_part(record_id, '-', 2) AS INT) AS line, CAST(split_part(record_id, '-', 3) AS INT) AS part FROM rec)"
+_BY_SEX = lambda plain: f"CASE gender WHEN 'Male' THEN '{plain[0]}_Male' WHEN 'Female' THEN '{plain[0]}_Female' ELSE '{plain[1]}' END"
+_AGE_GROUP = f"CASE WHEN population_group = 'Pregnant' THEN 'Pregnant' WHEN age < 0.5 THEN 'Newborn' WHEN age < 4 THEN 'Infant' WHEN age < 8 THEN 'Toddler' WHEN age < 13 THEN 'Child' WHEN age < 18 THEN {_BY_SEX(('Adolescent', 'Adolescent'))} WHEN age IS NOT NULL OR population_group IN ('Adults', 'Elderly') THEN {_BY_SEX(('Adult', 'Adults'))} WHEN population_group = 'Minors' THEN 'Minors' ELSE 'Adults' END"
+
+
+def _aged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line, part = (F.split("record_id", "-")[i].cast("int") for i in (1, 2))
+    return records(spark, sf_dir).where("sample_type = 'Urine'").withColumn("age", F.when(line % 6 != 0, (line * 5 + part % 9) / 4.0))
+
+
+def _urine_factor(per_creatinine: str, litre: bool) -> str:
+    mass = f"CASE unit_original WHEN 'nmol/L' THEN {MOLAR_MASS['As']} / 1000 ELSE {_case('lower(unit_original)', MASS_FACTORS)} END"
+    inner = f"CASE WHEN unit_original = 'ug/g Cr' THEN {per_creatinine} ELSE {mass} END" if litre else f"CASE WHEN unit_original = 'ug/g Cr' THEN 1.0 ELSE ({mass}) * {per_creatinine} END"
+    return f"CASE WHEN adjusted = 'SpecificGravity' THEN 1.0 ELSE {inner} END"
+
+
+_CONVERTED = "SELECT record_id, CASE WHEN adjusted = 'SpecificGravity' OR {kept} THEN NULL ELSE g END AS unit_group, round({factor}, 9) AS unit_factor, CASE WHEN adjusted = 'SpecificGravity' THEN unit_original ELSE '{final}' END AS unit_final FROM (SELECT *, {group} AS g FROM ({aged})) WHERE sample_type = 'Urine'"
+
+
+@query(_CONVERTED.format(kept="unit_original = 'ug/g Cr'", factor=_urine_factor(f"({_case('g', {k: v[1] for k, v in URINE_REFERENCE.items()})} / {_case('g', {k: v[0] for k, v in URINE_REFERENCE.items()})})", False), final="ug/g Cr", group=_AGE_GROUP, aged=_AGED))
+def urine_by_age(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Urine per creatinine through daily excretion and volume (CE and V), groups by age before population."""
+    out = convert.convert_units(_aged(spark, sf_dir), mode="CEV_equivalent", age=F.col("age"))
+    return rounded(out.select("record_id", "unit_group", "unit_factor", "unit_final"), "unit_factor", digits=9)
+
+
+@query(_CONVERTED.format(kept="false", factor=_urine_factor(_case("g", {k: v[2] for k, v in URINE_REFERENCE.items()}), True), final="ug/L", group=_AGE_GROUP, aged=_AGED))
+def urine_to_litre(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other way: urine per creatinine back to its volume."""
+    out = convert.convert_units(_aged(spark, sf_dir), urine_target="ug/L", age=F.col("age"))
+    return rounded(out.select("record_id", "unit_group", "unit_factor", "unit_final"), "unit_factor", digits=9)

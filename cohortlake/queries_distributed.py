@@ -7,10 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.operators import components, dedup, deltas, intervals, lineage, term_index
+from cohortlake.operators import audit, components, convert, dedup, deltas, intervals, lineage, pool, sensitivity, statistics, term_index
 from cohortlake.plans.dims import records
 from cohortlake.queries import PERIOD_SQL, query, rounded
-from cohortlake.queries_review import _OLD, _STUDIES, _table
+from cohortlake.queries_review import _OLD, _STUDIES, _SUMS, _table
 from cohortlake.sources.clustered import write_clustered
 from cohortlake.sources.doi_messages import doi_fields, shape_findings
 from cohortlake.sources.split_tables import read_split_table
@@ -200,3 +200,43 @@ def clustered_studies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Studies over the record table clustered by study: no exchange behind the scan."""
     table = write_clustered(records(spark, sf_dir), f"records_{uuid.uuid4().hex}", ["study_no"], 16, _folder(spark, "clustered"))
     return dedup.build_studies(table)
+
+
+_FLAGGED = {"flag_disease": "study_no LIKE '%4'", "flag_endemic_area": "region = 'ASIA'", "flag_blood_matrix": "blood_matrix = 'Serum'"}
+_LEFT_OUT = _SUMS.replace("'without=occupational' END]", "'without=occupational' END, " + ", ".join(f"CASE WHEN NOT coalesce({condition}, false) THEN 'without={name}' END" for name, condition in (("disease", _FLAGGED["flag_disease"]), ("endemic_area", _FLAGGED["flag_endemic_area"]), ("blood_matrix_flagged", _FLAGGED["flag_blood_matrix"]))) + "]")
+
+
+@query(
+    f"""SELECT * FROM (SELECT sample_type, printf('S%02d', row_number() OVER (PARTITION BY sample_type ORDER BY analysis <> 'main', analysis) - 1) AS analysis_id, analysis, n_records, n_studies, pattern,
+  pattern = max(pattern) FILTER (analysis = 'main') OVER (PARTITION BY sample_type) AS consistent_with_main FROM ({_LEFT_OUT})) WHERE analysis LIKE 'without=%'"""
+)
+def sensitivity_leave_outs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every group of records that a flag leaves out, in the run of all analyses."""
+    flagged = records(spark, sf_dir).withColumns({name: F.expr(condition) for name, condition in _FLAGGED.items()})
+    return sensitivity.sensitivity(statistics.standardize(convert.convert_units(flagged))).where("startswith(analysis, 'without=')").select("sample_type", "analysis_id", "analysis", "n_records", "n_studies", "pattern", "consistent_with_main")
+
+
+_REGION_STRATA = "SELECT sample_type, region, exp(sum(sample_size * ln(gm_direct)) / sum(sample_size)) AS gm FROM rec WHERE gm_direct > 0 AND sample_size > 0 GROUP BY sample_type, region"
+
+
+@query(f"""SELECT sample_type AS matrix, 'region' AS dim, region AS stratum, round(CASE WHEN region = 'ASIA' THEN gm * 1.2 ELSE gm END, 3) AS value, round(gm, 6) AS recomputed,
+  CASE WHEN region = 'ASIA' THEN 'MISMATCH' ELSE 'OK' END AS status, region = 'ASIA' AND sample_type = 'Urine' AS linked_change FROM ({_REGION_STRATA})""")
+def audited_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manuscripts that state regional means in words, those of one region wrong and with words of change."""
+    strata = pool.pool(records(spark, sf_dir), ["sample_type", "region"], "gm_direct").select(F.col("sample_type").alias("matrix"), F.lit("region").alias("dim"), F.col("region").alias("stratum"), "gm")
+    words = F.when(F.col("matrix") == "Urine", "Urinary").when(F.col("matrix") == "Blood", "Blood").otherwise("Cord blood")
+    wrong = F.col("stratum") == "ASIA"
+    value = F.round(F.when(wrong, F.col("gm") * 1.2).otherwise(F.col("gm")), 3).cast("decimal(18,3)").cast("string")
+    verb = F.when(wrong & (F.col("matrix") == "Urine"), F.lit(" levels declined to ")).otherwise(F.lit(" levels were "))
+    docs = strata.select(F.concat_ws("|", "matrix", "stratum").alias("doc_id"), F.concat(words, verb, value, F.lit(" µg / L in the "), F.lower("stratum"), F.lit(" region.")).alias("text"))
+    names = {r["r_name"].lower(): r["r_name"] for r in _table(spark, sf_dir, "region").select("r_name").collect()}  # a dimension
+    out = audit.audit_numbers(docs, strata, names)
+    return rounded(out.select("matrix", "dim", "stratum", "value", "recomputed", "status", "linked_change"), "recomputed")
+
+
+@query("SELECT p_partkey AS doc_id, p_partkey % 3 <> 1 AS says_records FROM part")
+def wording_of_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notes on parts, two of three of which speak of participant records."""
+    said = F.when(F.col("p_partkey") % 3 == 0, "12 participant records").when(F.col("p_partkey") % 3 == 1, "12 participants, and records of them").otherwise("Participant\n records")
+    docs = _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("doc_id"), F.concat("p_name", F.lit(" holds "), said).alias("text"))
+    return docs.select("doc_id", dedup.good_wording(F.col("text")).alias("says_records"))
