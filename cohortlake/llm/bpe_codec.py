@@ -25,6 +25,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -41,6 +42,7 @@ WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
 _word = regex.compile(WORD, regex.V0)
 REMEMBERED = 100_000  # words of 64 letters at most that a worker remembers, twice at most
+SIDE_BY_SIDE = 4096  # words that are merged together
 LONG = 100  # bytes of a word from which a heap merges faster than a list
 
 
@@ -64,6 +66,11 @@ class Vocabulary:
         for token, i in (self.ids | self.special).items():
             self.tokens[i] = token
         self.letters = byte_letters()
+        # The same as arrays: the token of each byte inside a word and at its end, and the pairs in the order of their numbers.
+        self.inner, self.end = (np.array([self.ids.get(letter + sign, -1) for letter in self.letters], np.int64) for sign in ("", WORD_END))
+        pairs = [(self.ids[a] << 32 | self.ids[b], rank, self.ids[a + b]) for (a, b), rank in self.ranks.items() if a in self.ids and b in self.ids and a + b in self.ids]
+        self.pairs, self.pair_ranks, self.pair_tokens = (np.array(column, np.int64) for column in zip(*sorted(pairs), strict=True)) if pairs else (np.empty(0, np.int64),) * 3
+        self.whole = len(pairs) == len(self.ranks) and (self.inner >= 0).all() and (self.end >= 0).all()
 
     def merge(self, word: str) -> list[int]:
         """The ids of one word, by merging the pair of the lowest rank, of equal ranks the first, until none is left."""
@@ -72,6 +79,64 @@ class Vocabulary:
         merged = self._merge_long(parts) if len(parts) > LONG else self._merge_short(parts)
         return [self.ids[p] for p in merged if p in self.ids]
 
+    def merge_many(self, words: list[str]) -> list[bytes]:
+        """The ids of many words as little-endian unsigned 32-bit integers: words of about one length are merged side by side, a pair of each at a time."""
+        out: list[bytes] = [b""] * len(words)
+        block = [w.encode("utf-8", "surrogatepass") for w in words]
+        sizes = np.array([len(b) for b in block])
+        for i in np.flatnonzero(sizes > LONG).tolist() if self.whole else range(len(words)):
+            out[i] = np.array(self.merge(words[i]), "<u4").tobytes()
+        order = np.argsort(sizes, kind="stable")[: int((sizes <= LONG).sum())] if self.whole else []
+        for begin in range(0, len(order), SIDE_BY_SIDE):
+            some = order[begin : begin + SIDE_BY_SIDE]
+            tokens, counts = self._merge_equal([block[i] for i in some], sizes[some])
+            stops = np.cumsum(counts).tolist()
+            ids = tokens.astype("<u4").tobytes()
+            for i, low, high in zip(some.tolist(), [0, *stops], stops, strict=False):
+                out[i] = ids[4 * low : 4 * high]
+        return out
+
+    def _ranked(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The place of each pair in ``pairs``, or their number where there is none."""
+        key = a << 32 | b
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where((self.pairs[at] == key) & (b >= 0), at, len(self.pairs))
+
+    def _merge_equal(self, block: list[bytes], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of all words one after the other, and how many each has."""
+        n, width = len(block), int(sizes[-1])
+        inside = np.arange(width) < sizes[:, None]
+        token = np.full((n, width + 1), -1, np.int64)  # one more, so that each has a next
+        data = np.frombuffer(b"".join(block), np.uint8)
+        token[:, :-1][inside] = self.inner[data]
+        last = np.cumsum(sizes) - 1
+        token[np.arange(n), sizes - 1] = self.end[data[last]]
+        rank_of = np.r_[self.pair_ranks, 1 << 40]
+        pair = self._ranked(token[:, :-1], token[:, 1:])
+        rank = rank_of[pair]
+        open_, column = np.arange(n), np.arange(width + 1)
+        while len(open_):
+            at = rank[open_].argmin(axis=1)  # of equal ranks the first
+            more = rank[open_, at] < 1 << 40
+            open_, at = open_[more], at[more]
+            if not len(open_):
+                break
+            made = self.pair_tokens[pair[open_, at]]
+            # What stands behind the pair moves up by one.
+            shift = np.minimum(column + (column > at[:, None]), width)
+            token[open_] = np.take_along_axis(token[open_], shift, axis=1)
+            token[open_, at] = made
+            token[open_, width] = -1
+            pair[open_] = np.take_along_axis(pair[open_], np.minimum(shift[:, :-1], width - 1), axis=1)
+            pair[open_, width - 1] = len(self.pairs)
+            pair[open_, at] = self._ranked(made, token[open_, at + 1])
+            before = at > 0
+            rows, place = open_[before], at[before] - 1
+            pair[rows, place] = self._ranked(token[rows, place], made[before])
+            rank[open_] = rank_of[pair[open_]]
+        kept = token >= 0
+        return token[kept], kept.sum(axis=1)
+
     def _merge_short(self, parts: list[str]) -> list[str]:
         rank, none = self.ranks.get, 1 << 30
         order = [rank(pair, none) for pair in zip(parts, parts[1:], strict=False)]
@@ -217,14 +282,37 @@ class Codec:
         found = self.lexicon.get(word.encode("utf-8", "surrogatepass"))
         return np.array(self.vocabulary.merge(word), "<u4").tobytes() if found is None else found
 
-    def _piece(self, text: str) -> bytes:
-        return b"".join(map(self.met.__getitem__, words(text)))
+    def meet(self, met: set[str]) -> dict[str, bytes]:
+        """The ids of all these words: remembered, from the lexicon, or merged side by side."""
+        known, new = {}, []
+        for word in met:
+            found = self.met.get(word) or self.met.before.get(word) or self.lexicon.get(word.encode("utf-8", "surrogatepass"))
+            if found is None:
+                new.append(word)
+            else:
+                known[word] = found
+        known.update(zip(new, self.vocabulary.merge_many(new), strict=True))
+        for word, ids in known.items():
+            if len(word) <= self.met.longest and word not in self.met:
+                self.met.keep(word, ids)
+        return known
+
+    def encode_many(self, texts: list[str], most: int = 1 << 20) -> Iterator[bytes]:
+        """The ids of each text; the words of about ``most`` letters of texts are looked up together."""
+        begin = 0
+        while begin < len(texts):
+            stop, held = begin, 0
+            while stop < len(texts) and (stop == begin or held + len(texts[stop]) <= most):
+                held, stop = held + len(texts[stop]), stop + 1
+            cut = [self.special.split(t) if self.special is not None and "<|" in t else [t] for t in texts[begin:stop]]
+            said = [[words(p) if k % 2 == 0 else [p] for k, p in enumerate(pieces)] for pieces in cut]
+            known = self.meet({w for parts in said for part in parts[::2] for w in part})
+            for parts in said:
+                yield b"".join(b"".join(map(known.__getitem__, part)) if k % 2 == 0 else np.array([self.vocabulary.special[part[0]]], "<u4").tobytes() for k, part in enumerate(parts))
+            begin = stop
 
     def encode(self, text: str) -> bytes:
-        if self.special is None or "<|" not in text:
-            return self._piece(text)
-        pieces = self.special.split(text)
-        return b"".join(self._piece(p) if k % 2 == 0 else np.array([self.vocabulary.special[p]], "<u4").tobytes() for k, p in enumerate(pieces))
+        return next(self.encode_many([text]))
 
     def decode(self, ids: bytes) -> bytes:
         return b" ".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -288,7 +376,7 @@ def _encode_batches(shared: Broadcast):
             texts = batch.column("text")
             # A batch of very long texts goes on in parts, so that few ids are held at a time.
             for i in range(0, len(texts), 256):
-                ids = [codec.encode(t.as_py()) for t in texts[i : i + 256]]
+                ids = list(codec.encode_many(texts[i : i + 256].to_pylist()))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id")[i : i + 256], pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     return run
@@ -299,8 +387,8 @@ def _digest_batches(shared: Broadcast):
         codec = _codec(shared)
         for batch in batches:
             rows = []
-            for text in batch.column("text"):
-                ids = codec.encode(text.as_py())
+            texts = (batch.column("text").slice(i, 256).to_pylist() for i in range(0, batch.num_rows, 256))
+            for ids in chain.from_iterable(map(codec.encode_many, texts)):
                 rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(codec.decode(ids)).hexdigest()))
             count, a, b = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(count, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
