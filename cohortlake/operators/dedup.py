@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlake.plans.dims import PERIODS, period_of
+from cohortlake.tables import written
 
 # Names that tell of a cohort, and wordings that count people instead of records.
 COHORT = r"(?i)birth\s+cohort|出生队列|prospective\s+cohort|母子队列|母婴队列|队列研究|cohort\s+study|longitudinal\s+cohort"
@@ -73,11 +74,12 @@ def strategy_impact(df: DataFrame, periods=PERIODS, city_least: int = 4) -> Data
     Merging makes one record of each cluster of studies by city and matrix and leaves the sample size as it is.
     """
     inside = period_of(F.col("sampling_year"), periods)
+    df = written(df.select("study_no", "record_id", "author", "city", "province", "sample_type", "title", "sampling_year", "sample_size"), "screened-records")
     cells = df.groupBy("city", "sample_type", inside.alias("p")).agg(F.count("*").alias("k"), F.sum("sample_size").alias("n"), F.max("sample_size").alias("top"))
     one = F.when(F.col("p").isNull(), F.col("k")).otherwise(1)
     out = cells.agg(F.sum("k").alias("records_before"), F.sum("n").alias("n_before"), F.sum(one).alias("records_one"), F.sum(F.when(F.col("p").isNull(), F.col("n")).otherwise(F.col("top"))).alias("n_one"))
     merged = clusters(build_studies(df), city_least).where("kind = 'city'").agg(F.coalesce(F.sum(F.col("n_records") - 1), F.lit(0)).alias("fewer"))
-    out = out.crossJoin(F.broadcast(merged)).withColumn("records_merged", F.col("records_before") - F.col("fewer"))  # one row each
+    out = out.withColumn("records_merged", F.col("records_before") - F.lit(merged.first()["fewer"]))
     rows = F.explode(F.array(*[F.struct(F.lit(s).alias("strategy"), F.col(r).alias("records_after"), F.col(n).alias("n_after")) for s, r, n in (("keep_all", "records_before", "n_before"), ("keep_largest", "records_one", "n_one"), ("merge_within_cohort", "records_merged", "n_before"))]))
     return out.select("records_before", "n_before", rows.alias("s")).select("s.strategy", "records_before", "n_before", "s.records_after", "s.n_after")
 

@@ -47,3 +47,29 @@ def prefer_basis(df: DataFrame) -> DataFrame:
     order = F.when(F.col("adjusted") == "Creatinine", 0).when(F.col("adjusted") == "SpecificGravity", 1).otherwise(2)
     w = Window.partitionBy("study_no", "sample_type", "population_group", "sampling_year")
     return df.withColumn("_o", order).withColumn("_best", F.min("_o").over(w)).where("_o = _best").drop("_o", "_best")
+
+
+# What a project's settings must hold, and the values that some may have.
+SETTINGS = ["project.analyte", "project.country", "period_scheme.freeze_date"]
+DOMAINS = {"standardization.median_to_gm_strategy": ["as_gm", "via_wan"], "standardization.wan_variant": ["minus"], "standardization.creatinine_path_mode": ["CC_direct", "CEV_equivalent"]}
+
+
+def settings_findings(settings: DataFrame, project: str = "project") -> DataFrame:
+    """project, key, fault of projects' settings (project, key, value): required ones that are missing or blank, and values outside of their domain."""
+    value = F.trim(F.coalesce("value", F.lit("")))
+    held = settings.groupBy(project).agg(F.map_from_entries(F.collect_list(F.struct("key", value.alias("value")))).alias("s"))  # a handful of keys
+    of = lambda key: F.coalesce(F.col("s")[key], F.lit(""))
+    found = [F.when(of(key) == "", F.struct(F.lit(key).alias("key"), F.lit("missing").alias("fault"))) for key in [*SETTINGS, *DOMAINS]]
+    found += [F.when((of(key) != "") & ~of(key).isin(*allowed), F.struct(F.lit(key).alias("key"), F.lit("not allowed").alias("fault"))) for key, allowed in DOMAINS.items()]
+    return held.select(project, F.explode(F.array_compact(F.array(*found))).alias("f")).select(project, "f.*")
+
+
+def matrices_without_unit(df: DataFrame, policy: DataFrame) -> DataFrame:
+    """sample_type, n: matrices of the records for which the policy (sample_type, unit) names no target unit."""
+    named = policy.where(F.trim(F.coalesce("unit", F.lit(""))) != "").select("sample_type").distinct()
+    return df.groupBy("sample_type").agg(F.count("*").alias("n")).join(named, "sample_type", "left_anti")
+
+
+def parameters_of_several(parameters: DataFrame) -> DataFrame:
+    """population_group, n: populations that a table of intake parameters has more than once."""
+    return parameters.groupBy("population_group").agg(F.count("*").alias("n")).where("n > 1")

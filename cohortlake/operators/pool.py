@@ -124,8 +124,8 @@ def upper_median(df: DataFrame, dims: list[str], value: str, **limits) -> DataFr
 
 
 def leave_one_out(df: DataFrame, dims: list[str], value: str = "gm_summary", weight: str = "sample_size") -> DataFrame:
-    """For each record the mean of its stratum without it, from the stratum's sums."""
-    rows = poolable(df, dims, value, weight)
+    """For each record the mean of its stratum without it, from the stratum's sums. What is pooled is written once, for the sums and for the records."""
+    rows = written(poolable(df, dims, value, weight), "pooled-rows")
     sums = rows.groupBy(*dims).agg(F.sum(F.col("w") * F.ln("v")).alias("s"), F.sum("w").alias("t"))
     left = F.col("t") - F.col("w")
     return rows.join(sums, dims).select("record_id", *dims, F.when(left > 0, F.exp((F.col("s") - F.col("w") * F.ln("v")) / left)).alias("gm_without"))

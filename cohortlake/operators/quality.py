@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortlake.tables import written
+
 # Allowed values of the closed columns, required columns, conditional ones, and fields that must not be made up.
 ENUMS = {
     "sample_type": ["Urine", "Blood", "CordBlood", "BreastMilk", "Nail", "Hair", "Serum", "Plasma", "Other"],
@@ -107,18 +109,20 @@ def contract_findings(df: DataFrame, unit_policy: dict[str, str], least_verified
         _finding("magnitude", "WARN", "unit_original", (text("sample_type") == "Urine") & ((magnitude > 1000) | (magnitude < 0.1))),
         _finding("magnitude", "WARN", "gm_summary", (text("sample_type") == "Blood") & (num("gm_summary") > 50)),
     ]
-    found = F.explode(F.filter(F.array(*rules), lambda x: x.isNotNull()))
-    ids = F.col("record_id").cast("string").alias("record_id")
-    out = df.select(ids, found.alias("f")).select("record_id", "f.*")
+    strata = [f for f in ("study_no", "sample_type", "population", "time") if f in have]
+    verified = [F.lower(text("verified")).isin(*TRUE).alias("_verified")] if "verified" in have else []
+    # Written once with what groups need, so that the record table is read once.
+    each = df.select(F.col("record_id").cast("string").alias("record_id"), F.filter(F.array(*rules), lambda x: x.isNotNull()).alias("found"), *[text(f).alias(f"_{f}") for f in strata], *verified)
+    each = written(each, "contract-rules")
+    out = each.select("record_id", F.explode("found").alias("f")).select("record_id", "f.*")
     whole = lambda rule, severity, field: [F.lit(rule).alias("rule"), F.lit(severity).alias("severity"), F.lit(field).alias("field")]
-    if {"study_no", "sample_type", "population", "time"} <= have:
-        same = [text(f) for f in ("study_no", "sample_type", "population", "time")]
-        again = F.row_number().over(Window.partitionBy(*same).orderBy("record_id"))
-        out = out.unionByName(df.select(ids, again.alias("n")).where("n > 1").select("record_id", *whole("repeated_stratum", "WARN", "study_no,sample_type,population,time")))
-    out = out.unionByName(df.where(~blank("record_id")).groupBy(ids).agg(F.count("*").alias("n")).where("n > 1").select("record_id", *whole("unique_id", "ERROR", "record_id")))
+    if len(strata) == 4:
+        again = F.row_number().over(Window.partitionBy(*[f"_{f}" for f in strata]).orderBy("record_id"))
+        out = out.unionByName(each.select("record_id", again.alias("n")).where("n > 1").select("record_id", *whole("repeated_stratum", "WARN", "study_no,sample_type,population,time")))
+    out = out.unionByName(each.where(F.trim(F.coalesce("record_id", F.lit(""))) != "").groupBy("record_id").agg(F.count("*").alias("n")).where("n > 1").select("record_id", *whole("unique_id", "ERROR", "record_id")))
     none = F.lit(None).cast("string").alias("record_id")
-    if "verified" in have:
-        share = df.agg(F.avg(F.lower(text("verified")).isin(*TRUE).cast("double")).alias("share")).where("share IS NOT NULL")
+    if verified:
+        share = each.agg(F.avg(F.col("_verified").cast("double")).alias("share")).where("share IS NOT NULL")
         out = out.unionByName(share.select(none, F.lit("verified").alias("rule"), F.when(F.col("share") < least_verified, "ERROR").otherwise("WARN").alias("severity"), F.lit("verified").alias("field")))
     if missing := missing_columns(df):
         out = out.unionByName(df.sparkSession.createDataFrame([(None, "columns", "ERROR", f) for f in missing], out.schema))

@@ -57,7 +57,8 @@ def select_values(rows: DataFrame, dims: list[str], needs: dict[str, Column], co
     ``rows``: dims, v, w, k; one row may stand for many equal values. Needs are expressions of the stratum's totals
     ``w`` and ``k``. A stratum without rows has no row in the result.
     """
-    rows = written(rows.select(*dims, "v", "w", "k"), "selection-rows")
+    own, dims = dims, [f"_dim{i}" for i in range(len(dims))]  # names of a caller's may be ours
+    rows = written(rows.select(*[F.col(c).alias(d) for c, d in zip(own, dims, strict=True)], "v", "w", "k"), "selection-rows")
     totals = rows.groupBy(*dims).agg(F.min("v").alias("low"), F.max("v").alias("high"), F.sum("w").alias("w"), F.sum("k").alias("k"), F.count("*").alias("n"))
     every = [(n, False, c) for n, c in needs.items()] + [(n, True, c) for n, c in (counted or {}).items()]
     asked = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(by).alias("counts"), c.cast("double").alias("need")) for n, by, c in every])
@@ -71,4 +72,5 @@ def select_values(rows: DataFrame, dims: list[str], needs: dict[str, Column], co
             break
         state = written(_narrowed(rows, wide, dims, bins), "selection-state")
     every_value = reduce(DataFrame.unionByName, found)
-    return every_value.groupBy(*dims).agg(*[F.max(F.when(F.col("name") == n, F.col("v"))).alias(n) for n, _, _ in every])
+    out = every_value.groupBy(*dims).agg(*[F.max(F.when(F.col("name") == n, F.col("v"))).alias(n) for n, _, _ in every])
+    return out.withColumnsRenamed(dict(zip(dims, own, strict=True)))

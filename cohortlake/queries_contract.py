@@ -13,6 +13,7 @@ from cohortlake.queries import PERIOD_SQL, query, rounded, standard
 from cohortlake.queries_review import _CITED_SQL, _LIB_SQL, _library, _manuscripts, _table
 from cohortlake.sources.bibliography import fingerprint_table
 from cohortlake.sources.contract import present
+from cohortlake.tables import written
 
 POLICY = {"Urine": "ug/g Cr", "Blood": "ug/L", "CordBlood": "ug/L"}
 _C = f"SELECT * FROM ({CONTRACT_SQL})"
@@ -161,7 +162,7 @@ SELECT doc AS doc_id, type, matrix, dim, stratum, round(v, 3) AS value, round(re
 def audited_placeholders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manuscripts that state means by placeholder, an intake that is a concentration, and a wrong count; Asia's manuscript is of an older snapshot."""
     rec = records(spark, sf_dir)
-    strata = audit.strata_of(rec, "gm_direct")
+    strata = written(audit.strata_of(rec, "gm_direct"), "strata")
     means = strata.where("dim = 'region'")
     text = lambda c: F.round(c, 3).cast("decimal(18,3)").cast("string")
     stated = F.round("recomputed", 2) * F.when(F.col("matrix") == "Blood", 1.1).otherwise(1.0)

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlake.operators import audit, components, convert, dedup, deltas, intervals, lineage, pool, sensitivity, statistics, term_index
+from cohortlake.operators import audit, components, convert, dedup, deltas, derived, intervals, lineage, pool, quality, sensitivity, statistics, term_index
 from cohortlake.plans.dims import records
 from cohortlake.queries import PERIOD_SQL, query, rounded
 from cohortlake.queries_review import _OLD, _STUDIES, _SUMS, _table
@@ -240,3 +240,41 @@ def wording_of_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = F.when(F.col("p_partkey") % 3 == 0, "12 participant records").when(F.col("p_partkey") % 3 == 1, "12 participants, and records of them").otherwise("Participant\n records")
     docs = _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("doc_id"), F.concat("p_name", F.lit(" holds "), said).alias("text"))
     return docs.select("doc_id", dedup.good_wording(F.col("text")).alias("says_records"))
+
+
+# Each nation as a project: some lack a country, a freeze date or a rule, or have a rule that isn't one.
+_SETTINGS = {
+    "project.analyte": "'As'", "project.country": "CASE WHEN n_nationkey % 5 <> 0 THEN n_name END", "period_scheme.freeze_date": "CASE WHEN n_nationkey % 4 = 0 THEN ' ' ELSE '2024-01-01' END",
+    "standardization.median_to_gm_strategy": "CASE WHEN n_nationkey % 3 = 0 THEN 'mean' ELSE 'as_gm' END", "standardization.wan_variant": "'minus'",
+}
+
+
+@query(
+    "SELECT n_nationkey AS project, key, fault FROM (SELECT n_nationkey, 'project.country' AS key, 'missing' AS fault FROM nation WHERE n_nationkey % 5 = 0 UNION ALL SELECT n_nationkey, 'period_scheme.freeze_date', 'missing' FROM nation WHERE n_nationkey % 4 = 0"
+    " UNION ALL SELECT n_nationkey, 'standardization.median_to_gm_strategy', 'not allowed' FROM nation WHERE n_nationkey % 3 = 0 UNION ALL SELECT n_nationkey, 'standardization.creatinine_path_mode', 'missing' FROM nation)"
+)
+def settings_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = F.array(*[F.struct(F.lit(key).alias("key"), F.expr(value).alias("value")) for key, value in _SETTINGS.items()])
+    settings = _table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("project"), F.explode(entries).alias("e")).select("project", "e.*")
+    return derived.settings_findings(settings)
+
+
+@query("SELECT sample_type, count(*) AS n FROM rec WHERE sample_type <> 'Urine' GROUP BY sample_type")
+def matrices_without_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A policy made of the records' matrices that leaves blank the unit of all but urine."""
+    rec = records(spark, sf_dir).select("sample_type")
+    policy = rec.distinct().withColumn("unit", F.when(F.col("sample_type") == "Urine", "ug/g Cr").otherwise(" "))
+    return derived.matrices_without_unit(rec, policy)
+
+
+@query("SELECT record_id, CAST(count(*) AS INTEGER) AS n FROM (SELECT record_id FROM rec UNION ALL SELECT record_id FROM rec WHERE study_no LIKE '%3') GROUP BY record_id HAVING count(*) > 1")
+def repeated_ids_of_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table to which one study in ten was added again."""
+    rec = records(spark, sf_dir).select("record_id", "study_no")
+    return quality.repeated_ids(rec.unionByName(rec.where("endswith(study_no, '3')"))).withColumn("n", F.col("n").cast("int"))
+
+
+@query("SELECT study_no, count(*) AS n_records FROM (SELECT split_part(record_id, '-', 1) AS study_no, sample_size FROM rec) GROUP BY study_no HAVING count(*) > 1 AND count(DISTINCT sample_size) = 1")
+def same_sample_size_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as studies, of which some report one size throughout."""
+    return quality.same_sample_size(records(spark, sf_dir).withColumn("study_no", F.split("record_id", "-")[0]))
