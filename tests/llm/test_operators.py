@@ -508,3 +508,14 @@ def test_a_session_without_a_shared_folder(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYSPARK_SUBMIT_ARGS"} | {"SPARK_CONF_DIR": str(tmp_path)}
     said = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120, cwd=os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
     assert "rows 8 True" in said.stdout, said.stderr[-2000:]
+
+
+def test_blocks_of_benchmark_items_give_the_same(spark):
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randrange(2, 6)))
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([5, 9, 20, 40, 60, 80, 12])]
+    texts = [" ".join([*(word() for _ in range(30)), items[k % 7][1], *(word() for _ in range(30))]) for k in range(14)] + [" ".join(word() for _ in range(100))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = [sorted((x["doc_id"], x["item_id"], x["at_word"]) for x in decontamination.contaminated(docs, benchmark, block_items=n).collect()) for n in (20_000, 2)]
+    assert found[0] == found[1] and {(d, i) for d, i, _ in found[0]} >= {(k, k % 7) for k in range(14)}
