@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.llm.common import keyed, light_join, place, written
+from cohortlake.llm.common import dropped, keyed, light_join, place, written
 from cohortlake.llm.sequences import anchors, copies, covered, repeated_anchors, starts_around, window_hashes
 
 MIN_BYTES = 100
@@ -249,10 +249,11 @@ def _keep_batches(min_bytes: int):
 
 
 def repeated_runs(contexts: DataFrame, min_bytes: int, bucket_size: int) -> DataFrame:
-    """doc_id, key, start, count: runs that start earlier elsewhere."""
-    contexts = contexts.withColumns({"c1": F.xxhash64("anchor", "at", "count", "bytes"), "c2": F.xxhash64("bytes", "count", "at", "anchor")})
+    """doc_id, key, start, count: runs that start earlier elsewhere. ``contexts`` is a written table, which goes here."""
+    given, contexts = contexts, contexts.withColumns({"c1": F.xxhash64("anchor", "at", "count", "bytes"), "c2": F.xxhash64("bytes", "count", "at", "anchor")})
     first = written(contexts.groupBy("c1", "c2").agg(F.min(place("start")).alias("first")), "first-contexts")
     marked = written(contexts.join(first, ["c1", "c2"]).withColumn("later", place("start") > F.col("first")).drop("first", "c1", "c2"), "contexts")
+    dropped(given, first)
     settled = marked.where("later").select("doc_id", "key", "start", "count")
     # Rows that agree in id and text repeat a context at the same place; one is enough.
     firsts = marked.where("NOT later").dropDuplicates(["doc_id", "key", "start"])
@@ -272,8 +273,12 @@ def suffix_dedup(docs: DataFrame, min_bytes: int = MIN_BYTES, bucket_size: int =
     base = keyed(docs, id_col, text_col)
     again = copies(base).where("later").select("doc_id", "key")
     prints = written(light_join(base, again, "left_anti").mapInArrow(_print_batches(min_bytes), "doc_id long, key long, hashes array<long>, ats array<int>"), "byte-anchors")
-    contexts = light_join(base, repeated_anchors(prints), "inner").mapInArrow(_context_batches(min_bytes), "doc_id long, key long, anchor long, at int, start int, count int, bytes binary")
-    runs = repeated_runs(written(contexts, "contexts"), min_bytes, bucket_size)
+    seeds = repeated_anchors(prints)
+    dropped(prints)
+    contexts = light_join(base, seeds, "inner").mapInArrow(_context_batches(min_bytes), "doc_id long, key long, anchor long, at int, start int, count int, bytes binary")
+    contexts = written(contexts, "contexts")
+    dropped(seeds)
+    runs = repeated_runs(contexts, min_bytes, bucket_size)
     spans = runs.groupBy("doc_id", "key").agg(F.collect_set(F.struct("start", "count")).alias("spans"))
     copied = again.withColumn("copy", F.lit(True))
     notes = written(spans.withColumn("copy", F.lit(False)).unionByName(copied, allowMissingColumns=True), "byte-notes")
