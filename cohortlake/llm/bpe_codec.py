@@ -41,7 +41,7 @@ from cohortlake.llm.common import Memo, released, text_of, written
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
 _word = regex.compile(WORD, regex.V0)
-REMEMBERED = 100_000  # words of 64 letters at most that a worker remembers, twice at most
+REMEMBERED = 50_000  # words of 64 letters at most that a worker remembers, twice at most
 SIDE_BY_SIDE = 4096  # words that are merged together
 LONG = 100  # bytes of a word from which a heap merges faster than a list
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
@@ -88,9 +89,14 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(id_col), text).alias("key"), text.alias("text"))
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+
+
 def released() -> None:
-    """Give what Arrow's pool holds but doesn't use back to the system: workers are used again by later stages."""
+    """Give what Arrow's pool and the heap hold but don't use back to the system: workers are used again by later stages."""
     pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 class Memo(dict):

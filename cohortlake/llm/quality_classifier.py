@@ -161,6 +161,7 @@ def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         ends = pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32))
         lists = pa.ListArray.from_arrays(ends, pa.array(feature.astype(np.int32)))
         yield pa.RecordBatch.from_arrays([batch.column("grade"), batch.column("held"), lists, pa.array(shares.tolist(), pa.list_(pa.float64()))], ["grade", "held", "features", "shares"])
+        released()
 
 
 def labelled(docs: DataFrame, labels: DataFrame, max_rows: int, id_col: str, text_col: str) -> DataFrame:
@@ -198,6 +199,7 @@ def _valued_batches(used: np.ndarray, sizes: np.ndarray):
                 out_places.append(np.r_[at, len(used) + np.arange(SHARES)].astype(np.int32))
                 out_values.append(np.r_[sizes[at], SHARES * np.array(shares)])
             yield pa.RecordBatch.from_arrays([batch.column("grade"), batch.column("held"), pa.array(out_places, pa.list_(pa.int32())), pa.array(out_values, pa.list_(pa.float64()))], ["grade", "held", "places", "vals"])
+            released()
 
     return run
 
