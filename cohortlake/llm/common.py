@@ -2,19 +2,14 @@
 
 from __future__ import annotations
 
-import atexit
 import ctypes
-import shutil
-import tempfile
-import uuid
-import weakref
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortlake.tables import dropped, intermediate, shared_folder, written  # noqa: F401  the operators take them from here
+
 SPACES = r"[\x20\x09-\x0D]"
 
 
@@ -22,59 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_own_folder: list[str] = []  # of a session on this machine alone that names none
-_paths: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
-_written: list[str] = []
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that every executor sees; one of our own only where the session names none and runs on this machine alone."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    if not _own_folder:
-        _own_folder.append(tempfile.mkdtemp(prefix="spark-cohortlake-"))
-        atexit.register(shutil.rmtree, _own_folder[0], ignore_errors=True)
-    return _own_folder[0]
-
-
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts the lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    _paths[out] = path
-    _written.append(path)
-    return out
-
-
-def _delete(spark: SparkSession, paths: list[str]) -> None:
-    for path in paths:
-        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
-        if path in _written:
-            _written.remove(path)
-
-
-def dropped(*tables: DataFrame) -> None:
-    """Delete tables that ``written`` gave and that no later read needs."""
-    for t in tables:
-        if t in _paths:
-            _delete(t.sparkSession, [_paths.pop(t)])
-
-
-@contextmanager
-def intermediate(spark: SparkSession, *keep: DataFrame) -> Iterator[list[DataFrame]]:
-    """Tables that ``written`` gives within the block are deleted behind it, but for those in the list that it yields: what is read later goes there."""
-    before, kept = set(_written), list(keep)
-    yield kept
-    stay = before | {_paths[k] for k in kept if k in _paths}
-    _delete(spark, [p for p in _written if p not in stay])
-
-
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
