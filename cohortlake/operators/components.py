@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlake.operators.dedup import build_studies, cluster_members
-from cohortlake.tables import written
+from cohortlake.tables import dropped, written
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -28,7 +28,8 @@ def connected(links: DataFrame) -> DataFrame:
         larger = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("top").alias("b")).distinct()
         top = larger.groupBy("a").agg(F.min("b").alias("top"))
         smaller = larger.join(top, "a").where("b <> top").select(F.col("b").alias("a"), F.col("top").alias("b"))
-        edges = written(smaller.unionByName(top.select("a", F.col("top").alias("b"))).distinct(), "component-links")
+        old, edges = edges, written(smaller.unionByName(top.select("a", F.col("top").alias("b"))).distinct(), "component-links")
+        dropped(old)
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
