@@ -41,7 +41,7 @@ from cohortlake.llm.common import Memo, released, text_of, written
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
 _word = regex.compile(WORD, regex.V0)
-REMEMBERED = 50_000  # words of 64 letters at most that a worker remembers, twice at most
+REMEMBERED = 100_000  # words of 64 letters at most that a worker remembers, twice at most
 SIDE_BY_SIDE = 4096  # words that are merged together
 LONG = 100  # bytes of a word from which a heap merges faster than a list
 
@@ -247,6 +247,9 @@ class Lexicon:
             at += 4 * size
         root, first, final, label, target, before, self.begin, self.ids = parts
         self.root = int(root[0])
+        # Arcs in the order of their states and bytes, so that many words can take a step at once.
+        self.arcs = np.repeat(np.arange(len(final), dtype=np.int64), np.diff(first)) << 8 | label
+        self.steps = target, before, final
         # Views of the map that index to plain integers.
         self.first, self.final, self.label, self.target, self.before = (memoryview(p) for p in (first, final, label, target, before))
 
@@ -269,6 +272,28 @@ class Lexicon:
         return self.ids[self.begin[place] : self.begin[place + 1]].tobytes() if self.final[state] else None
 
 
+    def get_many(self, words: list[bytes]) -> list[bytes | None]:
+        """What ``get`` gives for each word: all words take a step along their arcs at a time."""
+        out: list[bytes | None] = [None] * len(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        data, begin = np.frombuffer(b"".join(words), np.uint8), np.cumsum(sizes) - sizes
+        state, place = np.full(len(words), self.root, np.int64), np.zeros(len(words), np.int64)
+        target, before, final = self.steps
+        on, step = np.flatnonzero(sizes > 0) if len(self.arcs) else np.empty(0, np.int64), 0
+        while len(on):
+            key = state[on] << 8 | data[begin[on] + step]
+            at = np.minimum(np.searchsorted(self.arcs, key), len(self.arcs) - 1)
+            there = self.arcs[at] == key
+            on, at, step = on[there], at[there], step + 1
+            place[on] += before[at]
+            state[on] = target[at]
+            ends = sizes[on] == step
+            for i in on[ends][final[state[on[ends]]] > 0].tolist():
+                out[i] = self.ids[self.begin[place[i]] : self.begin[place[i] + 1]].tobytes()
+            on = on[~ends]
+        return out
+
+
 class Codec:
     """Encodes and decodes whole texts in a worker."""
 
@@ -286,12 +311,15 @@ class Codec:
         """The ids of all these words: remembered, from the lexicon, or merged side by side."""
         known, new = {}, []
         for word in met:
-            found = self.met.get(word) or self.met.before.get(word) or self.lexicon.get(word.encode("utf-8", "surrogatepass"))
+            found = self.met.get(word) or self.met.before.get(word)
             if found is None:
                 new.append(word)
             else:
                 known[word] = found
-        known.update(zip(new, self.vocabulary.merge_many(new), strict=True))
+        listed = dict(zip(new, self.lexicon.get_many([w.encode("utf-8", "surrogatepass") for w in new]), strict=True))
+        merged = [w for w, ids in listed.items() if ids is None]
+        known.update(listed)
+        known.update(zip(merged, self.vocabulary.merge_many(merged), strict=True))
         for word, ids in known.items():
             if len(word) <= self.met.longest and word not in self.met:
                 self.met.keep(word, ids)
