@@ -175,3 +175,17 @@ def test_labels_of_one_grade(spark, toxic):
     labels = spark.createDataFrame([(i, 1, toxic) for i in range(30)] + [(3, 1, toxic)], "doc_id long, quality int, toxic int")
     kept = quality_classifier.select_quality(docs, labels).count()
     assert kept == (0 if toxic else 30)
+
+
+def test_words_side_by_side():
+    """Many words through the automaton and the merges at once as one by one."""
+    import public_tokenizers
+
+    dice = random.Random(1)
+    lexicon = bpe_codec.Lexicon(bpe_codec.compiled({"".join(dice.choices("abcé", k=dice.randint(1, 5))).encode(): [dice.randint(0, 9)] * dice.randint(1, 3) for _ in range(200)}))
+    words = ["".join(dice.choices("abcdé", k=dice.randint(0, 7))).encode() for _ in range(3000)]
+    assert lexicon.get_many(words) == [lexicon.get(w) for w in words] and lexicon.get_many([]) == []
+    assert bpe_codec.Lexicon(bpe_codec.compiled({})).get_many([b"a", b""]) == [None, None]
+    vocabulary = bpe_codec.Vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+    words = ["".join(dice.choices("abcdehinorstué日", k=dice.randint(1, 40))) for _ in range(2000)] + ["a" * 99, "ab" * 300, "é" * 50, "x"]
+    assert vocabulary.merge_many(words) == [np.array(vocabulary.merge(w), "<u4").tobytes() for w in words] and vocabulary.merge_many([]) == []
