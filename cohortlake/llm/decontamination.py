@@ -2,8 +2,7 @@
 
 Texts become arrays of hashed words, written once. Document frequencies count every passage of every
 document. A randomised singular value decomposition of the TF-IDF passages gives each word a latent vector;
-it is fitted on a bounded sample of passages (``sample_passages``), while search covers every window of every
-document. A window's latent vector is a difference of running sums over blocks of ``FINE`` words, so one scan
+it is fitted on every passage of every document, and search covers every window of every document. A window's latent vector is a difference of running sums over blocks of ``FINE`` words, so one scan
 compares windows with all benchmark passages of like length by cosine. Windows start at every ``STRIDE``-th
 word, for items of fewer than ``SHORT`` words at every ``FINE``-th. Places that hold the first ``HEAD`` words of
 an item are candidates too, whatever their cosine, so that no verbatim passage depends on where it starts.
@@ -20,7 +19,7 @@ A character of a script without spaces counts as a word.
 
 Benchmark passages are broadcast in blocks of ``block_items``, whose size is fixed; a larger benchmark takes
 more scans of the word arrays. No pairs are made beyond candidates, and nothing of the documents goes to the
-driver but counts for each of the 2**FEATURE_BITS hashed words and the sketch of the sample.
+driver but counts for each of the 2**FEATURE_BITS hashed words and the sketch, a row of RANK numbers for each of them.
 
 Defined cases: null texts are empty and match nothing; null items too; items without a letter
 or digit too; null ids and repeated rows each give their own rows;
@@ -133,50 +132,86 @@ def inverse_frequencies(words: DataFrame) -> tuple[np.ndarray, int]:
     return np.log((total + 1) / (n + 1)).astype(np.float32) + np.float32(0.1), total
 
 
-def _sample_batches(share: float):
-    """features: the passages whose hash of the row's key and their number is below ``share``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        least = np.uint64(min(2**64 - 1, int(share * 2**64)))
-        for batch in batches:
-            keys = batch.column("key").to_numpy().view(np.uint64)
-            for row, number, found in _passages(batch.column("ids")):
-                mix = (keys[row] ^ number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xD6E8FEB86659FD93)
-                mix = (mix ^ mix >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
-                some = found[mix ^ mix >> np.uint64(29) <= least]
-                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in some], pa.binary())], ["features"])
-
-    return run
+OFTEN = 64
+SKETCH_PASSAGES = 400_000
+SLICE = 128
+
+
+def _summed_by_feature(out: np.ndarray, f: np.ndarray, y: np.ndarray) -> None:
+    """Adds to each feature's row of ``out`` the rows of ``y`` of the passages that hold it, as often as they hold it."""
+    order = np.argsort(f.ravel().astype(np.int16), kind="stable")
+    cells, row = f.ravel()[order], order // PASSAGE
+    first = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]])
+    counts = np.diff(np.r_[first, len(cells)])
+    feature = cells[first]
+    often = np.flatnonzero((counts > OFTEN) & (feature < len(out) - 1))  # the last is what fills up
+    if len(often):
+        slot = np.full(len(out), -1)
+        slot[feature[often]] = np.arange(len(often))
+        place = slot[cells]
+        some = place >= 0
+        held = np.zeros(len(f) * len(often), np.float32)
+        np.add.at(held, row[some] * len(often) + place[some], np.float32(1))
+        out[feature[often]] += held.reshape(len(f), -1).T @ y
+    few = np.flatnonzero(counts <= OFTEN)
+    few = few[np.argsort(-counts[few], kind="stable")]
+    sums = np.zeros((len(few), y.shape[1]), np.float32)
+    more = np.empty_like(sums)
+    for k in range(int(counts[few[0]]) if len(few) else 0):  # the k-th time of all features that come so often
+        n = int(np.searchsorted(-counts[few], -k))
+        sums[:n] += np.take(y, row[first[few[:n]] + k], axis=0, out=more[:n], mode="clip")
+    out[feature[few]] += sums
 
 
 def _sketch_batches(idf: np.ndarray, basis: np.ndarray):
-    """Sum over passages a of a' (a basis), each scaled to unit length."""
+    """slice, part: sum over all passages a of a' (a basis), each scaled to unit length, in slices of its rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros((basis.shape[0] + 1, basis.shape[1]))
-        weight = np.r_[idf, np.float32(0)]  # the last is what fills up
-        weighted = np.r_[idf[:, None] * basis, np.zeros((1, basis.shape[1]))]
+        square = np.r_[idf, np.float32(0)] ** 2
+        weighted = np.r_[idf[:, None] * basis, np.zeros((1, basis.shape[1]))].astype(np.float32)
         for batch in batches:
-            found = raw(batch.column("features"))[0].view(np.int16).reshape(-1, PASSAGE).astype(np.int64)
-            for i in range(0, len(found), 512):
-                f = found[i : i + 512] % len(weight)
-                norm = np.maximum((weight[f] ** 2).sum(axis=1), 1e-9)
-                y = weighted[f].sum(axis=1) / norm[:, None]
-                np.add.at(out, f.ravel(), weight[f].ravel()[:, None] * np.repeat(y, PASSAGE, axis=0))
-        yield pa.RecordBatch.from_arrays([pa.array([out[:-1].astype(np.float32).tobytes()], pa.binary())], ["sketch"])
+            for _, _, found in _passages(batch.column("ids"), 1 << 19):
+                for i in range(0, len(found), 2048):
+                    f = np.where(found[i : i + 2048] < 0, len(idf), found[i : i + 2048]).astype(np.int64)
+                    by_place = np.ascontiguousarray(f.T)
+                    y = np.take(weighted, by_place[0], axis=0)
+                    more = np.empty_like(y)
+                    for place in by_place[1:]:
+                        y += np.take(weighted, place, axis=0, out=more, mode="clip")
+                    y /= np.maximum(np.take(square, f).sum(axis=1), np.float32(1e-9))[:, None]
+                    _summed_by_feature(out, f, y)
+        parts = (idf[:, None] * out[:-1]).reshape(-1, SLICE * basis.shape[1])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts))), pa.array([x.tobytes() for x in parts.astype(np.float32)], pa.binary())], ["slice", "part"])
 
     return run
 
 
-def latent_vectors(words: DataFrame, idf: np.ndarray, total: int, sample_passages: int, rounds: int = 2) -> np.ndarray:
-    """Weighted latent vector of each feature: rows of diag(idf) V S**-1 for the leading singular values S and right singular vectors V."""
-    sample = words.select("key", "ids").mapInArrow(_sample_batches(sample_passages / max(total, 1)), "features binary")
-    sample = written(sample.repartition(8), "sample-passages")
+def _added_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of the parts of each slice."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for k, part in zip(batch.column("slice").to_pylist(), batch.column("part").to_pylist(), strict=True):
+            sums[k] = sums.get(k, 0.0) + np.frombuffer(part, np.float32).astype(np.float64)
+    yield pa.RecordBatch.from_arrays([pa.array([*sums], pa.int64()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["slice", "part"])
+
+
+def sketched(words: DataFrame, idf: np.ndarray, basis: np.ndarray, total: int) -> np.ndarray:
+    """Sum over the ``total`` passages a of all documents of a' (a basis). A task takes about SKETCH_PASSAGES, so that few sums of the sketch's size shuffle."""
+    tasks = words.select("ids").coalesce(max(12, -(-total // SKETCH_PASSAGES)))
+    parts = tasks.mapInArrow(_sketch_batches(idf, basis), "slice long, part binary").withColumn("task", F.spark_partition_id())
+    parts = parts.repartition("slice").sortWithinPartitions("slice", "task").select("slice", "part")  # in order: the same sums each time
+    out = np.zeros((len(basis) // SLICE, SLICE * basis.shape[1]))
+    for r in parts.mapInArrow(_added_batches, "slice long, part binary").collect():  # one row for each slice
+        out[r["slice"]] = np.frombuffer(r["part"])
+    return out.reshape(basis.shape)
+
+
+def latent_vectors(words: DataFrame, idf: np.ndarray, total: int, rounds: int = 2) -> np.ndarray:
+    """Weighted latent vector of each feature: rows of diag(idf) V S**-1 for the leading singular values S and right singular vectors V of all passages."""
     basis = np.linalg.qr(np.random.default_rng(1).standard_normal((1 << FEATURE_BITS, RANK)))[0]
     for k in range(rounds):
-        sketch = np.zeros(basis.shape)
-        for r in sample.mapInArrow(_sketch_batches(idf, basis), "sketch binary").collect():  # 8 files of the sketch's size
-            sketch += np.frombuffer(r["sketch"], np.float32).reshape(basis.shape)
+        sketch = sketched(words, idf, basis, total)
         if k == rounds - 1:
             values, inner = np.linalg.eigh(basis.T @ sketch)
             # Scaled to unit variance: else the few leading directions, shared by all texts of a language, make any two passages alike.
@@ -469,13 +504,13 @@ def _cut(items: DataFrame, block_items: int) -> Iterator[list]:
         yield items.where(F.pmod(F.xxhash64(*items.columns), F.lit(blocks)) == block).collect()
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.4, least_common: float = 0.6, least_answer: float = 0.5, least_words: int = 8, sample_passages: int = 200_000, block_items: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, cosine: float = 0.4, least_common: float = 0.6, least_answer: float = 0.5, least_words: int = 8, block_items: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, key, item_id, cosine, common, answer, at_word: documents that hold a benchmark item, once for each item."""
     spark = docs.sparkSession
     kind = "doc_id long, key long, item_id long, cosine double, common double, answer double, at_word long"
     words = written(keyed(docs, id_col, text_col).mapInArrow(_id_batches, "doc_id long, key long, ids binary"), "word-ids")
     idf, total = inverse_frequencies(words)
-    vectors = latent_vectors(words, idf, total, sample_passages)
+    vectors = latent_vectors(words, idf, total)
     items = written(benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of().alias("text")).mapInArrow(_item_batches, "item_id long, ids binary, text string"), "benchmark-ids")
     found = [spark.createDataFrame([], kind)]
 

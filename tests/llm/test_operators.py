@@ -429,6 +429,36 @@ def test_decontamination_of_short_items(spark):
     assert planted(spark, range(16, 32, 2), range(8), 0.2, 10) >= 0.9
 
 
+def test_latent_vectors_are_fitted_on_every_passage(spark):
+    """More passages than the 200,000 that once were a sample: 440 texts of 500 passages, a rare one among them, against a sum by brute force."""
+    r = np.random.default_rng(3)
+    texts = [r.integers(0, 1 << 32, 16_000, dtype=np.uint64).astype("<u4") % np.uint32(3000 + 40 * k) for k in range(40)]
+    texts[7] = np.r_[texts[7], np.repeat(np.uint32(8191), 5)]  # a passage of fewer words
+    often = [1 if k == 7 else 11 for k in range(40)]
+    rows = [(k, 100 * k + j, t.tobytes()) for k, t in enumerate(texts) for j in range(often[k])]
+    words = spark.createDataFrame(rows, "doc_id long, key long, ids binary").repartition(9)
+    idf, total = decontamination.inverse_frequencies(words)
+    assert total == sum(n * -(-len(t) // 32) for n, t in zip(often, texts, strict=True)) > 200_000
+    basis = np.linalg.qr(np.random.default_rng(1).standard_normal((8192, 64)))[0]
+    for k in range(2):
+        sketch = np.zeros(basis.shape)
+        for n, t in zip(often, texts, strict=True):
+            for i in range(0, len(t), 32 * 100):
+                part = t[i : i + 32 * 100]
+                a = np.zeros((-(-len(part) // 32), 8192))
+                np.add.at(a, (np.arange(len(part)) // 32, part), idf[part].astype(float))
+                size = np.bincount(np.arange(len(part)) // 32, idf[part].astype(float) ** 2)
+                sketch += n * (a.T @ (a @ basis / size[:, None]))
+        if k == 0:
+            basis = np.linalg.qr(sketch)[0]
+    values, inner = np.linalg.eigh(basis.T @ sketch)
+    want = idf[:, None] * (basis @ (inner / np.sqrt(values)))
+    got = decontamination.latent_vectors(words, idf, total)
+    assert np.array_equal(got, decontamination.latent_vectors(words, idf, total))
+    some = np.r_[0:4600:50, 8191]  # the vectors themselves may turn
+    assert np.abs(got[some] @ got[some].T - want[some] @ want[some].T).max() < 1e-3 * np.abs(want[some] @ want[some].T).max()
+
+
 def test_decontamination_of_few_words_and_unspaced_scripts(spark):
     passage = "人体尿液中砷的浓度与饮用水中砷的含量有关并且随年龄增加"
     items = [(1, "Arsenic trioxide"), (2, passage), (3, "血中铅"), (4, "..."), (5, "")]
