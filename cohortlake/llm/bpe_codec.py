@@ -384,7 +384,10 @@ def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, lexicon_size: int, te
             break
         least = r["step"]
     frequent = [] if least is None else counts.where(F.col("step") >= least).select("word").collect()
-    return compiled({bytes(r["word"]): vocabulary.merge(bytes(r["word"]).decode("utf-8", "surrogatepass")) for r in frequent})
+    block = compiled({bytes(r["word"]): vocabulary.merge(bytes(r["word"]).decode("utf-8", "surrogatepass")) for r in frequent})
+    del frequent
+    released()  # the driver's memory too
+    return block
 
 
 _codecs: dict[int, Codec] = {}

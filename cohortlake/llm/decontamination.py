@@ -218,6 +218,8 @@ def latent_vectors(words: DataFrame, idf: np.ndarray, total: int, rounds: int =
             basis = basis @ (inner / np.sqrt(np.maximum(values, 1e-6 * max(values.max(), 1e-9))))
         else:
             basis = np.linalg.qr(sketch)[0]
+        del sketch
+        released()  # the driver's memory too
     return (idf[:, None] * basis).astype(np.float32)
 
 
