@@ -11,7 +11,8 @@ and ``least_answer`` of its answer, the last ``ANSWER`` words. The first window
 for the item. Items of fewer than ``least_words`` words are found where all their words follow each other.
 
 Vectors are only made for windows that can pass: a subsequence of ``least_common`` of an item misses a known
-number of its words, so of any larger set of its words, such as its rarest, some must stand in the window.
+number of its words, so of any larger set of its words, such as its rarest, some must stand in the window. They are
+counted for each item by itself, in runs of places of its rarest words.
 
 A document of more than ``most_words`` words is searched in overlapping parts, so that memory is bounded.
 
@@ -30,7 +31,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -133,10 +134,24 @@ def inverse_frequencies(words: DataFrame) -> tuple[np.ndarray, int]:
 
 
 OFTEN = 64
+TOGETHER = 4096
+NEAR_ROWS, NEAR_FEATURES = 512, 1024  # rows of RANK numbers that a core's cache holds
 SKETCH_PASSAGES = 400_000
 SLICE = 128
 
 
+def _summed_by_passage(weighted: np.ndarray, f: np.ndarray) -> np.ndarray:
+    """For each passage the sum of its features' rows of ``weighted``."""
+    out = np.empty((len(f), weighted.shape[1]), np.float32)
+    more = np.empty((NEAR_ROWS, weighted.shape[1]), np.float32)
+    for i in range(0, len(f), NEAR_ROWS):
+        by_place = np.ascontiguousarray(f[i : i + NEAR_ROWS].T)
+        sums = np.take(weighted, by_place[0], axis=0, out=out[i : i + NEAR_ROWS], mode="clip")
+        for place in by_place[1:]:
+            sums += np.take(weighted, place, axis=0, out=more[: len(sums)], mode="clip")
+    return out
+
+
 def _summed_by_feature(out: np.ndarray, f: np.ndarray, y: np.ndarray) -> None:
     """Adds to each feature's row of ``out`` the rows of ``y`` of the passages that hold it, as often as they hold it."""
     order = np.argsort(f.ravel().astype(np.int16), kind="stable")
@@ -144,23 +159,23 @@ def _summed_by_feature(out: np.ndarray, f: np.ndarray, y: np.ndarray) -> None:
     first = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]])
     counts = np.diff(np.r_[first, len(cells)])
     feature = cells[first]
-    often = np.flatnonzero((counts > OFTEN) & (feature < len(out) - 1))  # the last is what fills up
+    real = feature < len(out) - 1  # the last is what fills up
+    often = np.flatnonzero((counts > OFTEN) & real)
     if len(often):
-        slot = np.full(len(out), -1)
-        slot[feature[often]] = np.arange(len(often))
-        place = slot[cells]
-        some = place >= 0
-        held = np.zeros(len(f) * len(often), np.float32)
-        np.add.at(held, row[some] * len(often) + place[some], np.float32(1))
+        n = counts[often]
+        at = np.arange(n.sum()) + np.repeat(first[often] - (np.cumsum(n) - n), n)
+        held = np.bincount(row[at] * len(often) + np.repeat(np.arange(len(often)), n), minlength=len(f) * len(often)).astype(np.float32)
         out[feature[often]] += held.reshape(len(f), -1).T @ y
-    few = np.flatnonzero(counts <= OFTEN)
-    few = few[np.argsort(-counts[few], kind="stable")]
-    sums = np.zeros((len(few), y.shape[1]), np.float32)
-    more = np.empty_like(sums)
-    for k in range(int(counts[few[0]]) if len(few) else 0):  # the k-th time of all features that come so often
-        n = int(np.searchsorted(-counts[few], -k))
-        sums[:n] += np.take(y, row[first[few[:n]] + k], axis=0, out=more[:n], mode="clip")
-    out[feature[few]] += sums
+    few = np.flatnonzero((counts <= OFTEN) & real)
+    few = few[np.argsort(-counts[few].astype(np.int16), kind="stable")]
+    more = np.empty((NEAR_FEATURES, y.shape[1]), np.float32)
+    for i in range(0, len(few), NEAR_FEATURES):
+        some = few[i : i + NEAR_FEATURES]
+        at, times = first[some], counts[some]
+        sums = np.take(y, row[at], axis=0, mode="clip")
+        for k, n in enumerate(np.searchsorted(-times, -np.arange(1, times[0])).tolist(), 1):  # n features come a k-th time more
+            sums[:n] += np.take(y, row[at[:n] + k], axis=0, out=more[:n], mode="clip")
+        out[feature[some]] += sums
 
 
 def _sketch_batches(idf: np.ndarray, basis: np.ndarray):
@@ -171,14 +186,10 @@ def _sketch_batches(idf: np.ndarray, basis: np.ndarray):
         square = np.r_[idf, np.float32(0)] ** 2
         weighted = np.r_[idf[:, None] * basis, np.zeros((1, basis.shape[1]))].astype(np.float32)
         for batch in batches:
-            for _, _, found in _passages(batch.column("ids"), 1 << 19):
-                for i in range(0, len(found), 2048):
-                    f = np.where(found[i : i + 2048] < 0, len(idf), found[i : i + 2048]).astype(np.int64)
-                    by_place = np.ascontiguousarray(f.T)
-                    y = np.take(weighted, by_place[0], axis=0)
-                    more = np.empty_like(y)
-                    for place in by_place[1:]:
-                        y += np.take(weighted, place, axis=0, out=more, mode="clip")
+            for _, _, found in _passages(batch.column("ids"), TOGETHER * PASSAGE * 4):
+                for i in range(0, len(found), TOGETHER):
+                    f = np.where(found[i : i + TOGETHER] < 0, len(idf), found[i : i + TOGETHER]).astype(np.int64)
+                    y = _summed_by_passage(weighted, f)
                     y /= np.maximum(np.take(square, f).sum(axis=1), np.float32(1e-9))[:, None]
                     _summed_by_feature(out, f, y)
         parts = (idf[:, None] * out[:-1]).reshape(-1, SLICE * basis.shape[1])
@@ -249,20 +260,21 @@ def _shape(n_words: int) -> tuple[int, int]:
 SIGN_BITS = 256
 
 
-def _signs(ids: np.ndarray, block: np.ndarray, n_blocks: int) -> np.ndarray:
+def _signs(ids: np.ndarray, cuts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     """For each block of words the set of its words' last eight bits, packed."""
-    seen = np.zeros((n_blocks, SIGN_BITS), bool)
-    seen[block, ids & SIGN_BITS - 1] = True
+    seen = np.zeros((len(cuts), SIGN_BITS), bool)
+    for k in range(FINE):
+        more = np.flatnonzero(cuts + k < stops)
+        seen[more, ids[cuts[more] + k] & SIGN_BITS - 1] = True
     return np.packbits(seen, axis=1, bitorder="little")
 
 
-def _block_sums(vectors: np.ndarray, ids: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-    """Sum of the vectors of each block's words, of which only the last one of a text may be short."""
+def _block_sums(vectors: np.ndarray, ids: np.ndarray, cuts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Sum of the vectors of the words of blocks, of which only the last one of a text may be short."""
     f = _features(ids)
     out = vectors[f[cuts]]
-    stop = np.r_[cuts[1:], len(f)]
     for k in range(1, FINE):
-        more = np.flatnonzero(cuts + k < stop)
+        more = np.flatnonzero(cuts + k < stops)
         if len(more) == len(cuts):
             out += vectors[f[cuts + k]]
         else:
@@ -303,18 +315,46 @@ def _packed_items(items: list[np.ndarray], least_common: float) -> tuple[np.ndar
     return slots, masks, np.array([least_common * len(ids) for ids in items])
 
 
-MARK_BITS = 20
+MARK_BITS = 18
+MARKS = np.uint32((1 << MARK_BITS) - 1)
+TELLING_ITEMS = 256
+HEAD_PLACES = (1 << np.arange(HEAD)).astype(np.uint8)
 
 
-def _telling(items: list[np.ndarray], idf: np.ndarray, least_common: float) -> tuple[np.ndarray, int]:
-    """Marks of the rarest words of the items, and how many marked words any window that passes must hold."""
-    marks, need = np.zeros(1 << MARK_BITS, bool), 1 << 30
-    for ids in items:
+def _telling(items: Sequence[np.ndarray], idf: np.ndarray, least_common: float) -> tuple:
+    """The rarest words of TELLING_ITEMS items or fewer: marks of them, the words in order, the items of each, and how many of an item's any window that passes it must hold."""
+    words, owner, need = [], [], []
+    for k, ids in enumerate(items):
         missed = len(ids) - int(np.ceil(least_common * len(ids) - 1e-9))
-        rare = ids[np.argsort(-idf[_features(ids)], kind="stable")[: missed + 1 + len(ids) // 8]]
-        marks[rare & (1 << MARK_BITS) - 1] = True
-        need = min(need, int(np.isin(ids, rare).sum()) - missed)
-    return marks, need
+        rare = np.unique(ids[np.argsort(-idf[_features(ids)], kind="stable")[: missed + 1 + len(ids) // 8]])
+        words.append(rare)
+        owner.append(np.full(len(rare), k, np.uint8))
+        need.append(max(1, int(np.isin(ids, rare).sum()) - missed))
+    every, owner = np.concatenate(words), np.concatenate(owner)
+    order = np.argsort(every, kind="stable")
+    known, first = np.unique(every[order], return_index=True)
+    marks = np.zeros(1 << MARK_BITS, bool)
+    marks[known & MARKS] = True
+    return marks, known, np.r_[first, len(every)], owner[order], np.array(need)
+
+
+def _runs(joined: np.ndarray, low: np.ndarray, telling: tuple, widths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Items, ascending, and the first and last place of as many of an item's telling words in a row as its windows must hold, less than ``widths`` apart."""
+    marks, known, first, owner, need = telling
+    at = np.flatnonzero(marks[low])
+    slot = np.minimum(np.searchsorted(known, joined[at]), len(known) - 1)
+    same = known[slot] == joined[at]
+    at, slot = at[same], slot[same]
+    times = first[slot + 1] - first[slot]
+    place = np.repeat(at, times)
+    item = owner[np.arange(len(place)) + np.repeat(first[slot] - (np.cumsum(times) - times), times)]
+    order = np.argsort(item, kind="stable")
+    item, place = item[order], place[order]
+    last = np.arange(len(item)) + need[item] - 1
+    begin = np.flatnonzero(last < len(item))
+    last = last[begin]
+    some = (item[last] == item[begin]) & (place[last] - place[begin] < widths[item[begin]])
+    return item[begin[some]].astype(np.int64), place[begin[some]], place[last[some]]
 
 
 def _parts(rows: list[tuple], most_words: int, overlap: int) -> Iterator[list[tuple[int, int, np.ndarray]]]:
@@ -339,24 +379,32 @@ def _search_batches(shared, cosine: float, least_common: float, least_answer: fl
         by_shape: dict[tuple[int, int], list] = {}
         for item in items:
             by_shape.setdefault(_shape(len(item[1])), []).append(item)
-        groups = []
+        groups, ordered = [], []
         for n, found in by_shape.items():
             ids = [i for _, i in found]
-            groups.append((n, [(item, i.tolist()) for item, i in found], _unit(np.stack([vectors[_features(i)].sum(axis=0) for i in ids])).T, _packed_items(ids, least_common), _telling(ids, idf, least_common)))
+            groups.append((n, [(item, i.tolist()) for item, i in found], _unit(np.stack([vectors[_features(i)].sum(axis=0) for i in ids])).T, _packed_items(ids, least_common)))
+            ordered += [(i, n[0] * FINE + 2 * STRIDE) for i in ids]
+        telling = []
+        for k in range(0, len(ordered), TELLING_ITEMS):
+            ids, widths = zip(*ordered[k : k + TELLING_ITEMS], strict=True)
+            telling.append((_telling(ids, idf, least_common), np.array(widths)))
         heads: dict[bytes, list] = {}
-        first_words, last_words = np.zeros(1 << MARK_BITS, bool), np.zeros(1 << MARK_BITS, bool)
+        head_words = np.zeros(1 << MARK_BITS, np.uint8)  # a bit for each of the HEAD places
         for item, ids in items:
             if len(ids) >= HEAD:
                 heads.setdefault(ids[:HEAD].tobytes(), []).append((item, ids))
-                first_words[ids[0] & (1 << MARK_BITS) - 1] = last_words[ids[HEAD - 1] & (1 << MARK_BITS) - 1] = True
+                np.bitwise_or.at(head_words, ids[:HEAD] & MARKS, HEAD_PLACES)  # a word may come twice
         # Parts start where windows do.
         overlap = -(-(max(len(i) for _, i in items) + 4 * STRIDE) // STRIDE) * STRIDE
         for batch in batches:
             rows = [*zip(batch.column("doc_id").to_pylist(), batch.column("key").to_pylist(), batch.column("ids").to_pylist(), strict=True)]
             found: dict[tuple[int, int], tuple] = {}
             for parts in _parts(rows, most_words, overlap):
-                _search(rows, parts, found, vectors, groups)
-                _search_heads(rows, parts, found, vectors, heads, first_words, last_words)
+                begins = np.cumsum([0, *(len(p[2]) for p in parts)])
+                joined = np.concatenate([p[2] for p in parts])
+                low = joined & MARKS
+                _search(rows, parts, begins, joined, low, found, vectors, groups, telling)
+                _search_heads(rows, parts, begins, joined, low, found, vectors, heads, head_words)
             yield _found_batch([*found.values()])
 
     def _checked(part: list[int], window: list[int]) -> tuple[float, float] | None:
@@ -367,62 +415,68 @@ def _search_batches(shared, cosine: float, least_common: float, least_answer: fl
         answer = common_length(part[-ANSWER:], window) / len(part[-ANSWER:])
         return (common, answer) if answer >= least_answer else None
 
-    def _hopeful(parts: list[tuple], joined: np.ndarray, begins: np.ndarray, group: tuple) -> tuple[np.ndarray, np.ndarray]:
-        """Part and first word of the windows that hold enough marked words."""
-        (n, step), _, _, _, (marks, need) = group
-        seen = np.zeros(len(joined) + 1, np.int32)
-        np.cumsum(marks[joined & (1 << MARK_BITS) - 1], out=seen[1:])
-        sizes = np.diff(begins)
-        counts = -(-sizes // (step * FINE))
-        part = np.repeat(np.arange(len(parts)), counts)
-        at = (np.arange(len(part)) - np.repeat(np.cumsum(counts) - counts, counts)) * step * FINE
-        low, high = np.maximum(at - STRIDE, 0), np.minimum(at + n * FINE + STRIDE, sizes[part])
-        some = seen[begins[part] + high] - seen[begins[part] + low] >= need
-        return part[some], at[some]
-
-    def _search(rows: list[tuple], parts: list[tuple], found: dict, vectors: np.ndarray, groups: list) -> None:
-        begins = np.cumsum([0, *(len(p[2]) for p in parts)])
-        joined = np.concatenate([p[2] for p in parts])
-        windows = [_hopeful(parts, joined, begins, group) for group in groups]
-        some = np.unique(np.concatenate([w[0] for w in windows])) if windows else np.empty(0, np.int64)
-        if not len(some):
+    def _hopeful(begins: np.ndarray, joined: np.ndarray, low: np.ndarray, groups: list, telling: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each group part and first word of the windows that hold enough telling words of an item, the words around them included."""
+        runs = [_runs(joined, low, *t) for t in telling]
+        item, begin, last = (np.concatenate(x) for x in zip(*runs, strict=True))
+        item += np.repeat(np.arange(len(runs)) * TELLING_ITEMS, [len(r[0]) for r in runs])
+        part = np.searchsorted(begins, begin, side="right") - 1
+        whole = np.flatnonzero(last < begins[part + 1])
+        item, part = item[whole], part[whole]
+        begin, last = begin[whole] - begins[part], last[whole] - begins[part]
+        stops = np.searchsorted(item, np.cumsum([0, *(len(g[1]) for g in groups)])).tolist()
+        for ((n, step), *_), a, b in zip(groups, stops[:-1], stops[1:], strict=True):
+            grid = step * FINE
+            counts = -(-np.diff(begins) // grid)
+            base = np.r_[0, np.cumsum(counts)]
+            lowest = -(-np.maximum(last[a:b] + 1 - n * FINE - STRIDE, 0) // grid)
+            highest = np.minimum((begin[a:b] + STRIDE) // grid, counts[part[a:b]] - 1)
+            some = lowest <= highest
+            at = base[part[a:b]][some]
+            changes = np.bincount(at + lowest[some], minlength=base[-1] + 1) - np.bincount(at + highest[some] + 1, minlength=base[-1] + 1)
+            window = np.flatnonzero(np.cumsum(changes[:-1]) > 0)
+            where = np.searchsorted(base, window, side="right") - 1
+            yield where, (window - base[where]) * grid
+
+    def _search(rows: list[tuple], parts: list[tuple], begins: np.ndarray, joined: np.ndarray, low: np.ndarray, found: dict, vectors: np.ndarray, groups: list, telling: list) -> None:
+        windows = [*_hopeful(begins, joined, low, groups, telling)]
+        if not any(len(part) for part, _ in windows):
             return
-        texts = [parts[k][2] for k in some.tolist()]
-        blocks = np.array([-(-len(t) // FINE) for t in texts])
-        first = np.r_[0, np.cumsum(blocks)]
-        joined = np.concatenate(texts)
-        cuts = np.concatenate([np.arange(0, len(t), FINE) + at for t, at in zip(texts, np.cumsum([0, *map(len, texts)]).tolist(), strict=False)])
-        # Running sums over the blocks of such windows only.
-        marks = np.zeros(len(cuts) + 1, np.int32)
+        first = np.r_[0, np.cumsum(-(-np.diff(begins) // FINE))]
+        # Running sums and signs of the blocks of such windows and of those around them only.
+        changes = np.zeros(first[-1] + 1, np.int64)
         placed = []
         for ((n, _), *_), (part, at) in zip(groups, windows, strict=True):
-            doc = np.searchsorted(some, part)
-            starts = first[doc] + at // FINE
-            stops = np.minimum(starts + n, first[doc + 1])
-            placed.append((doc, starts, stops))
-            np.add.at(marks, starts, 1)
-            np.add.at(marks, stops, -1)
-        inside = np.cumsum(marks[:-1]) > 0
+            starts = first[part] + at // FINE
+            stops = np.minimum(starts + n, first[part + 1])
+            placed.append((starts, stops))
+            changes += np.bincount(np.maximum(starts - STRIDE // FINE, first[part]), minlength=len(changes))
+            changes -= np.bincount(np.minimum(stops + STRIDE // FINE, first[part + 1]), minlength=len(changes))
+        inside = np.cumsum(changes[:-1]) > 0
         rank = np.r_[0, np.cumsum(inside)]
-        sums = np.zeros((rank[-1] + 1, vectors.shape[1]), np.float64)
-        np.cumsum(_block_sums(vectors, joined, cuts)[inside], axis=0, out=sums[1:])
-        signs = _signs(joined, np.repeat(np.arange(len(cuts)), np.diff(np.r_[cuts, len(joined)])), len(cuts))
-        for ((n, _), items, against, packed, _), (part, at), (doc, starts, stops) in zip(groups, windows, placed, strict=True):
+        block = np.flatnonzero(inside)
+        text = np.searchsorted(first, block, side="right") - 1
+        cuts = begins[text] + (block - first[text]) * FINE
+        ends = np.minimum(cuts + FINE, begins[text + 1])
+        sums = np.zeros((len(block) + 1, vectors.shape[1]), np.float64)
+        np.cumsum(_block_sums(vectors, joined, cuts, ends), axis=0, out=sums[1:])
+        signs = _signs(joined, cuts, ends)
+        for ((n, _), items, against, packed), (part, at), (starts, stops) in zip(groups, windows, placed, strict=True):
             if not len(part):
                 continue
             latent = (sums[rank[stops]] - sums[rank[starts]]).astype(np.float32)
             size = np.maximum(np.sqrt(np.einsum("ij,ij->i", latent, latent)), 1e-9)
             near = latent @ against
             where, which = np.divmod(np.flatnonzero(near >= np.float32(cosine) * size[:, None]), len(items))
-            may = _may_share(_around(signs, n), starts[where], which, *packed)
+            may = _may_share(_around(signs, n), rank[starts[where]], which, *packed)
             where, which = where[may], which[may]
             last, window, held = -1, [], frozenset()
             for i, k in zip(where.tolist(), which.tolist(), strict=True):
                 if i != last:
-                    last, d = i, int(doc[i])
-                    row, offset, _ = parts[int(part[i])]
+                    last = i
+                    row, offset, words_of_part = parts[int(part[i])]
                     begin = int(at[i])
-                    window = texts[d][max(0, begin - STRIDE) : begin + n * FINE + STRIDE].tolist()
+                    window = words_of_part[max(0, begin - STRIDE) : begin + n * FINE + STRIDE].tolist()
                     held = frozenset(window)
                 item, words = items[k]
                 # The words that occur at all bound the common subsequence.
@@ -432,13 +486,14 @@ def _search_batches(shared, cosine: float, least_common: float, least_answer: fl
                 if shares:
                     found[row, item] = (*rows[row][:2], item, float(near[i, k] / size[i]), *shares, offset + begin)
 
-    def _search_heads(rows: list[tuple], parts: list[tuple], found: dict, vectors: np.ndarray, heads: dict, first_words: np.ndarray, last_words: np.ndarray) -> None:
-        begins = np.cumsum([0, *(len(p[2]) for p in parts)])
-        joined = np.concatenate([p[2] for p in parts])
+    def _search_heads(rows: list[tuple], parts: list[tuple], begins: np.ndarray, joined: np.ndarray, low: np.ndarray, found: dict, vectors: np.ndarray, heads: dict, head_words: np.ndarray) -> None:
         if len(joined) < HEAD:
             return
-        low = joined & (1 << MARK_BITS) - 1
-        for at in np.flatnonzero(first_words[low[: 1 - HEAD]] & last_words[low[HEAD - 1 :]]).tolist():
+        places = head_words[low]
+        begin = np.flatnonzero(places[: 1 - HEAD] & HEAD_PLACES[0])
+        for k in range(HEAD - 1, 0, -1):
+            begin = begin[(places[begin + k] & HEAD_PLACES[k]) > 0]
+        for at in begin.tolist():
             for item, ids in heads.get(joined[at : at + HEAD].tobytes(), ()):
                 row, offset, text = parts[int(np.searchsorted(begins, at, side="right")) - 1]
                 if (row, item) in found:

@@ -429,6 +429,56 @@ def test_decontamination_of_short_items(spark):
     assert planted(spark, range(16, 32, 2), range(8), 0.2, 10) >= 0.9
 
 
+def test_decontamination_looks_only_at_windows_that_may_hold_an_item(spark):
+    """Few windows get a latent vector, yet with every cosine allowed all places on the grid come out that a brute force over windows finds; heads with a repeated word too."""
+    r = np.random.default_rng(5)
+    common, words = [f"c{k}" for k in range(12)], [f"w{k}" for k in range(400)]
+    item = lambda n: [str(r.choice(common if r.random() < 0.5 else words)) for _ in range(n)]
+    items = [item(int(n)) for n in r.integers(8, 70, 300)]  # more than TELLING_ITEMS of several shapes
+    docs = []
+    for k in range(36):
+        text = item(int(r.integers(0, 120)))
+        if k % 4:
+            new = [w if r.random() < 0.75 else str(r.choice(words)) for w in items[int(r.integers(len(items)))]]
+            at = int(r.integers(len(text) + 1))
+            text[at:at] = new
+        docs.append((k, " ".join(text)))
+    texts, passages = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(items)], "item_id long, text string")
+    got = {(x["doc_id"], x["item_id"]): x["at_word"] for x in decontamination.contaminated(texts, passages, cosine=-1.5).collect()}
+    want: dict[tuple[int, int], set] = {}
+    for d, text in docs:
+        words_of = text.split()
+        for k, t in enumerate(items):
+            n, step = decontamination._shape(len(t))
+            spans = [(at, at + 2 * n, False) for at in range(0, len(words_of), 2 * step)]
+            spans += [(at, at + len(t), True) for at in range(len(words_of)) if words_of[at : at + 8] == t[:8]]
+            for a, b, head in spans:
+                window = words_of[max(0, a - 8) : b + 8]
+                if sum(map(set(window).__contains__, t)) >= 0.6 * len(t) and decontamination.common_length(t, window) >= 0.6 * len(t) and decontamination.common_length(t[-8:], window) >= 4:
+                    want.setdefault((d, k), set()).add(a)
+                    if not head:
+                        break
+    assert got.keys() == want.keys() and len(got) > 18
+    assert all(at in want[k] for k, at in got.items())
+    # The window search can't find anything at this limit: what is left is found by its first words.
+    repeated = "one two one two three one four five six seven eight nine ten eleven twelve".split()
+    found = decontamination.contaminated(spark.createDataFrame([(1, "before it " + " ".join(repeated))], "doc_id long, text string"), spark.createDataFrame([(7, " ".join(repeated))], "item_id long, text string"), cosine=2.0)
+    assert [(x["doc_id"], x["item_id"], x["at_word"]) for x in found.collect()] == [(1, 7, 2)]
+
+
+def test_telling_words_leave_few_windows():
+    """A text that often holds rare words of many items, but never enough of any one, gets no window; before, one mark for all items let such windows through."""
+    r = np.random.default_rng(6)
+    items = [r.choice(1 << 32, 40, replace=False).astype("<u4") for _ in range(20)]
+    idf = np.ones(1 << decontamination.FEATURE_BITS, np.float32)
+    telling = decontamination._telling(items, idf, 0.6)
+    mixed = np.concatenate([np.array([i[k] for i in items], "<u4") for k in range(40)])
+    runs = lambda words: decontamination._runs(words, words & decontamination.MARKS, telling, np.full(20, 56))
+    assert all(len(x) == 0 for x in runs(mixed))
+    item, first, last = runs(np.r_[mixed, items[3]])
+    assert set(item) == {3} and first.min() >= len(mixed) - 56 and last.max() < len(mixed) + 40
+
+
 def test_latent_vectors_are_fitted_on_every_passage(spark):
     """More passages than the 200,000 that once were a sample: 440 texts of 500 passages, a rare one among them, against a sum by brute force."""
     r = np.random.default_rng(3)
