@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortlake.tables import intermediate, written
+
 WORDS = r"[\p{L}\p{N}]+"
 
 
@@ -41,10 +43,19 @@ def term_hits(df: DataFrame, key: str, text: Column, terms: DataFrame) -> DataFr
 
 
 def search(df: DataFrame, key: str, text: Column, terms: DataFrame, exclude: list[str] = ()) -> DataFrame:
-    """The rows of ``df`` that hold a term of each block of ``terms`` and none of the blocks to exclude. Without other blocks all rows that hold none of these."""
-    hits = term_hits(df, key, text, terms).select(F.col(key).alias("_hit"), "block").distinct()
-    out = F.col("block").isin(*exclude) if exclude else F.lit(False)
-    needed = terms.where(~out).agg(F.countDistinct("block").alias("n")).first()["n"]
-    found = hits.groupBy("_hit").agg(F.count_if(~out).alias("n"), F.count_if(out).alias("out"))
-    joined = df.join(found, F.col(key) == F.col("_hit"), "left" if not needed else "inner")
-    return joined.where((F.coalesce("n", F.lit(0)) == needed) & (F.coalesce("out", F.lit(0)) == 0)).drop("_hit", "n", "out")
+    """The rows of ``df`` that hold a term of each block of ``terms`` and none of the blocks to exclude. Without other blocks all rows that hold none of these.
+
+    Each text is searched once, however many rows have it: their words would else cross the shuffle again for each row, those
+    of phrases once for each term that has them. ``df`` is read twice; rows of one ``key`` are judged each by its own text.
+    """
+    said = F.coalesce(text, F.lit(""))
+    with intermediate(df.sparkSession) as kept:
+        texts = written(df.select(said.alias("_text")).distinct().select(F.monotonically_increasing_id().alias("_id"), "_text"), "texts")
+        hits = term_hits(texts, "_id", F.col("_text"), terms).select(F.col("_id").alias("_hit"), "block").distinct()
+        out = F.col("block").isin(*exclude) if exclude else F.lit(False)
+        needed = terms.where(~out).agg(F.countDistinct("block").alias("n")).first()["n"]
+        found = hits.groupBy("_hit").agg(F.count_if(~out).alias("n"), F.count_if(out).alias("out"))
+        joined = texts.join(found, F.col("_id") == F.col("_hit"), "left" if not needed else "inner")
+        matched = written(joined.where((F.coalesce("n", F.lit(0)) == needed) & (F.coalesce("out", F.lit(0)) == 0)).select("_text"), "matched-texts")
+        kept.append(matched)
+    return df.join(matched, said == F.col("_text"), "left_semi")

@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlake.operators import audit, components, convert, dedup, deltas, derived, intervals, lineage, pool, quality, sensitivity, statistics, term_index
-from cohortlake.plans.dims import records
+from cohortlake.plans.dims import record_count, record_parts, records
 from cohortlake.queries import PERIOD_SQL, query, rounded
 from cohortlake.queries_review import _OLD, _STUDIES, _SUMS, _table
 from cohortlake.sources.clustered import write_clustered
 from cohortlake.sources.doi_messages import doi_fields, shape_findings
 from cohortlake.sources.split_tables import read_split_table
 from cohortlake.streaming.corrections import corrected_table, follow_corrections
-from cohortlake.tables import shared_folder
+from cohortlake.tables import shared_folder, written_parts
 
 
 def _folder(spark: SparkSession, label: str) -> str:
@@ -101,7 +101,9 @@ def term_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every seventh part's name as a phrase, with words of another block and a phrase to exclude."""
     names = _table(spark, sf_dir, "part").where("p_partkey % 7 = 0").select(F.lit("item").alias("block"), F.col("p_name").alias("term"))
     more = spark.createDataFrame([("kind", "stud*"), ("kind", "report"), ("out", "birth cohort*")], "block string, term string")
-    return term_index.search(records(spark, sf_dir), "record_id", F.col("title"), names.unionByName(more), ["out"]).select("record_id")
+    parts = record_parts(spark, sf_dir, record_count(spark, sf_dir))
+    titled = written_parts([part.select("record_id", "title") for part in parts], "titled-records")
+    return term_index.search(titled, "record_id", F.col("title"), names.unionByName(more), ["out"]).select("record_id")
 
 
 _MEMBERS = f"""s AS ({_STUDIES}),

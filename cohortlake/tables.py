@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
 import weakref
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,15 +33,36 @@ def shared_folder(spark: SparkSession) -> str:
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
+    return written_parts([df], label)
+
+
+def written_parts(parts: Iterable[DataFrame], label: str) -> DataFrame:
+    """As ``written``, of parts that are worked out one after the other, each without the shuffle files of those before."""
+    path, schema = None, None
+    for df in parts:
+        if path is None:
+            spark, schema = df.sparkSession, df.schema
+            path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+        else:
+            swept(spark)
+        df.write.mode("append").option("compression", "zstd").parquet(path)
+    out = spark.read.schema(schema).parquet(path)
     _paths[out] = path
     _written.append(path)
     return out
 
 
+def swept(spark: SparkSession) -> None:
+    """Lets the shuffle files of finished work go, which else stay until the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def deleted(spark: SparkSession, *paths: str) -> None:
+    """Delete what lies in the shared folder under these paths and no later read needs."""
+    _delete(spark, list(paths))
+
+
 def _delete(spark: SparkSession, paths: list[str]) -> None:
     for path in paths:
         place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
