@@ -200,7 +200,9 @@ def doi_message_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_STUDIES)
 def clustered_studies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Studies over the record table clustered by study: no exchange behind the scan."""
-    table = write_clustered(records(spark, sf_dir), f"records_{uuid.uuid4().hex}", ["study_no"], 16, _folder(spark, "clustered"))
+    count = record_count(spark, sf_dir)
+    buckets = max(16, count // 1_000_000)  # a bucket of a larger table would be too much for one task to sort in memory
+    table = write_clustered(record_parts(spark, sf_dir, count), f"records_{uuid.uuid4().hex}", ["study_no"], buckets, _folder(spark, "clustered"))
     return dedup.build_studies(table)
 
 

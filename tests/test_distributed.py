@@ -154,7 +154,7 @@ def test_a_text_of_many_rows_is_searched_once(spark):
     assert got == 10000
 
 
-@pytest.mark.parametrize("name", ["term_search"])
+@pytest.mark.parametrize("name", ["term_search", "clustered_studies"])
 def test_records_are_worked_out_in_parts(spark, monkeypatch, name):
     """Each part's shuffle holds its own records only, and the parts together give what the whole table gives."""
     data = "/root/testdata/sf0.001"
