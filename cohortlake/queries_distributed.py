@@ -15,7 +15,7 @@ from cohortlake.sources.clustered import write_clustered
 from cohortlake.sources.doi_messages import doi_fields, shape_findings
 from cohortlake.sources.split_tables import read_split_table
 from cohortlake.streaming.corrections import corrected_table, follow_corrections
-from cohortlake.tables import shared_folder, written_parts
+from cohortlake.tables import deleted, dropped, shared_folder, swept, written, written_parts
 
 
 def _folder(spark: SparkSession, label: str) -> str:
@@ -43,20 +43,35 @@ FROM (SELECT sample_type, region, {PERIOD_SQL} AS period, CAST(sample_size AS DO
 WHERE v > 0 AND w > 0 AND period IS NOT NULL GROUP BY ALL"""
 )
 def pooled_with_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records in three versions: later ones correct every tenth study's values and withdraw another's, and come before the first ones."""
-    rec = records(spark, sf_dir).select("record_id", "sample_type", "region", "sampling_year", "gm_direct", "sample_size", "study_no")
-    schema = "record_id string, version long, withdrawn boolean, sample_type string, region string, sampling_year int, gm_summary double, sample_size int"
-    first = rec.select("record_id", F.lit(1).cast("long").alias("version"), F.lit(False).alias("withdrawn"), "sample_type", "region", "sampling_year", F.col("gm_direct").cast("double").alias("gm_summary"), "sample_size", "study_no")
+    """Records in three versions: later ones correct every tenth study's values and withdraw another's, and come before the first ones.
+
+    Followed part by part of the records, all versions of a record in one part, whose files and state go when its stream has ended.
+    """
+    path, count = _folder(spark, "versions"), record_count(spark, sf_dir)
+    parts = record_parts(spark, sf_dir, count)
+    for i, part in enumerate(parts):
+        _write_versions(part, f"{path}/{i}/in")
+        stream = spark.readStream.schema(_VERSIONS).option("maxFilesPerTrigger", 1000).parquet(f"{path}/{i}/in")
+        shards = max(64, count // len(parts) // 10_000)
+        follow_corrections(stream, _DIMS, f"{path}/sums/part={i}", f"{path}/{i}/checkpoint", shards=shards).awaitTermination()
+        deleted(spark, f"{path}/{i}")
+        swept(spark)
+    return rounded(corrected_table(spark, f"{path}/sums", _DIMS), "gm", "total_sample_size")
+
+
+_VERSIONS = "record_id string, version long, withdrawn boolean, sample_type string, region string, sampling_year int, gm_summary double, sample_size int"
+
+
+def _write_versions(rec: DataFrame, path: str) -> None:
+    """The versions in the order in which they come: third, first, second."""
+    columns = ["record_id", F.lit(1).cast("long").alias("version"), F.lit(False).alias("withdrawn"), "sample_type", "region", "sampling_year", F.col("gm_direct").cast("double").alias("gm_summary"), "sample_size", "study_no"]
+    first = written(rec.select(*columns), "first-versions")
     corrected = first.where(F.col("study_no").endswith("3")).withColumns({"version": F.lit(3).cast("long"), "gm_summary": F.col("gm_summary") * 1.5})
     withdrawn = first.where(F.col("study_no").endswith("9")).withColumns({"version": F.lit(2).cast("long"), "withdrawn": F.lit(True)})
     wrong = first.where(F.col("study_no").endswith("3")).withColumns({"version": F.lit(2).cast("long"), "gm_summary": F.col("gm_summary") * 9})
-    path = _folder(spark, "versions")
     for part in (corrected, first, withdrawn.unionByName(wrong)):
-        part.drop("study_no").write.mode("append").parquet(f"{path}/in")
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000).parquet(f"{path}/in")
-    running = follow_corrections(stream, _DIMS, f"{path}/sums", f"{path}/checkpoint")
-    running.awaitTermination()
-    return rounded(corrected_table(spark, f"{path}/sums", _DIMS), "gm", "total_sample_size")
+        part.drop("study_no").write.mode("append").option("compression", "zstd").parquet(path)
+    dropped(first)
 
 
 _STATES = f"""o AS (SELECT record_id, sample_type, region, {PERIOD_SQL} AS period, gm_direct AS v, CAST(sample_size + CASE WHEN study_no LIKE '%7' THEN 1 ELSE 0 END AS DOUBLE) AS w FROM rec WHERE {_OLD}),
@@ -202,7 +217,7 @@ def clustered_studies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Studies over the record table clustered by study: no exchange behind the scan."""
     count = record_count(spark, sf_dir)
     buckets = max(16, count // 1_000_000)  # a bucket of a larger table would be too much for one task to sort in memory
-    table = write_clustered(record_parts(spark, sf_dir, count), f"records_{uuid.uuid4().hex}", ["study_no"], buckets, _folder(spark, "clustered"))
+    table = write_clustered(record_parts(spark, sf_dir, count, most=16), f"records_{uuid.uuid4().hex}", ["study_no"], buckets, _folder(spark, "clustered"))
     return dedup.build_studies(table)
 
 

@@ -1,5 +1,6 @@
 """Intervals, signed changes, staleness, components, terms, messages and the clustered table on small cases and by brute force."""
 
+import glob
 import json
 import math
 import random
@@ -14,6 +15,7 @@ from cohortlake.operators import components, dedup, deltas, derived, intervals,
 from cohortlake.plans import dims
 from cohortlake.sources.clustered import write_clustered
 from cohortlake.sources.doi_messages import read_doi_messages, shape_findings
+from cohortlake.tables import shared_folder
 
 
 def pairs(df):
@@ -154,7 +156,7 @@ def test_a_text_of_many_rows_is_searched_once(spark):
     assert got == 10000
 
 
-@pytest.mark.parametrize("name", ["term_search", "clustered_studies"])
+@pytest.mark.parametrize("name", ["term_search", "clustered_studies", "pooled_with_corrections"])
 def test_records_are_worked_out_in_parts(spark, monkeypatch, name):
     """Each part's shuffle holds its own records only, and the parts together give what the whole table gives."""
     data = "/root/testdata/sf0.001"
@@ -163,6 +165,8 @@ def test_records_are_worked_out_in_parts(spark, monkeypatch, name):
     monkeypatch.setattr(dims, "PART", 1500)
     got, rows = shuffled(spark, lambda: sorted(map(show, queries.QUERIES[name](spark, data).collect()), key=str))
     assert got == whole and max(rows) < 3000  # of 6,000
+    left = glob.glob(f"{shared_folder(spark)}/versions-*/*")
+    assert all(path.endswith("/sums") for path in left)  # no part's versions, state or checkpoint
     parts = dims.record_parts(spark, data, dims.record_count(spark, data))
     ids = [r["record_id"] for part in parts for r in part.select("record_id").collect()]
     assert len(parts) == 4 and sorted(ids) == sorted(r["record_id"] for r in dims.records(spark, data).select("record_id").collect())
